@@ -87,10 +87,11 @@ def recent_feed(sample: DataFrame, n: int = FEED_SIZE) -> DataFrame:
 
 
 def sample_means(sample: DataFrame) -> DataFrame:
-    """Mean rating per movie of the sample in ascending order of movies."""
+    """Mean rating per movie of the sample in ascending order of movies, an empty id being unknown."""
+    movie = F.when(F.col("movieId") != "", F.col("movieId")).otherwise(UNKNOWN_MOVIE)
     return (
         sample.where(is_number(F.col("rating")))
-        .groupBy("movieId")
+        .groupBy(movie.alias("movieId"))
         .agg(F.sum("rating").alias("total"), F.count("rating").alias("votes"))
         .select("movieId", rounded_mean(F.col("total"), F.col("votes")).alias("avgRating"))
         .orderBy("movieId")

@@ -12,6 +12,10 @@ CSV_OPTIONS = {
     "ignoreTrailingWhiteSpace": "false",
 }
 
+# Written, a NULL is nothing and an empty text is `""`. Readers have to name a NULL that no file contains to tell the two
+# apart again.
+CSV_READ_OPTIONS = {**CSV_OPTIONS, "nullValue": "\u0000"}
+
 
 def write_csv(rows: DataFrame, path: str, single_file: bool = False) -> None:
     """K1: replace the CSV output at `path`.

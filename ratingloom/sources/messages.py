@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ratingloom import schemas
 from ratingloom.fixed_values import JSON_FIRST_CHARACTER
+from ratingloom.functions.once import computed_once
 
 _REJECTED = "_rejected"
 
@@ -28,6 +29,6 @@ def json_ratings(messages: DataFrame, schema: str = schemas.JSON_MESSAGE) -> Dat
     """
     parsed = F.from_json("raw", f"{schema}, {_REJECTED} STRING", {"columnNameOfCorruptRecord": _REJECTED})
     names = ["userId", "movieId", "rating", "source", "timestamp"]
-    return messages.select(parsed.alias("data")).select(
+    return computed_once(messages, "data", parsed).select(
         *[F.when(F.col(f"data.{_REJECTED}").isNull(), F.col(f"data.{name}")).alias(name) for name in names]
     )

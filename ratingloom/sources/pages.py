@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratingloom.functions import html
+from ratingloom.functions.once import computed_once
 
 
 def page_ratings(pages: DataFrame) -> DataFrame:
@@ -13,12 +14,16 @@ def page_ratings(pages: DataFrame) -> DataFrame:
 
     A row needs a link to a user and, in its first element of a `rated-` class, a positive number.
     """
+    rows = pages.select("movieId", F.explode(html.page_rows(F.col("html"))).alias("row"))
+    found = F.struct(
+        html.first_link(F.col("row")).alias("link"), html.rated_class(F.col("row")).alias("rated_class")
+    )
     return (
-        pages.select("movieId", F.explode(html.page_rows(F.col("html"))).alias("row"))
+        computed_once(rows, "found", found, "movieId")
         .select(
-            html.user_name(html.first_link(F.col("row"))).alias("userId"),
+            html.user_name(F.col("found.link")).alias("userId"),
             "movieId",
-            html.raw_rating(html.rated_class(F.col("row"))).alias("ratingRaw"),
+            html.raw_rating(F.col("found.rated_class")).alias("ratingRaw"),
         )
         .where(F.col("userId").isNotNull() & F.col("ratingRaw").isNotNull())
         .select("userId", "movieId", html.scaled_rating(F.col("ratingRaw")).alias("rating"), "ratingRaw")

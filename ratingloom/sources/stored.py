@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 from ratingloom.fixed_values import TEXT_OUTPUT_SEPARATOR
 from ratingloom.functions.text import field
 from ratingloom.session import path_exists
-from ratingloom.sinks.csv import CSV_OPTIONS
+from ratingloom.sinks.csv import CSV_READ_OPTIONS
 
 
 def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """All part files of a CSV output; the header of each is left out. Schemas are in `ratingloom.schemas`."""
-    return spark.read.options(**CSV_OPTIONS).schema(schema).csv(path)
+    return spark.read.options(**CSV_READ_OPTIONS).schema(schema).csv(path)
 
 
 def read_strict_means(spark: SparkSession, path: str) -> DataFrame:
@@ -40,7 +40,7 @@ def availability(spark: SparkSession, datasets: dict[str, tuple[str, str]]) -> D
             return spark.range(1).select(
                 F.lit(name).alias("dataset"), F.lit(False).alias("available"), F.lit(0).cast("bigint").alias("row_count")
             )
-        reader = spark.read.options(**CSV_OPTIONS) if file_format == "csv" else spark.read
+        reader = spark.read.options(**CSV_READ_OPTIONS) if file_format == "csv" else spark.read
         # One column is enough to count lines and spares the pass that would infer names.
         rows = reader.schema("value STRING").format(file_format).load(path) if file_format != "parquet" else (
             reader.parquet(path)

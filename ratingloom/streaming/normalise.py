@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ratingloom import schemas
 from ratingloom.fixed_values import LINE_SOURCE
+from ratingloom.functions.once import computed_once
 from ratingloom.functions.text import field, line_fields, real_number, whole_number
 from ratingloom.sources.messages import is_json, json_ratings
 
@@ -25,7 +26,7 @@ def from_lines(messages: DataFrame, source: str = LINE_SOURCE) -> DataFrame:
     parts = F.col("parts")
     seconds = whole_number(field(parts, 3), "bigint")
     return _rated(
-        messages.select(line_fields(F.col("raw")).alias("parts")).select(
+        computed_once(messages, "parts", line_fields(F.col("raw"))).select(
             field(parts, 0).alias("userId"),
             field(parts, 1).alias("movieId"),
             real_number(field(parts, 2)).alias("rating"),
