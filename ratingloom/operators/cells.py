@@ -22,17 +22,24 @@ def to_cells(
     undeclared = {family for family, _ in values} - set(CELL_FAMILIES[table])
     if undeclared:
         raise ValueError(f"table {table} has no families {sorted(undeclared)}")
+    names = [f"value_{position}" for position in range(len(values))]
+    keyed = rows.select(
+        row_key.alias("row_key"),
+        version_ts.alias("version_ts"),
+        *[value.cast("string").alias(name) for name, value in zip(names, values.values())],
+    )
+    # Keys are part of the generated rows, so the filter on them stays above and computes nothing again.
     entries = [
-        F.struct(F.lit(family).alias("family"), F.lit(name).alias("qualifier"), value.cast("string").alias("value"))
-        for (family, name), value in values.items()
+        F.struct(
+            "row_key",
+            F.lit(family).alias("family"),
+            F.lit(qualifier).alias("qualifier"),
+            F.col(name).alias("value"),
+            "version_ts",
+        )
+        for name, (family, qualifier) in zip(names, values)
     ]
-    return (
-        rows.select(row_key.alias("row_key"), version_ts.alias("version_ts"), F.array(*entries).alias("cells"))
-        .where(F.col("row_key").isNotNull())
-        .select("row_key", F.inline("cells"), "version_ts")
-        .where(F.col("value").isNotNull())
-        .select(*CELL_KEY, "value", "version_ts")
-    )
+    return keyed.select(F.inline(F.array(*entries))).where(F.col("row_key").isNotNull() & F.col("value").isNotNull())
 
 
 def _usable_movie(movie: Column) -> Column:

@@ -52,11 +52,9 @@ def parse_lenient_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @check(
-    f"""SELECT {views.sql_whole('p[1]')} AS movieId, p[2] AS title, p[3] AS genres FROM (SELECT string_split(
-    CASE movieId % 6 WHEN 1 THEN concat(movieId, '::', title) WHEN 2 THEN concat(movieId, '::', title, '::')
-    WHEN 3 THEN concat('x', movieId, '::', title, '::', genres) WHEN 4 THEN CAST(movieId AS VARCHAR)
-    ELSE concat(movieId, '::', title, '::', genres) END, '::') AS p FROM movies_view)""",
-    "movies",
+    f"""SELECT {views.sql_whole('p[1]')} AS movieId, p[2] AS title, p[3] AS genres
+    FROM (SELECT string_split(value, '::') AS p FROM movie_lines_view)""",
+    "movie_lines",
 )
 def parse_lenient_movies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S2"""

@@ -6,10 +6,11 @@ rule meets many rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratingloom.functions.html import LINK_PATTERN
+from ratingloom.functions.once import computed_once
 from ratingloom.sources.streams import read_table_stream
 
 NOW_MS = 1_700_000_000_000
@@ -59,53 +60,58 @@ _SPARK_RATING = [
     "CAST(l_shipdate - TIMESTAMP_NTZ'1970-01-01 00:00:00' AS BIGINT) AS timestamp",
 ]
 
-_LINE_CASES = [
-    # (remainder of the user by 16, line); the same text serves Spark and DuckDB.
-    (1, "concat(u, '::', m, '::x::', t)"),
-    (2, "concat(u, '::', m)"),
-    (3, "''"),
-    (4, "concat(u, '::', m, '::', r, '::')"),
-    (5, "concat(u, '::', m, '::', r, '::', t, '::')"),
-    (6, "concat(u, '::', m, '::', r, '::', t, '::5')"),
-    (7, "concat('  ', u, '::', m, '::', r, '::', t, ' ')"),
-    (8, "concat(chr(9), u, '::', m, '::', r, '::', t, chr(9))"),
-    (9, "concat('::', m, '::', r, '::', t)"),
-    (10, "concat(u, '::', m, '::', r, 'f::', t)"),
-    (11, "concat(u, '::', m, '::', r, 'e0::', t)"),
-    (12, "concat(u, '.0::', m, '.7::', r, '::', t)"),
-    (13, "concat(u, '::::', r, '::', t)"),
-    (14, "CAST(NULL AS {text})"),
+# One line per remainder of the user by 16: most defects a line can have, and two lines without any.
+LINE_TEMPLATES = [
+    "{u}::{m}::{r}::{t}",
+    "{u}::{m}::x::{t}",
+    "{u}::{m}",
+    "",
+    "{u}::{m}::{r}::",
+    "{u}::{m}::{r}::{t}::",
+    "{u}::{m}::{r}::{t}::5",
+    "  {u}::{m}::{r}::{t} ",
+    "\t{u}::{m}::{r}::{t}\t",
+    "::{m}::{r}::{t}",
+    "{u}::{m}::{r}f::{t}",
+    "{u}::{m}::{r}e0::{t}",
+    "{u}.0::{m}.7::{r}::{t}",
+    "{u}::::{r}::{t}",
+    None,
+    "{u}::{m}::{r}::{t}",
 ]
 
-_JSON_CASES = [
-    # (remainder of the user by 8, message)
-    (1, "concat('garbage ', u)"),
-    (2, """concat('{{"userId":"', u, '","movieId":"', m, '","rating":"', r, '","source":"s","timestamp":', t, '}}')"""),
-    (3, """concat('{{"userId":"', u, '","movieId":"', m, '","rating":4,5,"source":"s","timestamp":', t, '}}')"""),
-    (4, """concat('{{"userId":"', u, '","rating":', r, ',"source":"s","timestamp":', t, '}}')"""),
-    (
-        5,
-        """concat('{{"userId":"', u, '","movieId":"', m, '","rating":', r, ',"ratingRaw":9,"title":"A \\"b\\"",',
-        '"voteCount":3,"source":"s","timestamp":', t, '}}')""",
-    ),
-    (6, """concat('{{"userId":"', u, '","movieId":"', m, '","rating":', r, ',"source":"s","timestamp":"x"}}')"""),
+# One message per remainder of the user by 8.
+JSON_TEMPLATES = [
+    '{"userId":"{u}","movieId":"{m}","rating":{r},"source":"s","timestamp":{t}}',
+    "garbage {u}",
+    '{"userId":"{u}","movieId":"{m}","rating":"{r}","source":"s","timestamp":{t}}',
+    '{"userId":"{u}","movieId":"{m}","rating":4,5,"source":"s","timestamp":{t}}',
+    '{"userId":"{u}","rating":{r},"source":"s","timestamp":{t}}',
+    '{"userId":"{u}","movieId":"{m}","rating":{r},"ratingRaw":9,"title":"A \\"b\\"","voteCount":3,"source":"s",'
+    '"timestamp":{t}}',
+    '{"userId":"{u}","movieId":"{m}","rating":{r},"source":"s","timestamp":"x"}',
+    '{"userId":"{u}","movieId":"{m}","rating":{r},"source":"s","timestamp":{t}}',
 ]
-_JSON_PLAIN = """concat('{{"userId":"', u, '","movieId":"', m, '","rating":', r, ',"source":"s","timestamp":', t, '}}')"""
-
 
-def _cases(cases: list[tuple[int, str]], modulus: int, plain: str, text: str) -> str:
-    branches = " ".join(f"WHEN {remainder} THEN {line.format(text=text)}" for remainder, line in cases)
-    return f"CASE n % {modulus} {branches} ELSE {plain.format(text=text)} END"
+# One line per remainder of the movie by 6.
+MOVIE_TEMPLATES = ["{m}::{n}::{g}", "{m}::{n}", "{m}::{n}::", "x{m}::{n}::{g}", "{m}", "{m}::{n}::{g}"]
 
 
-def line_case(text: str) -> str:
-    return _cases(_LINE_CASES, 16, "concat(u, '::', m, '::', r, '::', t)", text)
+def filled(templates: list[str | None], number: str, parts: str) -> Column:
+    """The template for the column `number`, with the one-letter columns `parts` put in."""
+    text = F.element_at(F.array(*[F.lit(t) for t in templates]), (F.col(number) % len(templates) + 1).cast("int"))
+    for part in parts:
+        text = F.replace(text, F.lit(f"{{{part}}}"), F.col(part))
+    return text
 
 
-def json_case(text: str) -> str:
-    # Spark reads a backslash in a literal as an escape, DuckDB does not.
-    case = _cases(_JSON_CASES, 8, _JSON_PLAIN, text)
-    return case.replace('\\"', '\\\\"') if text == "STRING" else case
+def filled_sql(templates: list[str | None], number: str, parts: str) -> str:
+    """The same for DuckDB."""
+    texts = ", ".join("NULL" if t is None else "'" + t.replace("'", "''") + "'" for t in templates)
+    sql = f"list_extract([{texts}], {number} % {len(templates)} + 1)"
+    for part in parts:
+        sql = f"replace({sql}, '{{{part}}}', {part})"
+    return sql
 
 
 def _rating_parts(rows: DataFrame) -> DataFrame:
@@ -134,25 +140,23 @@ def rating_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lines_of(lineitem: DataFrame, name: str) -> DataFrame:
-    return _rating_parts(lineitem).select(F.expr(line_case("STRING")).alias(name))
+    return computed_once(_rating_parts(lineitem), name, filled(LINE_TEMPLATES, "n", "umrt"))
 
 
 def movie_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return movies(spark, sf_dir).selectExpr(
-        "CASE movieId % 6 WHEN 1 THEN concat(movieId, '::', title) WHEN 2 THEN concat(movieId, '::', title, '::') "
-        "WHEN 3 THEN concat('x', movieId, '::', title, '::', genres) WHEN 4 THEN CAST(movieId AS STRING) "
-        "ELSE concat(movieId, '::', title, '::', genres) END AS value"
-    )
+    parts = movies(spark, sf_dir).selectExpr("movieId", "CAST(movieId AS STRING) AS m", "title AS n", "genres AS g")
+    return computed_once(parts, "value", filled(MOVIE_TEMPLATES, "movieId", "mng"))
 
 
 def json_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rating_parts(table(spark, sf_dir, "lineitem")).select(F.expr(json_case("STRING")).alias("raw"))
+    return computed_once(_rating_parts(table(spark, sf_dir, "lineitem")), "raw", filled(JSON_TEMPLATES, "n", "umrt"))
 
 
 def mixed_texts(lineitem: DataFrame) -> DataFrame:
-    return _rating_parts(lineitem).select(
-        F.expr(f"CASE WHEN l_linenumber % 2 = 0 THEN {line_case('STRING')} ELSE {json_case('STRING')} END").alias("raw")
+    text = F.when(F.col("l_linenumber") % 2 == 0, filled(LINE_TEMPLATES, "n", "umrt")).otherwise(
+        filled(JSON_TEMPLATES, "n", "umrt")
     )
+    return computed_once(_rating_parts(lineitem), "raw", text)
 
 
 def event_messages(events: DataFrame) -> DataFrame:
@@ -170,7 +174,7 @@ def event_messages(events: DataFrame) -> DataFrame:
     )
 
 
-def event_ms(ts):
+def event_ms(ts: Column) -> Column:
     seconds = (ts - F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")).cast("decimal(20,6)")
     return F.floor(seconds * 1000).cast("bigint")
 
@@ -243,7 +247,12 @@ SQL_VIEWS: dict[str, tuple[str, tuple[str, ...]]] = {
             FROM ratings_view JOIN genres_view USING (movieId) GROUP BY genre""",
         ("ratings", "genres"),
     ),
-    "lines": (f"SELECT {line_case('VARCHAR')} AS value FROM ({_SQL_PARTS})", ("ratings",)),
+    "movie_lines": (
+        f"""SELECT {filled_sql(MOVIE_TEMPLATES, 'movieId', 'mng')} AS value
+            FROM (SELECT movieId, CAST(movieId AS VARCHAR) AS m, title AS n, genres AS g FROM movies_view)""",
+        ("movies",),
+    ),
+    "lines": (f"SELECT {filled_sql(LINE_TEMPLATES, 'n', 'umrt')} AS value FROM ({_SQL_PARTS})", ("ratings",)),
     "lenient": (
         f"""SELECT {sql_whole('p[1]')} AS userId, {sql_whole('p[2]')} AS movieId, {sql_real('p[3]')} AS rating,
             {sql_whole('p[4]', 'BIGINT')} AS timestamp
@@ -280,10 +289,10 @@ SQL_VIEWS: dict[str, tuple[str, tuple[str, ...]]] = {
         ("events_archive",),
     ),
     "unified": ("SELECT * FROM line_stream_view UNION ALL SELECT * FROM event_stream_view", ("line_stream", "event_stream")),
-    "json_texts": (f"SELECT {json_case('VARCHAR')} AS raw FROM ({_SQL_PARTS})", ("ratings",)),
+    "json_texts": (f"SELECT {filled_sql(JSON_TEMPLATES, 'n', 'umrt')} AS raw FROM ({_SQL_PARTS})", ("ratings",)),
     "mixed": (
-        f"""SELECT CASE WHEN l_linenumber % 2 = 0 THEN {line_case('VARCHAR')} ELSE {json_case('VARCHAR')} END AS raw
-            FROM ({_SQL_PARTS})""",
+        f"""SELECT CASE WHEN l_linenumber % 2 = 0 THEN {filled_sql(LINE_TEMPLATES, 'n', 'umrt')}
+            ELSE {filled_sql(JSON_TEMPLATES, 'n', 'umrt')} END AS raw FROM ({_SQL_PARTS})""",
         ("ratings",),
     ),
     "recent": (
