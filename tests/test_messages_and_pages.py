@@ -1,0 +1,155 @@
+"""JSON messages, mixed topics, HTML pages, keyed messages."""
+
+import json
+
+import pytest
+from conftest import rows_of
+from pyspark.sql import functions as F
+
+from ratingloom import schemas
+from ratingloom.sinks.messages import json_messages, line_messages, publish
+from ratingloom.sources import lines, pages
+from ratingloom.sources.messages import json_ratings
+from ratingloom.sources.streams import kafka_options
+from ratingloom.streaming import normalise
+
+NOTHING = (None, None, None, None, None)
+
+
+def raws(spark, texts):
+    return spark.createDataFrame([(text,) for text in texts], "raw STRING")
+
+
+@pytest.mark.parametrize(
+    "text, expected",
+    [
+        (
+            '{"userId":"u","movieId":"m","rating":4.5,"ratingRaw":9,"source":"s","timestamp":1}',
+            ("u", "m", 4.5, "s", 1),
+        ),
+        ('{"userId":5,"movieId":7,"rating":4}', ("5", "7", 4.0, None, None)),
+        ("garbage", NOTHING),
+        ("", NOTHING),
+        (None, NOTHING),
+        ('{"movieId":"m","rating":"4.5"}', NOTHING),
+        ('{"movieId":"m","rating":4,5}', NOTHING),
+        ('{"movieId":"m","rating":4.5,"timestamp":"x"}', NOTHING),
+    ],
+)
+def test_json_message(spark, text, expected):
+    assert rows_of(json_ratings(raws(spark, [text]))) == [expected]
+
+
+def test_the_older_schema_also_judges_the_fields_nobody_reads(spark):
+    text = '{"movieId":"m","rating":4.5,"voteCount":"many"}'
+    assert rows_of(json_ratings(raws(spark, [text]))) == [(None, "m", 4.5, None, None)]
+    assert rows_of(json_ratings(raws(spark, [text]), schemas.OLDER_JSON_MESSAGE)) == [NOTHING]
+
+
+def test_lines_of_a_stream_need_a_movie_and_a_rating(spark):
+    texts = ["1::2::3.5::9", "a::b::4", "a::b", "a::b::x::1", "1::::3::4", "", None, "1::2::3::99999999999999999"]
+    assert rows_of(normalise.from_lines(raws(spark, texts), "lines")) == sorted(
+        [
+            ("1", "2", 3.5, "lines", 9000),
+            ("a", "b", 4.0, "lines", None),
+            ("1", "", 3.0, "lines", 4000),
+            ("1", "2", 3.0, "lines", None),
+        ],
+        key=repr,
+    )
+
+
+def test_mixed_topic_is_told_apart_by_the_first_character(spark):
+    texts = [
+        "1::2::3.5::9",
+        '{"userId":"u","movieId":"m","rating":2.0,"source":"s","timestamp":1}',
+        ' {"userId":"u","movieId":"m","rating":2.0}',  # a blank first: a line, and a bad one
+        None,
+        "{broken",
+    ]
+    assert rows_of(normalise.from_mixed(raws(spark, texts), "lines")) == sorted(
+        [("1", "2", 3.5, "lines", 9000), ("u", "m", 2.0, "s", 1)], key=repr
+    )
+
+
+def html_of(*rows):
+    return "<html><body><a href='/nav/'>x</a><table>" + "".join(rows) + "</table></body></html>"
+
+
+def row(link, css, marked=True, end="</tr>"):
+    attribute = ' class="odd table-film-detail"' if marked else ""
+    return f'<tr{attribute}><td><a class="n" href="{link}">u</a></td><td><span class="{css}">*</span></td>{end}'
+
+
+def ratings_of(spark, html):
+    frame = spark.createDataFrame([("film", html)], "movieId STRING, html STRING")
+    return [tuple(r)[0:1] + tuple(r)[2:] for r in pages.page_ratings(frame).collect()]
+
+
+def test_page_rows(spark):
+    assert ratings_of(spark, html_of(row("/ann/", "rating rated-8"), row("/bob", "rated-10"))) == [
+        ("ann", 4.0, 8),
+        ("bob", 5.0, 10),
+    ]
+
+
+@pytest.mark.parametrize(
+    "css, raw",
+    [
+        ("rating rated-8", 8), ("unrated-9", None), ("rated-8x rated-7", 7), ("rated-10", 10), ("rated-0", None),
+        ("rated--3 rated-5", None), ("rated-11", 11), ("rated-", None), ("plain", None),
+    ],
+)
+def test_rated_class(spark, css, raw):
+    assert ratings_of(spark, html_of(row("/u/", css))) == ([] if raw is None else [("u", raw / 2, raw)])
+
+
+@pytest.mark.parametrize("link, user", [("/u/", "u"), ("u/", "u"), ("/u/films/", None), ("/", None), ("u", None)])
+def test_user_link(spark, link, user):
+    assert ratings_of(spark, html_of(row(link, "rated-2"))) == ([] if user is None else [(user, 1.0, 2)])
+
+
+def test_unmarked_rows_count_only_where_no_row_is_marked(spark):
+    marked, other = row("/ann/", "rated-8"), row("/bob/", "rated-6", marked=False)
+    assert ratings_of(spark, html_of(marked, other)) == [("ann", 4.0, 8)]
+    assert ratings_of(spark, html_of(other)) == [("bob", 3.0, 6)]
+    assert ratings_of(spark, "<p>no table</p>") == []
+
+
+def test_only_the_first_rated_element_of_a_row_counts(spark):
+    cell = '<td><i class="unrated-1"></i><i class="rated-4"></i></td>'
+    assert ratings_of(spark, html_of(f'<tr class="table-film-detail"><td><a href="/u/">u</a></td>{cell}</tr>')) == []
+
+
+def test_rows_without_end_tags_and_with_other_spellings(spark):
+    html = html_of(row("/a/", "rated-2", end=""), row("/b/", "rated-4", end=""))
+    assert ratings_of(spark, html) == [("a", 1.0, 2), ("b", 2.0, 4)]
+    spelled = "<TABLE><TR CLASS='table-film-detail'>\n<TD><A HREF='/c/'>c</A>\n<SPAN CLASS='rated-6'></SPAN></TR></TABLE>"
+    assert ratings_of(spark, spelled) == [("c", 3.0, 6)]
+
+
+def test_messages_round_trip(spark, tmp_path):
+    texts = ["1::2::3.5::9", "1::2", "\t7::8::1.0::10 ", "1::5::x::2"]
+    frame = spark.createDataFrame([(text,) for text in texts], "value STRING")
+    replayed = line_messages(lines.replay_lines(frame))
+    publish(replayed, str(tmp_path / "topic"))
+    back = spark.read.parquet(str(tmp_path / "topic"))
+    assert rows_of(back) == [("2", "1::2::3.5::9"), ("5", "1::5::x::2"), ("8", "7::8::1.0::10")]
+    stream_form = normalise.from_lines(back.select(F.col("value").alias("raw")), "lines")
+    assert rows_of(stream_form) == [("1", "2", 3.5, "lines", 9000), ("7", "8", 1.0, "lines", 10000)]
+
+
+def test_json_messages_escape_what_needs_it(spark):
+    rated = spark.createDataFrame([('a"b', "m", 4.5, 9)], "userId STRING, movieId STRING, rating DOUBLE, ratingRaw INT")
+    message = json_messages(rated, now_ms=7).first()
+    assert message.key == "m"
+    assert json.loads(message.value) == {
+        "userId": 'a"b', "movieId": "m", "rating": 4.5, "ratingRaw": 9, "source": "letterboxd", "timestamp": 7,
+    }
+
+
+def test_kafka_options():
+    options = kafka_options("b:9092", "ratings", 1000)
+    assert options["startingOffsets"] == "earliest" and options["failOnDataLoss"] == "false"
+    assert options["subscribe"] == "ratings" and options["maxOffsetsPerTrigger"] == "1000"
+    assert "maxOffsetsPerTrigger" not in kafka_options("b:9092", "ratings")

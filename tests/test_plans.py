@@ -1,0 +1,132 @@
+"""What the physical plans must look like for large inputs."""
+
+import re
+from pathlib import Path
+
+import pytest
+from conftest import SF_DIR, plan_of
+from pyspark.sql import functions as F
+
+from ratingloom.operators import cells, display, ranking, stats
+from ratingloom.sources import lines, messages
+from ratingloom.streaming import normalise
+from verification import views
+from verification.checks import CHECKS, _movie_stats
+
+PACKAGE = Path(__file__).resolve().parent.parent / "ratingloom"
+
+
+def text_values(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("1::2::3::4\n")
+    return spark.read.text(str(tmp_path))
+
+
+def test_top_lists_do_not_sort_everything(spark):
+    for name in ("top_movies", "strict_top20", "recent_sample", "recent_feed"):
+        plan = plan_of(CHECKS[name].run(spark, SF_DIR))
+        assert "TakeOrderedAndProject" in plan, name
+        assert "rangepartitioning" not in plan, name
+
+
+def test_tails_are_cut_before_the_shuffle(spark):
+    plan = plan_of(CHECKS["recent_per_movie"].run(spark, SF_DIR))
+    assert plan.count("WindowGroupLimit") == 2 and "Partial" in plan
+    assert plan.count("Exchange") == 1
+    kept = cells.retained_cells(
+        spark.createDataFrame([], "row_key STRING, family STRING, qualifier STRING, value STRING, version_ts BIGINT"), 0
+    )
+    assert plan_of(kept).count("WindowGroupLimit") == 2
+
+
+def test_ratings_are_shuffled_once_and_only_as_partial_sums(spark):
+    plan = plan_of(stats.movie_stats(views.ratings(spark, SF_DIR)))
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert "partial_sum" in plan and "partial_count" in plan
+
+
+def test_joins_come_after_the_totals_and_reuse_their_partitions(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for frame in (
+            _movie_stats(spark, SF_DIR),
+            stats.genre_stats(stats.rating_totals(views.ratings(spark, SF_DIR), "movieId"), views.movies(spark, SF_DIR)),
+        ):
+            plan = plan_of(frame)
+            by_movie = re.findall(r"Exchange hashpartitioning\((?:movieId|l_partkey|p_partkey|_groupingexpression)", plan)
+            assert len(by_movie) == 2, plan  # the partial sums and the movies, nothing else
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_scans_read_only_what_they_need(spark):
+    plan = plan_of(stats.rating_distribution(views.ratings(spark, SF_DIR)))
+    assert "ReadSchema: struct<l_quantity:double>" in plan
+    plan = plan_of(stats.movie_stats(views.ratings(spark, SF_DIR)))
+    assert "ReadSchema: struct<l_partkey:bigint,l_quantity:double>" in plan
+
+
+def test_lookup_filters_in_the_scan(spark, tmp_path):
+    from ratingloom.sinks.cells import read_cells, write_cells
+
+    write_cells(cells.batch_stats_cells(_movie_stats(spark, SF_DIR), 1), str(tmp_path / "c"), 0)
+    plan = plan_of(cells.lookup_stats(read_cells(spark, str(tmp_path / "c")), "42_batch"))
+    assert "EqualTo(row_key,42_batch)" in plan
+
+
+def test_each_line_is_split_once(spark, tmp_path):
+    value = text_values(spark, tmp_path)
+    raw = value.withColumnRenamed("value", "raw")
+    for frame in (
+        lines.strict_ratings(value),
+        lines.replay_lines(value),
+        lines.lenient_ratings(value).where("rating IS NOT NULL AND movieId IS NOT NULL"),
+        normalise.from_lines(raw),
+    ):
+        assert plan_of(frame).count("split(") == 1
+    assert plan_of(normalise.from_json_messages(raw)).count("from_json(") == 1
+    pruned = plan_of(normalise.from_lines(raw).select("movieId", "rating"))
+    assert "[3]" not in pruned  # the timestamp is not parsed where nobody asks for it
+
+
+def test_exact_distinct_spreads_a_source(spark):
+    frame = spark.createDataFrame([("u", "m", 1.0, "s", 1)], "userId STRING, movieId STRING, rating DOUBLE, source STRING, event_ts BIGINT")
+    plan = plan_of(stats.source_stats_exact(frame))
+    assert re.search(r"hashpartitioning\(source#\d+, movieId#\d+", plan)
+
+
+def test_generated_methods_stay_small_enough_to_be_compiled(spark, tmp_path):
+    """The JVM interprets methods of more than 8000 bytes, at a tenth of the speed."""
+    value = text_values(spark, tmp_path)
+    raw = value.withColumnRenamed("value", "raw")
+    parsed = lines.lenient_ratings(value)
+    frames = {
+        "lenient": parsed,
+        "strict": lines.strict_ratings(value),
+        "lines": normalise.from_lines(raw),
+        "json": normalise.from_json_messages(raw),
+        "mixed": normalise.from_mixed(raw),
+        "cells": cells.rating_event_cells(parsed.withColumn("source", F.lit("s")), 1),
+        "names": display.with_display_name(
+            normalise.from_lines(raw), spark.createDataFrame([(1, "t")], "movieId INT, title STRING")
+        ),
+        "stars": display.with_band(display.with_stars(parsed)),
+    }
+    for name, frame in frames.items():
+        stages = frame._jdf.queryExecution().debug().codegenToSeq().iterator()
+        while stages.hasNext():
+            assert stages.next()._3().maxMethodCodeSize() < 8000, name
+
+
+def test_no_python_functions_in_plans(spark):
+    for name in ("movie_stats", "page_ratings", "display_names", "cells_rating_events", "recent_feed"):
+        plan = plan_of(CHECKS[name].run(spark, SF_DIR))
+        assert "Python" not in plan and "Pandas" not in plan, name
+
+
+@pytest.mark.parametrize("path", sorted(PACKAGE.rglob("*.py")), ids=lambda path: path.name)
+def test_nothing_is_brought_to_the_driver(path):
+    text = path.read_text()
+    for word in (".collect(", "toPandas", "toLocalIterator", "localCheckpoint", ".rdd", "crossJoin", "collect_list",
+                 "collect_set", "pandas_udf", "F.udf", ".cache("):
+        assert word not in text, word
+    assert text.count("F.broadcast(") == (1 if path.name == "queries.py" else 0)
