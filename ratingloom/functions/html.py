@@ -25,11 +25,13 @@ RATED_CLASS_PATTERN = rf"""(?is)<[a-z][^>]*?\sclass\s*=\s*["']([^"'>]*{RATED_CLA
 RATED_TOKEN_PATTERN = rf"(?:^|\s){RATED_CLASS_PREFIX}([+-]?\d+)(?:\s|$)"
 
 
-def page_rows(html: Column) -> Column:
-    """The table rows that hold ratings: those of the marked class, or all rows of a page that has none."""
-    marked = F.regexp_extract_all(html, F.lit(MARKED_ROW_PATTERN), F.lit(0))
-    rows = F.regexp_extract_all(html, F.lit(ROW_PATTERN), F.lit(0))
-    return F.when(F.size(marked) > 0, marked).otherwise(rows)
+def marked_rows(html: Column) -> Column:
+    """The table rows of the marked class."""
+    return F.regexp_extract_all(html, F.lit(MARKED_ROW_PATTERN), F.lit(0))
+
+
+def all_rows(html: Column) -> Column:
+    return F.regexp_extract_all(html, F.lit(ROW_PATTERN), F.lit(0))
 
 
 def links(html: Column) -> Column:

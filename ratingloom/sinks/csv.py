@@ -17,13 +17,12 @@ CSV_OPTIONS = {
 CSV_READ_OPTIONS = {**CSV_OPTIONS, "nullValue": "\u0000"}
 
 
-def write_csv(rows: DataFrame, path: str, single_file: bool = False) -> None:
+def write_csv(rows: DataFrame, path: str) -> None:
     """K1: replace the CSV output at `path`.
 
-    `single_file` is for results whose size does not follow the input (top lists, genres, rating histogram).
+    AQE merges the partitions of a small sorted result, which becomes one file; a large one is written by many tasks.
     """
-    output = rows.coalesce(1) if single_file else rows
-    output.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
+    rows.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
 
 
 def write_strict_means(lines: DataFrame, path: str) -> None:

@@ -12,9 +12,12 @@ from ratingloom.functions.once import computed_once
 def page_ratings(pages: DataFrame) -> DataFrame:
     """userId, movieId, rating, ratingRaw from `movieId` (the key of the page) and `html`.
 
-    A row needs a link to a user and, in its first element of a `rated-` class, a positive number.
+    Rows are those of the marked class, or all rows of a page that has none. A row needs a link to a user and, in its
+    first element of a `rated-` class, a positive number.
     """
-    rows = pages.select("movieId", F.explode(html.page_rows(F.col("html"))).alias("row"))
+    searched = computed_once(pages, "marked", html.marked_rows(F.col("html")), "movieId", "html")
+    rating_rows = F.when(F.size("marked") > 0, F.col("marked")).otherwise(html.all_rows(F.col("html")))
+    rows = searched.select("movieId", F.explode(rating_rows).alias("row"))
     found = F.struct(
         html.first_link(F.col("row")).alias("link"), html.rated_class(F.col("row")).alias("rated_class")
     )

@@ -7,6 +7,7 @@ from conftest import SF_DIR, rows_of
 from pyspark.sql import functions as F
 
 from ratingloom import schemas, session
+from ratingloom.fixed_values import STRICT_OUTPUT_PARTITIONS
 from ratingloom.plans import batch, live, serving
 from ratingloom.sources.stored import availability, read_csv, read_strict_means
 from ratingloom.sinks.csv import write_csv
@@ -27,14 +28,14 @@ def inputs(spark, tmp_path_factory):
 def output(spark, inputs, tmp_path_factory):
     path = str(tmp_path_factory.mktemp("out"))
     batch.run(spark, f"{inputs}/ratings", f"{inputs}/movies", path)
-    batch.run_strict(spark, f"{inputs}/ratings", f"{path}/strict-means")
+    batch.run_strict(spark, f"{inputs}/ratings", f"{path}/strict-means", STRICT_OUTPUT_PARTITIONS)
     return path
 
 
 def test_small_outputs_are_single_files_with_a_header(output):
     from pathlib import Path
 
-    for name in ("top10", "genre-stats", "rating-distribution"):
+    for name in ("movie-stats", "top10", "genre-stats", "rating-distribution"):
         files = list(Path(output, name).glob("part-*.csv"))
         assert len(files) == 1
     assert files[0].read_text().splitlines()[0] == "rating,count"

@@ -177,16 +177,12 @@ def null_rating_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return by_movie.unionByName(by_value)
 
 
-def _csv_round_trip(spark: SparkSession, rows: DataFrame, schema: str, single_file: bool) -> DataFrame:
-    path = shared_folder(spark, "csv")
-    write_csv(rows, path, single_file)
-    return stored.read_csv(spark, path, schema)
-
-
 @check("SELECT * FROM movie_stats_view", "movie_stats")
 def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K1, S7"""
-    return _csv_round_trip(spark, movie_stats(spark, sf_dir), schemas.MOVIE_STATS, False)
+    path = shared_folder(spark, "csv")
+    write_csv(movie_stats(spark, sf_dir), path)
+    return stored.read_csv(spark, path, schemas.MOVIE_STATS)
 
 
 @check(
@@ -652,7 +648,7 @@ def dataset_availability(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two outputs written, the third not yet"""
     folder = shared_folder(spark, "status")
     write_strict_means(stats.strict_mean_lines(strict_movie_average(spark, sf_dir)), f"{folder}/strict-means")
-    write_csv(top_movies(spark, sf_dir), f"{folder}/top10", single_file=True)
+    write_csv(top_movies(spark, sf_dir), f"{folder}/top10")
     return stored.availability(
         spark,
         {
