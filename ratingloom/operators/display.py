@@ -26,14 +26,15 @@ def with_display_name(rows: DataFrame, titles: DataFrame) -> DataFrame:
     much of `rows`, which a left join allows on that side.
     """
     names = titles.select(F.col("movieId").cast("string").alias("_id"), F.col("title").alias("_title"))
+    names = names.where(is_numeric_id(F.col("_id")) & (F.col("_title") != ""))
     movie = F.col("movieId")
-    from_title = F.when(F.col("_title") != "", F.col("_title")).otherwise(F.concat(F.lit("#"), movie))
     return (
         rows.join(names, movie == F.col("_id"), "left")
         .withColumn(
             "displayName",
             F.when(movie.isNull() | (movie == ""), MISSING_NAME)
-            .when(is_numeric_id(movie), from_title)
+            .when(F.col("_title").isNotNull(), F.col("_title"))
+            .when(is_numeric_id(movie), F.concat(F.lit("#"), movie))
             .otherwise(words_from_slug(movie)),
         )
         .drop("_id", "_title")

@@ -11,21 +11,21 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ratingloom.fixed_values import MIN_VOTES, TOP_MOVIES
 from ratingloom.operators import ranking, stats
-from ratingloom.session import build_session, shared_folder
+from ratingloom.session import build_session, remove_folder, shared_folder
 from ratingloom.sinks.csv import write_csv, write_strict_means
 from ratingloom.sources.lines import read_movies, read_ratings, read_strict_ratings
 
 
 def reports(
-    ratings: DataFrame, movies: DataFrame, min_votes: int = MIN_VOTES, k: int = TOP_MOVIES
+    ratings: DataFrame, movies: DataFrame, cube_path: str, min_votes: int = MIN_VOTES, k: int = TOP_MOVIES
 ) -> dict[str, DataFrame]:
     """The four outputs by name.
 
-    The ratings are read and shuffled once, for the cube of votes per movie and rating value. It is written to the shared
-    folder, so the outputs neither repeat that pass nor depend on executors that hold cached blocks.
+    The ratings are read and shuffled once, for the cube of votes per movie and rating value. It is written to
+    `cube_path`, so the outputs neither repeat that pass nor depend on executors that hold cached blocks.
     """
-    spark = ratings.sparkSession
-    cube = _stored(spark, stats.rating_cube(ratings), "cube")
+    stats.rating_cube(ratings).write.mode("overwrite").parquet(cube_path)
+    cube = ratings.sparkSession.read.parquet(cube_path)
     totals = stats.cube_totals(cube, "movieId")
     titled = stats.with_titles(stats.mean_and_votes(totals, "movieId"), movies)
     return {
@@ -36,12 +36,6 @@ def reports(
     }
 
 
-def _stored(spark: SparkSession, rows: DataFrame, label: str) -> DataFrame:
-    path = shared_folder(spark, label)
-    rows.write.parquet(path)
-    return spark.read.parquet(path)
-
-
 def write_reports(outputs: dict[str, DataFrame], path: str) -> None:
     """K1."""
     for name, rows in outputs.items():
@@ -49,11 +43,13 @@ def write_reports(outputs: dict[str, DataFrame], path: str) -> None:
 
 
 def run(spark: SparkSession, ratings_path: str, movies_path: str, output_path: str) -> None:
-    outputs = reports(read_ratings(spark, ratings_path), read_movies(spark, movies_path))
+    cube_path = shared_folder(spark, "cube")
+    outputs = reports(read_ratings(spark, ratings_path), read_movies(spark, movies_path), cube_path)
     write_reports(outputs, output_path)
     # K3: the first rows of the small outputs, untruncated.
     for name, rows in (("top10", 10), ("genre-stats", 20), ("rating-distribution", 20)):
         outputs[name].show(rows, truncate=False)
+    remove_folder(spark, cube_path)
 
 
 def run_strict(

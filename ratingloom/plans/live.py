@@ -19,6 +19,11 @@ from ratingloom.sources.streams import read_text_stream, read_topic
 from ratingloom.streaming import queries
 from ratingloom.streaming.normalise import from_json_messages, from_lines, from_mixed, unify
 
+# What one micro-batch takes at most, so that the first one does not hold the whole backlog.
+OFFSETS_PER_TRIGGER = 50_000_000
+FILES_PER_TRIGGER = 1_000
+CELL_FILES_PER_BATCH = 32
+
 
 def start(unified: DataFrame, output_path: str, once: bool = False) -> list[StreamingQuery]:
     """The four named queries, each with its own checkpoint. `once` handles what is there and stops."""
@@ -36,7 +41,9 @@ def start(unified: DataFrame, output_path: str, once: bool = False) -> list[Stre
             source_stats(unified), checkpoint("source-stats"), every(SOURCE_STATS_TRIGGER)
         ),
         queries.start_archive(unified, f"{output_path}/raw-stream", checkpoint("archive"), every(ARCHIVE_TRIGGER)),
-        queries.start_cell_upsert(stats, f"{output_path}/cells", checkpoint("cells"), every(CELL_TRIGGER)),
+        queries.start_cell_upsert(
+            stats, f"{output_path}/cells", checkpoint("cells"), every(CELL_TRIGGER), files=CELL_FILES_PER_BATCH
+        ),
     ]
 
 
@@ -46,17 +53,22 @@ def main() -> None:
     output_path, kind, *where = sys.argv[1:]
     spark = build_session("live ratings")
     if kind == "mixed":
-        unified = from_mixed(read_topic(spark, *where))
+        servers, topic = where
+        unified = from_mixed(read_topic(spark, servers, topic, OFFSETS_PER_TRIGGER))
     elif kind == "kafka":
         servers, lines, messages = where
         unified = unify(
-            from_lines(read_topic(spark, servers, lines)), from_json_messages(read_topic(spark, servers, messages))
+            from_lines(read_topic(spark, servers, lines, OFFSETS_PER_TRIGGER)),
+            from_json_messages(read_topic(spark, servers, messages, OFFSETS_PER_TRIGGER)),
         )
-    else:
+    elif kind == "files":
         lines, messages = where
         unified = unify(
-            from_lines(read_text_stream(spark, lines)), from_json_messages(read_text_stream(spark, messages))
+            from_lines(read_text_stream(spark, lines, FILES_PER_TRIGGER)),
+            from_json_messages(read_text_stream(spark, messages, FILES_PER_TRIGGER)),
         )
+    else:
+        sys.exit(__doc__)
     start(unified, output_path)
     spark.streams.awaitAnyTermination()
 

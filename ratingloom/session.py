@@ -7,17 +7,23 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Settings the jobs want on a cluster; callers may override any of them. Partition counts are left to AQE, which
-# starts from `initialPartitionNum` and merges small partitions, and splits skewed ones in sort-merge joins.
+# Settings the jobs want on a cluster; callers may override any of them. Shuffles start with many partitions, which AQE
+# merges to the advisory size, so that one setting serves small inputs and 100 TB; larger scan tasks keep the number of
+# map outputs the driver has to track within bounds at that size.
 CLUSTER_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "16384",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.files.maxPartitionBytes": "512m",
     "spark.sql.session.timeZone": "UTC",
     "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
 }
 
-# Streaming state has one entry per (movie, source) and never expires, so it must not live on the JVM heap.
+# Streaming state has one entry per (movie, source) and never expires, so it must not live on the JVM heap. The number
+# of state partitions is that of `spark.sql.shuffle.partitions` when a query first starts, and stays.
 STREAMING_SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -54,6 +60,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete an intermediate table that is no longer needed."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+
+
 def is_directory(spark: SparkSession, path: str) -> bool:
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     file_system = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())

@@ -57,11 +57,17 @@ def start_cell_upsert(
     trigger: str | None = CELL_TRIGGER,
     name: str = "cell_writer",
     now_ms: int | None = None,
+    files: int | None = None,
 ) -> StreamingQuery:
-    """The stats that changed, as cells; one distributed write per micro-batch, which fails as a whole."""
+    """The stats that changed, as cells; one distributed write per micro-batch, which fails as a whole.
+
+    A batch has one file per state partition, or `files` by key: with short intervals few keys change, and the many
+    state partitions would leave as many tiny files.
+    """
 
     def write_batch(changed: DataFrame, batch_id: int) -> None:
-        write_cells(live_stats_cells(changed, now_ms), path, batch_id)
+        cells = live_stats_cells(changed, now_ms)
+        write_cells(cells if files is None else cells.repartition(files, "row_key"), path, batch_id)
 
     return _writer(stats, name, "update", checkpoint, trigger).foreachBatch(write_batch).start()
 

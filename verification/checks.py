@@ -198,10 +198,11 @@ def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def batch_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole batch job: all four outputs written and read back, as one list."""
     path = shared_folder(spark, "reports")
-    batch.write_reports(
-        batch.reports(views.ratings(spark, sf_dir), views.movies(spark, sf_dir), min_votes=MIN_VOTES), path
+    outputs = batch.reports(
+        views.ratings(spark, sf_dir), views.movies(spark, sf_dir), f"{path}/cube", min_votes=MIN_VOTES
     )
-    outputs = {
+    batch.write_reports(outputs, path)
+    columns = {
         "movie-stats": (schemas.MOVIE_STATS, "CAST(movieId AS STRING)", "avgRating", "totalVotes"),
         "top10": (schemas.MOVIE_STATS, "CAST(movieId AS STRING)", "avgRating", "totalVotes"),
         "genre-stats": (schemas.GENRE_STATS, "genre", "avgRating", "totalRatings"),
@@ -211,7 +212,7 @@ def batch_report(spark: SparkSession, sf_dir: str) -> DataFrame:
         stored.read_csv(spark, f"{path}/{output}", schema).selectExpr(
             f"'{output}' AS output", f"{name} AS name", f"{value} AS value", f"`{votes}` AS votes"
         )
-        for output, (schema, name, value, votes) in outputs.items()
+        for output, (schema, name, value, votes) in columns.items()
     ]
     return reduce(DataFrame.unionByName, parts)
 
