@@ -47,7 +47,7 @@ def whole_number(text: Column, data_type: str = "int") -> Column:
     picked out.
     """
     looks_plain = (text < ":") & (text != "") & ~text.contains(".")
-    digits = F.regexp_extract(text, r"^\s*([+-]?\d+)(?:\.\d*)?\s*$", 1)
+    digits = F.regexp_extract(text, r"^[\x00-\x20]*([+-]?\d+)(?:\.\d*)?[\x00-\x20]*$", 1)
     return F.when(looks_plain, text).otherwise(F.nullif(digits, F.lit(""))).try_cast(data_type)
 
 

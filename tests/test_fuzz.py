@@ -1,0 +1,127 @@
+"""Random input against small models that share nothing with the expressions under test."""
+
+import random
+import re
+from html.parser import HTMLParser
+
+from conftest import rows_of
+from pyspark.sql import functions as F
+
+from ratingloom.functions.text import words_from_slug
+from ratingloom.sources import lines, pages
+
+BLANKS = "".join(map(chr, range(0x21)))
+
+
+def fields_of(line):
+    line = line.strip(BLANKS)
+    parts = line.split("::")
+    while parts and parts[-1] == "":
+        parts.pop()
+    return line, parts
+
+
+def random_line(dice):
+    tokens = ["", "1", "22", "3.5", "x", " ", ":", "a b", "\t", "4"]
+    count = dice.choice([0, 1, 2, 3, 4, 4, 4, 4, 5, 6])
+    text = "".join(
+        dice.choice(tokens) + dice.choice(["::", "::", "::", "::", ":", ":::", "::::"]) for _ in range(count)
+    )
+    return dice.choice(["", " ", "\t\x01"]) + text[: -dice.choice([0, 1, 2, 2, 2]) or None] + dice.choice(["", " ", "9"])
+
+
+def test_strict_lines(spark):
+    dice = random.Random(11)
+    texts = [random_line(dice) for _ in range(20000)]
+    frame = spark.createDataFrame([(text,) for text in texts], "value STRING")
+    complete = [(line, parts) for line, parts in map(fields_of, texts) if line and len(parts) == 4]
+    assert len(complete) > 1000
+    assert rows_of(lines.strict_ratings(frame)) == sorted([(p[1], p[2]) for _, p in complete], key=repr)
+    assert rows_of(lines.replay_lines(frame)) == sorted([(p[1], line) for line, p in complete], key=repr)
+
+
+def test_lenient_text_fields(spark):
+    dice = random.Random(12)
+    texts = [random_line(dice) for _ in range(5000)]
+    frame = spark.createDataFrame([(text,) for text in texts], "value STRING")
+    expected = []
+    for text in texts:
+        parts = text.split("::")
+        number = re.fullmatch(r"\s*([+-]?\d+)(\.\d*)?\s*", parts[0].strip(BLANKS))
+        expected.append((int(number.group(1)) if number else None, *(parts + [None, None])[1:3]))
+    assert rows_of(lines.lenient_movies(frame)) == sorted(expected, key=repr)
+
+
+def test_slugs(spark):
+    dice = random.Random(13)
+    texts = ["".join(dice.choice("ab-Zé'_. 9ñ") for _ in range(dice.randint(0, 12))) for _ in range(5000)]
+    frame = spark.createDataFrame([(text,) for text in texts], "value STRING")
+    found = frame.select("value", words_from_slug(F.col("value")).alias("words")).collect()
+    for row in found:
+        model = re.sub(r"\b\w", lambda m: m.group().upper(), row.value.replace("-", " "), flags=re.ASCII)
+        assert row.words == model, row.value
+
+
+class Rows(HTMLParser):
+    """Rows of a page with their first link that has a slash and their first class that has `rated-`."""
+
+    def __init__(self):
+        super().__init__()
+        self.rows = []
+
+    def handle_starttag(self, tag, attributes):
+        values = dict(attributes)
+        css = values.get("class") or ""
+        if tag == "tr":
+            self.rows.append({"marked": "table-film-detail" in css.split(), "open": True})
+        if not self.rows or not self.rows[-1]["open"]:
+            return
+        row = self.rows[-1]
+        if tag == "a" and "/" in (values.get("href") or "") and "link" not in row:
+            row["link"] = values["href"]
+        if "rated-" in css and "css" not in row:
+            row["css"] = css
+
+    def handle_endtag(self, tag):
+        if tag in ("tr", "table", "tbody") and self.rows:
+            self.rows[-1]["open"] = False
+
+
+def ratings_of(html):
+    parser = Rows()
+    parser.feed(html)
+    rows = [row for row in parser.rows if row["marked"]] or parser.rows
+    for row in rows:
+        name = re.sub("/$", "", re.sub("^/", "", row.get("link", "")))
+        token = next((t for t in row.get("css", "").split() if re.fullmatch(r"rated-[+-]?\d+", t)), None)
+        if name and "/" not in name and token and int(token[6:]) > 0:
+            yield name, int(token[6:]) / 2, int(token[6:])
+
+
+def random_page(dice):
+    def cell():
+        link = dice.choice(["/ann/", "/bob", "cy/", "/", "/a/b/", "plain", "/d-e_f/"])
+        css = dice.choice(["rated-7", "rating rated-10", "x rated-8x rated-3", "unrated-2", "rated-0", "plain", "rated-+4"])
+        quote = dice.choice("\"'")
+        anchor = f"<a {dice.choice(['', 'id=1 '])}href={quote}{link}{quote}>n</a>"
+        mark = f"<span data-x='1' class={quote}{css}{quote}></span>"
+        return "".join(dice.choice([anchor, mark, anchor + mark, "text", "<br>"]) for _ in range(dice.randint(1, 4)))
+
+    def row():
+        css = dice.choice(["", "", " class='table-film-detail'", ' class="a table-film-detail b"', " class='table-film-details'",
+                           " class='rated-5'", " data-class='table-film-detail'"])
+        return f"<{dice.choice(['tr', 'TR'])}{css}><td>{cell()}</td>\n<td>{cell()}</td>{dice.choice(['</tr>', '</TR>', ''])}"
+
+    table = "".join(row() for _ in range(dice.randint(0, 6)))
+    return f"<html><a href='/nav/'>x</a><table><tbody>{table}</tbody></table><a class='rated-9' href='/foot/'>y</a></html>"
+
+
+def test_pages(spark):
+    dice = random.Random(14)
+    texts = [random_page(dice) for _ in range(3000)]
+    frame = spark.createDataFrame([(f"m{i}", text) for i, text in enumerate(texts)], "movieId STRING, html STRING")
+    expected = [
+        (name, f"m{i}", rating, raw) for i, text in enumerate(texts) for name, rating, raw in ratings_of(text)
+    ]
+    assert len(expected) > 500
+    assert rows_of(pages.page_ratings(frame)) == sorted(expected, key=repr)
