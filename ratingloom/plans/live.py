@@ -1,4 +1,4 @@
-"""The streaming job: normalised ratings in; console, archive and cells out.
+"""The streaming job: normalised ratings in; archive, console, cells and recent ratings out.
 
     python -m ratingloom.plans.live <output> files <lines folder> <messages folder>
     python -m ratingloom.plans.live <output> kafka <servers> <lines topic> <messages topic>
@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ratingloom.fixed_values import ARCHIVE_TRIGGER, CELL_TRIGGER, MOVIE_STATS_TRIGGER, SOURCE_STATS_TRIGGER
 from ratingloom.operators.stats import live_movie_stats, source_stats
 from ratingloom.session import build_session
-from ratingloom.sources.streams import read_text_stream, read_topic
+from ratingloom.sources.streams import read_archive_stream, read_text_stream, read_topic
 from ratingloom.streaming import queries
 from ratingloom.streaming.normalise import from_json_messages, from_lines, from_mixed, unify
 
@@ -26,8 +26,12 @@ CELL_FILES_PER_BATCH = 32
 
 
 def start(unified: DataFrame, output_path: str, once: bool = False) -> list[StreamingQuery]:
-    """The four named queries, each with its own checkpoint. `once` handles what is there and stops."""
-    stats = live_movie_stats(unified)
+    """The named queries, each with its own checkpoint. `once` handles what is there and stops.
+
+    Only the archive reads the source and parses it; the others follow the archive.
+    """
+    spark = unified.sparkSession
+    archive_path = f"{output_path}/raw-stream"
 
     def checkpoint(name: str) -> str:
         return f"{output_path}/checkpoints/{name}"
@@ -35,15 +39,21 @@ def start(unified: DataFrame, output_path: str, once: bool = False) -> list[Stre
     def every(interval: str) -> str | None:
         return None if once else interval
 
+    archive = queries.start_archive(unified, archive_path, checkpoint("archive"), every(ARCHIVE_TRIGGER))
+    if once:
+        archive.awaitTermination()
+    archived = read_archive_stream(spark, archive_path, FILES_PER_TRIGGER)
+    stats = live_movie_stats(archived)
     return [
+        archive,
         queries.start_movie_stats_console(stats, checkpoint("console"), every(MOVIE_STATS_TRIGGER)),
         queries.start_source_stats_console(
-            source_stats(unified), checkpoint("source-stats"), every(SOURCE_STATS_TRIGGER)
+            source_stats(archived), checkpoint("source-stats"), every(SOURCE_STATS_TRIGGER)
         ),
-        queries.start_archive(unified, f"{output_path}/raw-stream", checkpoint("archive"), every(ARCHIVE_TRIGGER)),
         queries.start_cell_upsert(
             stats, f"{output_path}/cells", checkpoint("cells"), every(CELL_TRIGGER), files=CELL_FILES_PER_BATCH
         ),
+        queries.start_recent(archived, f"{output_path}/recent", checkpoint("recent"), every(ARCHIVE_TRIGGER)),
     ]
 
 

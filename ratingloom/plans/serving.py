@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ratingloom import schemas
 from ratingloom.operators import display, ranking, stats
 from ratingloom.sources.stored import availability, read_csv, read_strict_means
+from ratingloom.streaming.queries import read_snapshot
 
 
 def status(spark: SparkSession, output_path: str) -> DataFrame:
@@ -37,9 +38,11 @@ def batch_views(spark: SparkSession, output_path: str) -> dict[str, DataFrame]:
 
 
 def live_views(spark: SparkSession, output_path: str, titles: DataFrame, seed: int = 0) -> dict[str, DataFrame]:
-    """The sample of recent ratings, its means per movie, and the feed with names, stars and bands."""
-    archive = read_csv(spark, f"{output_path}/raw-stream", schemas.ARCHIVE)
-    sample = ranking.shuffled_sample(ranking.recent_per_movie(archive), seed=seed)
+    """The sample of recent ratings, its means per movie, and the feed with names, stars and bands.
+
+    The recent ratings are those the live job keeps, so a refresh does not read the archive again.
+    """
+    sample = ranking.shuffled_sample(read_snapshot(spark, f"{output_path}/recent"), seed=seed)
     feed = display.with_band(display.with_stars(display.with_display_name(ranking.recent_feed(sample), titles)))
     return {
         "sample": sample,

@@ -60,6 +60,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    """Create a folder unless it is there."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(hadoop_path)
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete an intermediate table that is no longer needed."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -8,7 +8,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratingloom.session import is_directory
+from ratingloom import schemas
+from ratingloom.session import is_directory, make_folder
+from ratingloom.sinks.csv import CSV_READ_OPTIONS
 from ratingloom.sources.messages import text_of
 
 
@@ -40,6 +42,15 @@ def read_text_stream(spark: SparkSession, path: str, files_per_trigger: int | No
     return reader.text(path).select(F.col("value").alias("raw"))
 
 
+def read_archive_stream(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
+    """The ratings another query archives at `path`. Files of a batch that did not finish are not read."""
+    make_folder(spark, path)
+    reader = spark.readStream.options(**CSV_READ_OPTIONS).schema(schemas.ARCHIVE)
+    if files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    return reader.csv(path)
+
+
 def read_message_stream(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
     """S4-S6 from a folder of parquet files of keyed messages, as `ratingloom.sinks.messages` writes them."""
     return read_table_stream(spark, path, "key STRING, value STRING", files_per_trigger).select(

@@ -16,9 +16,11 @@ from ratingloom.fixed_values import (
     CELL_TRIGGER,
     CONSOLE_ROWS,
     MOVIE_STATS_TRIGGER,
+    RECENT_PER_MOVIE,
     SOURCE_STATS_TRIGGER,
 )
 from ratingloom.operators.cells import live_stats_cells
+from ratingloom.operators.ranking import recent_per_movie
 from ratingloom.sinks.cells import write_cells
 from ratingloom.sinks.csv import CSV_OPTIONS
 
@@ -72,23 +74,50 @@ def start_cell_upsert(
     return _writer(stats, name, "update", checkpoint, trigger).foreachBatch(write_batch).start()
 
 
+def _replace_turn(result: DataFrame, path: str, batch_id: int) -> None:
+    """Results go to two places by turns, so that the last complete one stays readable while the next is written."""
+    result.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("overwrite").parquet(
+        f"{path}/turn={batch_id % 2}"
+    )
+
+
 def start_snapshot(
     stats: DataFrame, path: str, checkpoint: str, trigger: str | None = MOVIE_STATS_TRIGGER, name: str = "snapshot"
 ) -> StreamingQuery:
-    """T3 into a table: the whole result after each micro-batch, in two places by turns, so that the last complete one
-    stays readable while the next is written.
-    """
+    """T3 into a table: the whole result after each micro-batch."""
 
     def write_batch(result: DataFrame, batch_id: int) -> None:
-        result.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("overwrite").parquet(
-            f"{path}/turn={batch_id % 2}"
-        )
+        _replace_turn(result, path, batch_id)
 
     return _writer(stats, name, "complete", checkpoint, trigger).foreachBatch(write_batch).start()
 
 
+def start_recent(
+    unified: DataFrame,
+    path: str,
+    checkpoint: str,
+    trigger: str | None = ARCHIVE_TRIGGER,
+    name: str = "recent",
+    n: int = RECENT_PER_MOVIE,
+) -> StreamingQuery:
+    """W1 kept current: the `n` latest ratings per movie, from those of the batch before and the new ones.
+
+    A refresh costs as much as the tails and the new ratings, however long the archive has become. A repeated batch
+    reads the same tails again, because it only replaces its own.
+    """
+
+    def write_batch(new: DataFrame, batch_id: int) -> None:
+        rows = new
+        if batch_id > 0:
+            before = new.sparkSession.read.parquet(f"{path}/turn={(batch_id - 1) % 2}").drop("batch_id")
+            rows = before.unionByName(new)
+        _replace_turn(recent_per_movie(rows, n), path, batch_id)
+
+    return _writer(unified, name, "append", checkpoint, trigger).foreachBatch(write_batch).start()
+
+
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
-    """The latest result written by `start_snapshot`."""
+    """The latest result written by `start_snapshot` or `start_recent`."""
     both = spark.read.parquet(path)
     last = both.agg(F.max("batch_id").alias("last"))
     # One row, so the join is a comparison with a constant.

@@ -8,7 +8,7 @@ from conftest import rows_of
 from pyspark.sql import functions as F
 
 from ratingloom import schemas
-from ratingloom.operators import cells, stats
+from ratingloom.operators import cells, ranking, stats
 from ratingloom.plans import live
 from ratingloom.session import STREAMING_SETTINGS
 from ratingloom.sinks.cells import read_cells
@@ -163,19 +163,55 @@ def test_a_failing_sink_fails_the_query(spark, stream, tmp_path):
     assert query.exception() is not None
 
 
-def test_the_live_job_has_four_named_queries(spark, folder, stream, tmp_path):
+def test_recent_ratings_follow_the_stream(spark, stream, folder, tmp_path):
+    def run():
+        finish(queries.start_recent(stream(), f"{tmp_path}/out", f"{tmp_path}/check", trigger=None, n=3))
+        expected = rows_of(ranking.recent_per_movie(batch(spark, folder), 3))
+        assert rows_of(queries.read_snapshot(spark, f"{tmp_path}/out").select(expected_columns)) == expected
+
+    expected_columns = ranking.recent_per_movie(batch(spark, folder), 3).columns
+    run()
+    run()
+    add_file(folder)
+    run()
+
+
+def test_the_live_job_has_named_queries(spark, folder, stream, tmp_path):
     started = live.start(stream(), str(tmp_path / "out"), once=True)
-    assert [query.name for query in started] == ["console_output", "source_stats", "archive", "cell_writer"]
+    assert [query.name for query in started] == [
+        "archive", "console_output", "source_stats", "cell_writer", "recent",
+    ]
     for query in started:
         finish(query)
     sinks = [query.lastProgress["sink"]["description"] for query in started]
-    assert "Console" in sinks[0] and "Console" in sinks[1]
-    assert "FileSink" in sinks[2] and "ForeachBatch" in sinks[3]
+    assert "FileSink" in sinks[0] and "Console" in sinks[1] and "Console" in sinks[2]
+    assert "ForeachBatch" in sinks[3] and "ForeachBatch" in sinks[4]
+    read = [query.lastProgress["sources"][0]["description"] for query in started]
+    assert "/in" in read[0] and all("/out/raw-stream" in description for description in read[1:])
     expected = batch(spark, folder)
     assert rows_of(read_csv(spark, f"{tmp_path}/out/raw-stream", schemas.ARCHIVE)) == rows_of(expected)
     assert cells.movie_stats_rows(read_cells(spark, f"{tmp_path}/out/cells")).count() == (
         expected.select("movieId", "source").distinct().count()
     )
+    recent = queries.read_snapshot(spark, f"{tmp_path}/out/recent")
+    assert rows_of(recent.select(*expected.columns)) == rows_of(ranking.recent_per_movie(expected))
+
+
+def test_queries_on_the_archive_follow_it(spark, stream, folder, tmp_path):
+    started = live.start(stream(), str(tmp_path / "out"))
+    try:
+        for _ in range(2):
+            for query in started:
+                query.processAllAvailable()
+            stored = cells.movie_stats_rows(read_cells(spark, f"{tmp_path}/out/cells"))
+            expected = stats.live_movie_stats(batch(spark, folder))
+            assert rows_of(stored.select("avgRating", "totalVotes")) == rows_of(
+                expected.select("avgRating", "totalVotes")
+            )
+            add_file(folder)
+    finally:
+        for query in started:
+            query.stop()
 
 
 def test_queries_keep_running_with_an_interval(spark, stream, folder, tmp_path):

@@ -570,6 +570,20 @@ def recent_per_movie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.recent_per_movie(views.stream_events(spark, sf_dir))
 
 
+@check(
+    """SELECT userId, movieId, rating, source, event_ts FROM (SELECT *, row_number() OVER (PARTITION BY movieId
+    ORDER BY event_ts DESC NULLS LAST, userId, rating, source) AS rank FROM unified_view) WHERE rank <= 15""",
+    "unified",
+)
+def live_recent_per_movie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W1 kept current on a stream"""
+    folder = shared_folder(spark, "live-recent")
+    queries.start_recent(
+        _unified_stream(spark, sf_dir), f"{folder}/result", f"{folder}/checkpoint", trigger=None
+    ).awaitTermination()
+    return queries.read_snapshot(spark, f"{folder}/result")
+
+
 def _sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.shuffled_sample(recent_per_movie(spark, sf_dir))
 
