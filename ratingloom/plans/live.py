@@ -25,8 +25,11 @@ FILES_PER_TRIGGER = 1_000
 CELL_FILES_PER_BATCH = 32
 
 
-def start(unified: DataFrame, output_path: str, once: bool = False) -> list[StreamingQuery]:
-    """The named queries, each with its own checkpoint. `once` handles what is there and stops.
+def start(
+    unified: DataFrame, output_path: str, once: bool = False, interval: str | None = None
+) -> list[StreamingQuery]:
+    """The named queries, each with its own checkpoint. `once` handles what is there and stops; otherwise each
+    query runs at its own interval, or all at the one given.
 
     Only the archive reads the source and parses it; the others follow the archive.
     """
@@ -36,8 +39,8 @@ def start(unified: DataFrame, output_path: str, once: bool = False) -> list[Stre
     def checkpoint(name: str) -> str:
         return f"{output_path}/checkpoints/{name}"
 
-    def every(interval: str) -> str | None:
-        return None if once else interval
+    def every(usual: str) -> str | None:
+        return None if once else interval or usual
 
     archive = queries.start_archive(unified, archive_path, checkpoint("archive"), every(ARCHIVE_TRIGGER))
     if once:

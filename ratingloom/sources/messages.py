@@ -27,7 +27,9 @@ def json_ratings(messages: DataFrame, schema: str = schemas.JSON_MESSAGE) -> Dat
 
     A message counts as a whole: text that is no JSON, or one declared field of the wrong type, makes all fields NULL.
     """
-    parsed = F.from_json("raw", f"{schema}, {_REJECTED} STRING", {"columnNameOfCorruptRecord": _REJECTED})
+    # Lines that got among the messages are told by their first character; that spares them a failing parse.
+    text = F.when(F.ltrim(F.col("raw"), F.lit(" \t\r\n")).startswith(JSON_FIRST_CHARACTER), F.col("raw"))
+    parsed = F.from_json(text, f"{schema}, {_REJECTED} STRING", {"columnNameOfCorruptRecord": _REJECTED})
     names = ["userId", "movieId", "rating", "source", "timestamp"]
     return computed_once(messages, "data", parsed).select(
         *[F.when(F.col(f"data.{_REJECTED}").isNull(), F.col(f"data.{name}")).alias(name) for name in names]

@@ -29,6 +29,11 @@ def raws(spark, texts):
         ),
         ('{"userId":5,"movieId":7,"rating":4}', ("5", "7", 4.0, None, None)),
         ("garbage", NOTHING),
+        ("1::2::3::4", NOTHING),
+        ('[{"movieId":"m","rating":4.5}]', NOTHING),
+        ('"text"', NOTHING),
+        ("7", NOTHING),
+        (' \t{"movieId":"m","rating":4.5}', (None, "m", 4.5, None, None)),
         ("", NOTHING),
         (None, NOTHING),
         ('{"movieId":"m","rating":"4.5"}', NOTHING),

@@ -198,7 +198,7 @@ def test_the_live_job_has_named_queries(spark, folder, stream, tmp_path):
 
 
 def test_queries_on_the_archive_follow_it(spark, stream, folder, tmp_path):
-    started = live.start(stream(), str(tmp_path / "out"))
+    started = live.start(stream(), str(tmp_path / "out"), interval="200 milliseconds")
     try:
         for _ in range(2):
             for query in started:
@@ -210,7 +210,7 @@ def test_queries_on_the_archive_follow_it(spark, stream, folder, tmp_path):
             )
             add_file(folder)
     finally:
-        for query in started:
+        for query in reversed(started):
             query.stop()
 
 
