@@ -13,7 +13,7 @@ from ratingloom import schemas
 from ratingloom.fixed_values import LINE_SOURCE
 from ratingloom.functions.once import computed_once
 from ratingloom.functions.text import field, line_fields, real_number, whole_number
-from ratingloom.sources.messages import is_json, json_ratings
+from ratingloom.sources.messages import is_json, json_ratings, message_fields, parsed_message
 
 
 def _rated(rows: DataFrame) -> DataFrame:
@@ -21,19 +21,23 @@ def _rated(rows: DataFrame) -> DataFrame:
     return rows.where(F.col("movieId").isNotNull() & F.col("rating").isNotNull())
 
 
-def from_lines(messages: DataFrame, source: str = LINE_SOURCE) -> DataFrame:
-    """`raw` rating lines; `source` is the tag of their origin."""
+def _line_columns(source: str) -> dict[str, Column]:
+    """The normalised columns of a line split into `parts`."""
     parts = F.col("parts")
     seconds = whole_number(field(parts, 3), "bigint")
-    return _rated(
-        computed_once(messages, "parts", line_fields(F.col("raw"))).select(
-            field(parts, 0).alias("userId"),
-            field(parts, 1).alias("movieId"),
-            real_number(field(parts, 2)).alias("rating"),
-            F.lit(source).alias("source"),
-            F.try_multiply(seconds, F.lit(1000).cast("bigint")).alias("event_ts"),
-        )
-    )
+    return {
+        "userId": field(parts, 0),
+        "movieId": field(parts, 1),
+        "rating": real_number(field(parts, 2)),
+        "source": F.lit(source),
+        "event_ts": F.try_multiply(seconds, F.lit(1000).cast("bigint")),
+    }
+
+
+def from_lines(messages: DataFrame, source: str = LINE_SOURCE) -> DataFrame:
+    """`raw` rating lines; `source` is the tag of their origin."""
+    split = computed_once(messages, "parts", line_fields(F.col("raw")))
+    return _rated(split.select(*[column.alias(name) for name, column in _line_columns(source).items()]))
 
 
 def from_json_messages(messages: DataFrame, schema: str = schemas.JSON_MESSAGE) -> DataFrame:
@@ -44,11 +48,23 @@ def from_json_messages(messages: DataFrame, schema: str = schemas.JSON_MESSAGE)
 def from_mixed(
     messages: DataFrame, source: str = LINE_SOURCE, schema: str = schemas.OLDER_JSON_MESSAGE
 ) -> DataFrame:
-    """Both formats in one `raw` column, told apart by the first character. Reads the messages once."""
-    raw: Column = F.col("raw")
-    present = messages.where(raw.isNotNull())
-    return unify(
-        from_lines(present.where(~is_json(raw)), source), from_json_messages(present.where(is_json(raw)), schema)
+    """Both formats in one `raw` column, told apart by the first character.
+
+    Each row takes one of two branches of an expression; a union of two filtered branches would read the topic twice.
+    """
+    raw, json = F.col("raw"), F.col("json")
+    told_apart = messages.where(raw.isNotNull()).select("raw", is_json(raw).alias("json"))
+    parsed = computed_once(told_apart, "data", parsed_message(F.when(json, raw), schema), "raw", "json")
+    split = computed_once(parsed, "parts", line_fields(F.when(~json, raw)), "json", "data")
+    of_message = message_fields("data")
+    of_message["event_ts"] = of_message.pop("timestamp")
+    return _rated(
+        split.select(
+            *[
+                F.when(json, of_message[name]).otherwise(column).alias(name)
+                for name, column in _line_columns(source).items()
+            ]
+        )
     )
 
 

@@ -7,6 +7,7 @@ from conftest import rows_of
 from pyspark.sql import functions as F
 
 from ratingloom import schemas
+from ratingloom.fixed_values import JSON_SOURCE
 from ratingloom.sinks.messages import json_messages, line_messages, publish
 from ratingloom.sources import lines, pages
 from ratingloom.sources.messages import json_ratings
@@ -149,7 +150,7 @@ def test_json_messages_escape_what_needs_it(spark):
     message = json_messages(rated, now_ms=7).first()
     assert message.key == "m"
     assert json.loads(message.value) == {
-        "userId": 'a"b', "movieId": "m", "rating": 4.5, "ratingRaw": 9, "source": "letterboxd", "timestamp": 7,
+        "userId": 'a"b', "movieId": "m", "rating": 4.5, "ratingRaw": 9, "source": JSON_SOURCE, "timestamp": 7,
     }
 
 

@@ -84,6 +84,8 @@ def test_each_line_is_split_once(spark, tmp_path):
     ):
         assert plan_of(frame).count("split(") == 1
     assert plan_of(normalise.from_json_messages(raw)).count("from_json(") == 1
+    mixed = plan_of(normalise.from_mixed(raw))
+    assert mixed.count("split(") == mixed.count("from_json(") == mixed.count("FileScan") == 1
     pruned = plan_of(normalise.from_lines(raw).select("movieId", "rating"))
     assert "[3]" not in pruned  # the timestamp is not parsed where nobody asks for it
 

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratingloom import schemas
+from ratingloom.fixed_values import JSON_SOURCE, LINE_SOURCE
 from ratingloom.operators import cells, display, ranking, stats
 from ratingloom.plans import batch
 from ratingloom.session import shared_folder
@@ -245,9 +246,9 @@ def genre_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @check(
-    """SELECT concat('item-', movieId) AS key, concat('{"userId":"user', userId, '","movieId":"item-', movieId,
+    f"""SELECT concat('item-', movieId) AS key, concat('{{"userId":"user', userId, '","movieId":"item-', movieId,
     '","rating":', CAST(rating AS VARCHAR), ',"ratingRaw":', CAST(rating * 2 AS INTEGER),
-    ',"source":"letterboxd","timestamp":', timestamp * 1000, '}') AS value FROM ratings_view""",
+    ',"source":"{JSON_SOURCE}","timestamp":', timestamp * 1000, '}}') AS value FROM ratings_view""",
     "ratings",
 )
 def json_rating_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -271,7 +272,7 @@ def parse_json_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _MIXED_SQL = f"""SELECT * FROM (SELECT p[1] AS userId, p[2] AS movieId, {views.sql_real('p[3]')} AS rating,
-    'movielens' AS source, {views.sql_whole('p[4]', 'BIGINT')} * 1000 AS event_ts
+    '{LINE_SOURCE}' AS source, {views.sql_whole('p[4]', 'BIGINT')} * 1000 AS event_ts
     FROM (SELECT string_split(raw, '::') AS p FROM mixed_view WHERE raw IS NOT NULL AND raw NOT LIKE '{{%'))
     WHERE movieId IS NOT NULL AND rating IS NOT NULL
     UNION ALL {sql_json_rows('raw', 'mixed_view', "raw LIKE '{%'")}"""

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ratingloom.fixed_values import LINE_SOURCE, PAGE_ROW_CLASS
 from ratingloom.functions.html import LINK_PATTERN
 from ratingloom.functions.once import computed_once
 from ratingloom.sources.streams import read_table_stream
@@ -196,7 +197,7 @@ def rated_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id AS movieId",
         f"""concat(html, '<table><tbody>', array_join(transform(regexp_extract_all(html, {_quoted(LINK_PATTERN)}, 1),
             (x, i) -> concat('<tr',
-                CASE WHEN page_id % 3 <> 0 AND i % 4 <> 0 THEN ' class="odd table-film-detail"' ELSE '' END,
+                CASE WHEN page_id % 3 <> 0 AND i % 4 <> 0 THEN ' class="odd {PAGE_ROW_CLASS}"' ELSE '' END,
                 '><td><a class="name" href="', x, '/">who</a></td><td><span class="rating ',
                 {_PAGE_TOKEN}, '">*</span></td></tr>')), ''), '</tbody></table>') AS html""",
     )
@@ -272,7 +273,7 @@ SQL_VIEWS: dict[str, tuple[str, tuple[str, ...]]] = {
         ("strict",),
     ),
     "line_stream": (
-        f"""SELECT p[1] AS userId, p[2] AS movieId, {sql_real('p[3]')} AS rating, 'movielens' AS source,
+        f"""SELECT p[1] AS userId, p[2] AS movieId, {sql_real('p[3]')} AS rating, '{LINE_SOURCE}' AS source,
             {sql_whole('p[4]', 'BIGINT')} * 1000 AS event_ts
             FROM (SELECT string_split(value, '::') AS p FROM lines_view WHERE value IS NOT NULL)
             WHERE p[2] IS NOT NULL AND {sql_real('p[3]')} IS NOT NULL""",
