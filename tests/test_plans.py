@@ -7,8 +7,8 @@ import pytest
 from conftest import SF_DIR, plan_of
 from pyspark.sql import functions as F
 
-from ratingloom.operators import cells, display, ranking, stats
-from ratingloom.sources import lines, messages
+from ratingloom.operators import cells, display, stats
+from ratingloom.sources import lines
 from ratingloom.streaming import normalise
 from verification import views
 from verification.checks import CHECKS, _movie_stats

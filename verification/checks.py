@@ -17,7 +17,7 @@ from ratingloom.session import shared_folder
 from ratingloom.sinks.cells import compact_cells, read_cells, write_cells
 from ratingloom.sinks.csv import write_csv, write_strict_means
 from ratingloom.sinks.messages import json_messages, line_messages, publish
-from ratingloom.sources import lines, messages, pages, stored
+from ratingloom.sources import lines, pages, stored
 from ratingloom.streaming import normalise, queries
 from verification import views
 from verification.views import NOW_MS, exact_mean, round2, sql_json_rows, with_views
