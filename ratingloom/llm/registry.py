@@ -7,8 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratingloom.llm import quality, secret_scan
-from ratingloom.llm.shared import Written, table
+from ratingloom.llm import bpe, chat, packing, quality, secret_scan
+from ratingloom.llm.shared import Written, pre_token_pattern, table, tokenizer_file
+
+
+def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    file, pattern = tokenizer_file("byte_bpe_50k.tiktoken"), pre_token_pattern()
+    return bpe.digests(bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), file, pattern), file, pattern))
+
+
+def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.read_back(chat.format_chats(chat.with_example(table(spark, sf_dir, "conversations"))))
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,6 +25,10 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.assess(table(spark, sf_dir, "documents"), trusted)
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.digests(packing.pack(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json")))
+
+
 def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select(
         "doc_id", "text", F.col("source").alias("owner"), F.concat_ws("/", "source", "lang").alias("repository")
@@ -24,7 +37,10 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_bpe": op1_bpe,
+    "op5_chat": op5_chat,
     "op6_quality_rules": op6_quality_rules,
+    "op7_packing": op7_packing,
     "op10_secret_scans": op10_secret_scans,
 }
 SQL: dict[str, str] = {}

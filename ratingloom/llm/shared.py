@@ -46,3 +46,9 @@ def tokenizer_file(name: str) -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
+
+
+def pre_token_pattern() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.PATTERN
