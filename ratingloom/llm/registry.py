@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratingloom.llm import bpe, chat, packing, quality, secret_scan
+from ratingloom.llm import bpe, chat, packing, quality, secret_scan, warc
 from ratingloom.llm.shared import Written, pre_token_pattern, table, tokenizer_file
+from ratingloom.session import shared_folder
 
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,6 +30,11 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digests(packing.pack(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json")))
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archives = warc.write(table(spark, sf_dir, "pages"), shared_folder(spark, "op8"))
+    return warc.read(archives.index, with_payload=False).drop("payload")
+
+
 def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select(
         "doc_id", "text", F.col("source").alias("owner"), F.concat_ws("/", "source", "lang").alias("repository")
@@ -41,6 +47,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_chat": op5_chat,
     "op6_quality_rules": op6_quality_rules,
     "op7_packing": op7_packing,
+    "op8_warc": op8_warc,
     "op10_secret_scans": op10_secret_scans,
 }
 SQL: dict[str, str] = {}

@@ -1,0 +1,55 @@
+import uuid
+from hashlib import sha256
+
+import pytest
+from pyspark.sql import functions as F
+
+from ratingloom.llm import warc
+
+SCHEMA = "page_id long, url string, html string, archive string, digest int"
+
+
+def expected(pages):
+    first = {}
+    for page_id, _, html in pages:
+        data = (html or "").encode()
+        if len(data) >= 100 and page_id is not None:
+            first[data] = min(first.get(data, page_id), page_id)
+    rows = []
+    for page_id, _, html in pages:
+        data = (html or "").encode()
+        to = first.get(data, page_id)
+        to = None if to == page_id else to
+        rows.append((page_id, len(data), sha256(data).hexdigest(), "response" if to is None else "revisit", to))
+    return sorted(rows, key=repr)
+
+
+def test_written_and_read_back(spark, tmp_path):
+    pages = [(k, f"http://a/{k}", "é\r\n\r\nWARC/1.1\r\n" * (k % 7) * 3) for k in range(300)]
+    pages += [(-5, "http://b", pages[20][2]), (None, None, None), (1000, "x\r\ny", pages[20][2]), (1000, "x\r\ny", pages[20][2])]
+    pages += [(2000, "long", "z" * 3_000_000), (2001, "none", None), (None, "copy", pages[20][2])]
+    frame = spark.createDataFrame([(*page, "other", 1) for page in pages], SCHEMA).repartition(5)
+    folder = f"{tmp_path}/{uuid.uuid4().hex}"
+    archives = warc.write(frame, folder, archive_bytes=20_000)
+    assert archives.index.count() == len(pages)
+    found = warc.read(archives.index).drop("payload").collect()
+    assert sorted((tuple(row) for row in found), key=repr) == expected(pages)
+    some = archives.index.filter("url = 'http://a/3'")
+    assert bytes(warc.read(some).first().payload).decode() == pages[3][2]
+
+
+def test_wrong_index(spark, tmp_path):
+    folder = f"{tmp_path}/{uuid.uuid4().hex}"
+    archives = warc.write(spark.createDataFrame([(1, "u", "text", "", 0)], SCHEMA), folder)
+    with pytest.raises(Exception, match="does not point"):
+        warc.read(archives.index.withColumn("length", F.col("length") - 1)).collect()
+
+
+def test_merged_ranges():
+    ranges = [(0, 10), (14, 6), (100, 5), (106, 50), (200, 1)]
+    assert warc.merged(ranges, gap=10, span=60) == [(0, 20, 0, 2), (100, 156, 2, 4), (200, 201, 4, 5)]
+
+
+def test_empty(spark, tmp_path):
+    folder = f"{tmp_path}/{uuid.uuid4().hex}"
+    assert warc.read(warc.write(spark.createDataFrame([], SCHEMA), folder).index).collect() == []
