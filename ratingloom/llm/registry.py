@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratingloom.llm import bpe, chat, packing, quality, secret_scan, warc
+from ratingloom.llm import bpe, chat, extract, packing, quality, secret_scan, warc
 from ratingloom.llm.shared import Written, pre_token_pattern, table, tokenizer_file
 from ratingloom.session import shared_folder
 
@@ -35,6 +35,10 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read(archives.index, with_payload=False).drop("payload")
 
 
+def op9_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.extract(table(spark, sf_dir, "pages"))
+
+
 def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select(
         "doc_id", "text", F.col("source").alias("owner"), F.concat_ws("/", "source", "lang").alias("repository")
@@ -48,6 +52,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_quality_rules": op6_quality_rules,
     "op7_packing": op7_packing,
     "op8_warc": op8_warc,
+    "op9_extract": op9_extract,
     "op10_secret_scans": op10_secret_scans,
 }
 SQL: dict[str, str] = {}
