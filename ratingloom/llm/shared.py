@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ratingloom.session import remove_folder, shared_folder
 
@@ -52,3 +56,31 @@ def pre_token_pattern() -> str:
     import public_tokenizers
 
     return public_tokenizers.PATTERN
+
+
+PACKAGE = Path(__file__).resolve().parent.parent
+SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once an application, unless they already look where it lies."""
+    context = spark.sparkContext
+    near = context.master.startswith("local") and str(PACKAGE.parent) in os.environ.get("PYTHONPATH", "").split(os.pathsep)
+    if near or context.applicationId in SHIPPED:
+        return
+    archive = Path(tempfile.mkdtemp(prefix="code-")) / f"{PACKAGE.name}.zip"
+    with zipfile.ZipFile(archive, "w") as packed:
+        for file in sorted(PACKAGE.rglob("*.py")):
+            packed.write(file, file.relative_to(PACKAGE.parent))
+    context.addPyFile(str(archive))
+    SHIPPED.add(context.applicationId)
+
+
+def in_arrow(rows: DataFrame, run, schema: StructType | str) -> DataFrame:
+    ship(rows.sparkSession)
+    return rows.mapInArrow(run, schema)
+
+
+def in_pandas(rows: DataFrame, run, schema: StructType | str) -> DataFrame:
+    ship(rows.sparkSession)
+    return rows.mapInPandas(run, schema)
