@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratingloom.llm import ann, bpe, chat, extract, packing, quality, secret_scan, suffixes, warc
+from ratingloom.llm import ann, bpe, chat, extract, near, packing, quality, secret_scan, suffixes, warc
 from ratingloom.llm.shared import Written, pre_token_pattern, table, tokenizer_file
 from ratingloom.session import shared_folder
 
@@ -21,6 +21,10 @@ def op2_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op3_near(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.classes(table(spark, sf_dir, "documents"), Written(spark, "op3")).select("doc_id", "class_id")
+
+
 def op4_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.digests(suffixes.without_repeats(table(spark, sf_dir, "documents"), Written(spark, "op4")))
 
@@ -57,6 +61,7 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_ann": op2_ann,
+    "op3_near": op3_near,
     "op4_suffixes": op4_suffixes,
     "op5_chat": op5_chat,
     "op6_quality_rules": op6_quality_rules,

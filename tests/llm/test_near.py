@@ -1,0 +1,88 @@
+import random
+
+import numpy as np
+
+from ratingloom.llm import near
+from ratingloom.llm.shared import Written
+
+
+def jaccard(left, right):
+    """Plain similarity of the sets of five words."""
+    a, b = ({tuple(w[i : i + 5]) for i in range(max(len(w) - 4, 1))} for w in (left.split(), right.split()))
+    return len(a & b) / len(a | b)
+
+
+def made():
+    choose = random.Random(3)
+    words = ["".join(choose.choices("abcdefgh", k=choose.randint(2, 9))) for _ in range(3000)]
+    boiler = " ".join(choose.choices(words, k=40))
+    texts = [" ".join(choose.choices(words, k=choose.randint(30, 300))) for _ in range(40)]
+    texts += [boiler + " " + " ".join(choose.choices(words, k=60)) for _ in range(20)]
+    for text in texts[:25]:
+        for _ in range(choose.randint(1, 4)):
+            edited = text.split()
+            edited[choose.randrange(len(edited))] = "edited"
+            texts.append(" ".join(edited))
+    texts += texts[:10] + ["a b", "a b", "a  b", "", None, "c", " \n"]
+    choose.shuffle(texts)
+    return list(enumerate(texts))
+
+
+def brute(rows, least):
+    """The smallest id of every document's component, by all pairs."""
+    parent = {i: i for i, _ in rows}
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i, left in rows:
+        for j, right in rows[: rows.index((i, left))]:
+            left_, right_ = left or "", right or ""
+            if left_ == right_ or (left_.split() and right_.split() and jaccard(left_, right_) >= least):
+                a, b = sorted((root(i), root(j)))
+                parent[b] = a
+    return {i: root(i) for i, _ in rows}
+
+
+def test_classes_against_all_pairs(spark):
+    rows = made()
+    table = spark.createDataFrame([(i, t, 1, "x") for i, t in rows], "doc_id long, text string, key int, label string")
+    found = {r.doc_id: r.class_id for r in near.classes(table.repartition(3), Written(spark, "t")).collect()}
+    # Weights move a similarity a little, so only clear cases are compared.
+    sure, possible = brute(rows, 0.85), brute(rows, 0.75)
+    assert set(found) == set(sure)
+    for i in found:
+        assert found[i] == found[sure[i]]
+        assert possible[i] == possible[found[i]]
+    kept = near.one_each(table, Written(spark, "t"))
+    assert kept.columns == table.columns
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(found.values()))
+
+
+def test_samples_estimate_weighted_similarity():
+    numbers = np.random.default_rng(2)
+    name = numbers.integers(1, 1 << 63, 3000, dtype=np.uint64)
+    left, right = numbers.integers(1, 5, 3000) * 1.3, numbers.integers(1, 5, 3000) * 1.0
+    text = np.zeros(3000, np.int64)
+    true = np.minimum(left, right).sum() / np.maximum(left, right).sum()
+    hits = []
+    for k in range(25):
+        moved = near.paired(name, np.full(1, k + 1, np.uint64))
+        hits.append((near.samples(text, moved, left) == near.samples(text, moved, right)).mean())
+    assert abs(np.mean(hits) - true) < 0.05
+
+
+def test_null_ids_and_repeated_rows(spark):
+    text = " ".join(map(str, range(50)))
+    rows = [(None, "q"), (None, "q"), (4, text), (4, text), (5, text), (None, text), (4, "other words here")]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    found = near.classes(table, Written(spark, "t"))
+    assert found.count() == len(rows)
+    assert sorted(r.text for r in near.one_each(table, Written(spark, "t")).collect())[-1] == "q"
+
+
+def test_empty(spark):
+    table = spark.createDataFrame([], "doc_id long, text string")
+    assert near.classes(table, Written(spark, "t")).collect() == []
