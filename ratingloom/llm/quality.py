@@ -83,19 +83,22 @@ def assess(
     buckets: int = BUCKETS,
     trusted_limit: int = TRUSTED_LIMIT,
     threshold: float = THRESHOLD,
+    carry: bool = False,
 ) -> DataFrame:
     """Every document with its counts, score and verdict.
 
     `documents` needs doc_id and text, `trusted` doc_id. A document is kept unless the base rules fail or its mean log
-    ratio is below `threshold`.
+    ratio is below `threshold`. With `carry`, all columns of `documents` come along in a struct `row`.
     """
-    documents = documents.select("doc_id", "text")
+    row = ["row"] if carry else []
+    documents = documents.select("doc_id", "text", *([F.struct(*(F.col(f"`{c}`") for c in documents.columns)).alias("row")] if carry else []))
     ratios = ratio_table(documents, trusted, buckets, trusted_limit)
     # As one text, folded into one literal before the query runs.
     ratio = F.split(F.lit(",".join(map(str, ratios))), ",").cast("array<double>")
     text = F.coalesce(F.col("text"), F.lit(""))
     measured = documents.select(
         "doc_id",
+        *row,
         F.length(F.regexp_replace(text, BLANKS, "")).cast("long").alias("word_chars"),
         (F.length(text) - F.length(F.regexp_replace(text, r"[#*$%&|<>]", ""))).cast("long").alias("n_symbols"),
         F.filter(F.split(text, "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]")).alias("lines"),
@@ -103,6 +106,7 @@ def assess(
     )
     hashed = measured.select(
         "doc_id",
+        *row,
         F.size("hashes").cast("long").alias("n_words"),
         "word_chars",
         "n_symbols",
@@ -139,6 +143,7 @@ def assess(
     )
     counted = placed.select(
         "doc_id",
+        *row,
         "n_words",
         "word_chars",
         "n_symbols",

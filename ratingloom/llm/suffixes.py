@@ -176,7 +176,7 @@ def firsts(rows: DataFrame) -> DataFrame:
 
 
 def doubled(documents: DataFrame, written: Written) -> DataFrame:
-    """Repeated stretches (doc_id, copy, start, end) of documents as `with_copy` gives them; they may overlap."""
+    """Places (doc_id, copy, place) of the repeated windows of documents as `with_copy` gives them."""
     texts = documents.select("text", "doc_id", "copy")
     held = written(repeated(in_arrow(texts, ranked, RANKS), ["a"]), "ranks")
     first = firsts(held)
@@ -199,44 +199,59 @@ def doubled(documents: DataFrame, written: Written) -> DataFrame:
     near = texts.join(ends, same).select("text", "places", "doc_id", "copy")
     windows = written(repeated(in_arrow(near, singles, RANKS), ["a", "b"]), "windows")
     late = windows.join(firsts(windows).filter("n > 1"), ["a", "b"]).filter(place() > F.col("first"))
-    start = F.floor(F.col("place") / PACKED)
-    every = judged.filter("later").select("doc_id", "copy", "place").union(late.select("doc_id", "copy", "place"))
-    return every.select("doc_id", "copy", start.alias("start"), (start + F.col("place") % PACKED + LENGTH).alias("end"))
+    return judged.filter("later").select("doc_id", "copy", "place").union(late.select("doc_id", "copy", "place"))
 
 
-def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Every document without its stretches."""
-    for batch in batches:
-        for k, (data, spans) in enumerate(zip(bytes_of(batch.column("text")), batch.column("spans"), strict=True)):
-            step = np.zeros(len(data) + 1, np.int64)
-            for span in spans.as_py() or []:
-                step[span["start"]] += 1
-                step[span["end"]] -= 1
-            gone = np.cumsum(step)[:-1] > 0
-            begun = int(np.count_nonzero(gone & ~np.r_[False, gone[:-1]])) if len(data) else 0
-            columns = [[data[~gone].tobytes()], [len(data)], [int(gone.sum())], [begun]]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("row").slice(k, 1), pa.array(columns[0], pa.binary()), *map(pa.array, columns[1:])],
-                names=["row", "kept", "n_bytes", "n_removed", "n_spans"],
-            )
+def cut(as_text: bool):
+    """Every document without its stretches, packed as places. As text, characters cut in two go as a whole."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, size, out = 0, 0, []
+            for k, (data, places) in enumerate(zip(bytes_of(batch.column("text")), batch.column("places"), strict=True)):
+                gone = begun = 0
+                kept = data
+                if places.is_valid and len(places):
+                    place = places.values.to_numpy()
+                    start = place // PACKED
+                    step = np.bincount(start, minlength=len(data) + 1)
+                    step -= np.bincount(start + place % PACKED + LENGTH, minlength=len(data) + 1)
+                    inside = np.cumsum(step)[:-1] > 0
+                    gone = int(inside.sum())
+                    begun = int(inside[0]) + int(np.count_nonzero(inside[1:] & ~inside[:-1]))
+                    kept = data[~inside]
+                left = kept.tobytes()
+                out.append((left.decode(errors="ignore") if as_text else left, len(data), gone, begun))
+                size += len(data)
+                if size >= BATCH_BYTES or k == batch.num_rows - 1:
+                    kinds = (pa.string() if as_text else pa.binary(), pa.int64(), pa.int64(), pa.int64())
+                    columns = [pa.array(column, kind) for column, kind in zip(zip(*out, strict=True), kinds, strict=True)]
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column("row").slice(at, k + 1 - at), *columns],
+                        names=["row", "kept", "n_bytes", "n_removed", "n_spans"],
+                    )
+                    at, size, out = k + 1, 0, []
+
+    return run
 
 
-def without_repeats(documents: DataFrame, written: Written) -> DataFrame:
-    """Every document: `row` with its columns but text, `kept` bytes, n_bytes, n_removed and n_spans.
+def without_repeats(documents: DataFrame, written: Written, as_text: bool = False) -> DataFrame:
+    """Every document: `row` with its columns but text, what is `kept` of it, n_bytes, n_removed and n_spans.
 
-    `documents` needs doc_id and text; rows are judged on the input, not on what is left.
+    `documents` needs doc_id and text; strings are judged on the input, not on what is left. `kept` is binary, or, with
+    `as_text`, a string without the characters of which only a part is left.
     """
     told = with_copy(documents)
-    spans = (
+    places = (
         doubled(told, written)
         .groupBy(F.col("doc_id").alias("in_id"), F.col("copy").alias("in_copy"))
-        .agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+        .agg(F.collect_list("place").alias("places"))
     )
     same = F.col("doc_id").eqNullSafe(F.col("in_id")) & (F.col("copy") == F.col("in_copy"))
-    joined = told.join(spans, same, "left").select("text", "row", "spans")
-    schema = StructType([joined.schema["row"]])
-    schema = schema.add("kept", "binary").add("n_bytes", "long").add("n_removed", "long").add("n_spans", "long")
-    return in_arrow(joined, cut, schema)
+    joined = told.join(places, same, "left").select("text", "row", "places")
+    schema = StructType([joined.schema["row"]]).add("kept", "string" if as_text else "binary")
+    schema = schema.add("n_bytes", "long").add("n_removed", "long").add("n_spans", "long")
+    return in_arrow(joined, cut(as_text), schema)
 
 
 def digests(found: DataFrame) -> DataFrame:
