@@ -5,10 +5,10 @@ text times 1 + IDF_SHARE * ln(n / df) / ln(n), where n is the number of document
 over all of them. The share is small, so that passages a group of copies has in common do not weigh less than its edits.
 
 Forty samples a text, in ten bands of four, give the slots in which texts meet. In each round, the texts of a slot are compared with
-one of them, by exact weighted Jaccard similarity, unless they are in its class by now; it then leaves the slot. Slots of
-one class are done. So a round is linear in the members of its slots, and no pairs within a class are made. After
-`THOROUGH` rounds, the class of the compared text leaves with it, so that the rounds end. Slots of up to that many texts
-and one more are thus compared in full. In larger ones that hold several classes, a text with a link to some members of a
+a few of them, one at first and then `REPS`, by exact weighted Jaccard similarity, unless they are in their classes by now;
+these then leave the slot. Slots of one class are done. So a round is linear in the members of its slots, and no pairs within a class are made. After
+`THOROUGH` rounds, the classes of the compared texts leave with them, so that the rounds end. Slots of up to
+1 + (THOROUGH - 1) * REPS texts are thus compared in full. In larger ones that hold several classes, a text with a link to some members of a
 class, but to none of those it was compared with in any of its ten slots, can be missed, as one whose samples never meet.
 The classes are the components of the links, found by alternating star contractions over written tables.
 
@@ -28,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ratingloom.llm.quality import hashes_of
 from ratingloom.llm.shared import Written, in_arrow
@@ -39,6 +40,8 @@ BANDS, ROWS = 10, 4
 BUCKETS = 1 << 16
 IDF_SHARE = 0.25
 THOROUGH = 4
+# Texts of a slot that the others are compared with in each round but the first.
+REPS = 8
 CHUNK_WORDS = 1 << 17
 # Quantiles of the exponential distribution's sum of two, drawn once; 4096 of each are told apart by 12 bits of a hash.
 DRAWN = np.random.default_rng(11)
@@ -210,13 +213,13 @@ def labels(documents: DataFrame, written: Written, least: float = SIMILARITY) ->
     label = written(needed.filter("false").select("key", F.col("key").alias("label")), "none")
     turn = 0
     while True:
-        # The smallest key first, which is the same in most slots of a class, then another order in each slot.
-        order = F.xxhash64("slot", "key", F.lit(turn)) if turn else F.lit(0).cast("long")
-        reps = left.groupBy("slot").agg(
-            F.min(F.struct(order.alias("order"), "key"))["key"].alias("rep"), F.count(F.lit(1)).alias("n")
-        )
+        # The smallest key first, which is the same in most slots of a class, then several in an order of each slot.
+        order = [F.xxhash64("slot", "key", F.lit(turn))] if turn else []
+        place = F.row_number().over(Window.partitionBy("slot").orderBy(*order, "key"))
+        reps = left.withColumn("place", place).filter(F.col("place") <= (REPS if turn else 1))
+        reps = reps.select("slot", F.col("key").alias("rep"))
         others = label.select(F.col("key").alias("rep"), F.col("label").alias("rep_label"))
-        told = left.join(reps.filter("n > 1"), "slot").filter("key != rep").join(label, "key", "left").join(others, "rep", "left")
+        told = left.join(reps, "slot").filter("key != rep").join(label, "key", "left").join(others, "rep", "left")
         apart = F.coalesce("label", "key") != F.coalesce("rep_label", "rep")
         pairs = written(told.select("slot", "key", "rep", apart.alias("apart")), "pairs")
         if pairs.isEmpty():
@@ -235,8 +238,10 @@ def labels(documents: DataFrame, written: Written, least: float = SIMILARITY) ->
             "slot", "key", F.coalesce("label", "key").alias("class"), F.coalesce("rep_label", "rep").alias("rep_class")
         )
         if turn >= THOROUGH:
-            after = after.filter("class != rep_class")
-        after = written(after, "after")
+            after = after.groupBy("slot", "key").agg(F.min("class").alias("class"), F.bool_or(F.expr("class = rep_class")).alias("met"))
+            after = after.filter("NOT met")
+        gone = reps.select("slot", F.col("rep").alias("key"))
+        after = written(after.select("slot", "key", "class").distinct().join(gone, ["slot", "key"], "left_anti"), "after")
         open_ = after.groupBy("slot").agg(F.min("class").alias("low"), F.max("class").alias("high")).filter("low != high")
         left = written(after.join(open_, "slot", "left_semi").select("key", "slot"), "left")
         turn += 1
