@@ -32,7 +32,7 @@ from pyspark.sql.window import Window
 
 from ratingloom.llm.quality import hashes_of
 from ratingloom.llm.shared import Written, in_arrow
-from ratingloom.llm.suffixes import M2, paired
+from ratingloom.llm.suffixes import M1, M2, M3, paired
 
 WIDTH = 5
 SIMILARITY = 0.8
@@ -42,7 +42,7 @@ IDF_SHARE = 0.25
 THOROUGH = 4
 # Texts of a slot that the others are compared with in each round but the first.
 REPS = 8
-CHUNK_WORDS = 1 << 17
+CHUNK_WORDS = 1 << 15
 # Quantiles of the exponential distribution's sum of two, drawn once; 4096 of each are told apart by 12 bits of a hash.
 DRAWN = np.random.default_rng(11)
 GAMMA = DRAWN.gamma(2.0, 1.0, 4096)
@@ -105,20 +105,31 @@ def frequencies(documents: DataFrame) -> np.ndarray:
 
 
 def samples(text: np.ndarray, name: np.ndarray, weight: np.ndarray) -> np.ndarray:
-    """One row per text in `text`: a name for each of its weighted samples."""
+    """One row per text in `text`: a name for each of its weighted samples. Buffers are used again for each sample."""
     first = np.flatnonzero(np.r_[True, text[1:] != text[:-1]])
-    size = np.diff(np.r_[first, len(text)])
+    owner = np.repeat(np.arange(len(first)), np.diff(np.r_[first, len(text)]))
     level = np.log(weight)
+    z, part = np.empty(len(name), np.uint64), np.empty(len(name), np.uint64)
+    spot = np.empty(len(name), np.int64)
+    r, t, beta = np.empty(len(name)), np.empty(len(name)), np.empty(len(name))
     out = np.empty((len(first), len(SEEDS)), np.uint64)
     for k, seed in enumerate(SEEDS):
-        z = paired(name, np.full(1, seed))
-        r = GAMMA[z & np.uint64(4095)]
-        beta = ((z >> np.uint64(24)) & np.uint64(0xFFFF)) / 65536.0
-        t = np.floor(level / r + beta)
-        a = LOG_GAMMA[(z >> np.uint64(12)) & np.uint64(4095)] - r * (t - beta) - r
-        least = a == np.repeat(np.minimum.reduceat(a, first), size)
-        drawn = np.where(least, paired(name, t.astype(np.int64).view(np.uint64)), np.uint64(2**64 - 1))
-        out[:, k] = np.minimum.reduceat(drawn, first)
+        np.multiply(np.bitwise_xor(name, seed, out=z), M1, out=z)
+        np.bitwise_xor(z, np.right_shift(z, np.uint64(32), out=part), out=z)
+        np.multiply(z, M3, out=z)
+        # The upper bits, which are the best mixed: 12 for r, 12 for the level, 16 for beta.
+        np.right_shift(z, np.uint64(52), out=spot, casting="unsafe")
+        GAMMA.take(spot, out=r, mode="clip")
+        np.bitwise_and(np.right_shift(z, np.uint64(40), out=part), np.uint64(4095), out=spot, casting="unsafe")
+        np.bitwise_and(np.right_shift(z, np.uint64(24), out=part), np.uint64(0xFFFF), out=part)
+        np.multiply(part, 2.0**-16, out=beta)
+        np.floor(np.add(np.divide(level, r, out=t), beta, out=t), out=t)
+        # a = log c - r * (t - beta + 1)
+        np.multiply(np.add(np.subtract(t, beta, out=beta), 1.0, out=beta), r, out=beta)
+        np.subtract(LOG_GAMMA.take(spot, out=r, mode="clip"), beta, out=r)
+        least = np.flatnonzero(r == np.minimum.reduceat(r, first)[owner])
+        drawn = paired(name[least], t[least].astype(np.int64).view(np.uint64))
+        out[:, k] = np.minimum.reduceat(drawn, np.searchsorted(owner[least], np.arange(len(first))))
     return out
 
 
