@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import base64
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from heapq import heappop, heappush
@@ -45,6 +46,8 @@ class Vocabulary:
         self.words = [0] * ((max(self.ranks.values()) >> WORD_BITS) + 1)
         self.matches = regex.compile(pattern).findall
         self.kept: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+        self.by_id = np.array([self.tokens.get(rank, b"") for rank in range(max(self.tokens) + 1)], object)
 
     def merged(self, piece: bytes) -> list[int]:
         """Ids of one pre-token."""
@@ -105,17 +108,29 @@ class Vocabulary:
         return ids
 
     def cut_ids(self, cut: str) -> bytes:
-        ids: list[int] = []
-        for match in self.matches(cut):
-            ids += self.merged(match.encode())
-        return np.array(ids, "<u4").tobytes()
+        found, parts = self.matches(cut), self.parts
+        if len(parts) > KEPT:
+            parts.clear()
+        out = []
+        for match in found:
+            ids = parts.get(match)
+            if ids is None:
+                ids = array("I", self.merged(match.encode())).tobytes()
+                # Matches that are a piece by themselves are kept as pieces.
+                if len(found) > 1 and len(match) <= LONGEST_KEPT:
+                    parts[match] = ids
+            out.append(ids)
+        return b"".join(out)
 
     def encode(self, text: str) -> bytes:
         """The ids of a text as little-endian unsigned 32-bit integers."""
         return joined_ids(text, self.kept, self.cut_ids)
 
-    def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, ids))
+    def decode(self, ids) -> bytes:
+        ids = np.asarray(ids, np.int64)
+        if len(ids) and (ids.min() < 0 or ids.max() >= len(self.by_id)):
+            raise ValueError("an id is not in the vocabulary")
+        return b"".join(self.by_id[ids].tolist())
 
 
 def joined_ids(text: str, kept: dict[str, bytes], ids_of) -> bytes:
@@ -179,7 +194,10 @@ def decode(encoded: DataFrame, file: str, pattern: str, rows: int = 500) -> Data
         for batch in batches:
             for start in range(0, batch.num_rows, rows):
                 some = batch.slice(start, rows)
-                parts = [words.decode(ids or []) for ids in some.column("ids").to_pylist()]
+                ids = some.column("ids")
+                # A null list has no length.
+                ends, values = ids.offsets.to_numpy(), ids.values.to_numpy(zero_copy_only=False)
+                parts = [words.decode(values[at:to]) for at, to in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [some.column("doc_id"), some.column("ids"), pa.array(parts, pa.binary())],
                     names=["doc_id", "ids", "bytes"],
