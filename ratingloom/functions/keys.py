@@ -15,8 +15,9 @@ def joined_key(*parts: Column) -> Column:
 
 
 def event_key(movie_id: Column, timestamp: Column) -> Column:
-    """Movie and a timestamp of 13 digits, so that keys of one movie sort by time."""
-    return joined_key(movie_id, F.format_string("%013d", timestamp))
+    """Movie and a timestamp of 13 digits, so that keys of one movie sort by time. NULL without a time."""
+    # format_string writes NULL as a word.
+    return joined_key(movie_id, F.when(timestamp.isNotNull(), F.format_string("%013d", timestamp)))
 
 
 def clock_ms(now_ms: int | None) -> Column:

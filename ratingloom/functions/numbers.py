@@ -9,10 +9,15 @@ from pyspark.sql import functions as F
 def rating_sum(rating: Column, exact_scale: int | None = None) -> Column:
     """Sum of ratings. Half-step ratings add up exactly as doubles; for other inputs `exact_scale` names the number of
     decimals they carry, and the sum is then taken in decimals so that the order of rows cannot change it.
+
+    Ratings no such decimal can hold (NaN, infinite, too large) count as they do without `exact_scale`: they are added as
+    doubles, so NaN makes the sum NaN, and every rating that is counted is also in the sum.
     """
     if exact_scale is None:
         return F.sum(rating)
-    return F.sum(rating.cast(f"decimal(18,{exact_scale})")).cast("double")
+    exact = rating.try_cast(f"decimal(18,{exact_scale})")
+    held, others = F.sum(exact).cast("double"), F.sum(F.when(exact.isNull(), rating))
+    return F.coalesce(held + others, held, others)
 
 
 def rounded_mean(total: Column, count: Column) -> Column:

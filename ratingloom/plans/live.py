@@ -1,4 +1,4 @@
-"""The streaming job: normalised ratings in; archive, console, cells and recent ratings out.
+"""The streaming job: normalised ratings in; log, archive, console, cells and recent ratings out.
 
     python -m ratingloom.plans.live <output> files <lines folder> <messages folder>
     python -m ratingloom.plans.live <output> kafka <servers> <lines topic> <messages topic>
@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ratingloom.fixed_values import ARCHIVE_TRIGGER, CELL_TRIGGER, MOVIE_STATS_TRIGGER, SOURCE_STATS_TRIGGER
 from ratingloom.operators.stats import live_movie_stats, source_stats
 from ratingloom.session import build_session
-from ratingloom.sources.streams import read_archive_stream, read_text_stream, read_topic
+from ratingloom.sources.streams import read_log_stream, read_text_stream, read_topic
 from ratingloom.streaming import queries
 from ratingloom.streaming.normalise import from_json_messages, from_lines, from_mixed, unify
 
@@ -23,18 +23,27 @@ from ratingloom.streaming.normalise import from_json_messages, from_lines, from_
 OFFSETS_PER_TRIGGER = 50_000_000
 FILES_PER_TRIGGER = 1_000
 CELL_FILES_PER_BATCH = 32
+# Decimals of ratings that are added up exactly, whatever the order of rows.
+EXACT_SCALE = 2
 
 
 def start(
-    unified: DataFrame, output_path: str, once: bool = False, interval: str | None = None
+    unified: DataFrame,
+    output_path: str,
+    once: bool = False,
+    interval: str | None = None,
+    files_per_trigger: int | None = FILES_PER_TRIGGER,
+    cell_files: int | None = CELL_FILES_PER_BATCH,
+    exact_scale: int | None = EXACT_SCALE,
 ) -> list[StreamingQuery]:
     """The named queries, each with its own checkpoint. `once` handles what is there and stops; otherwise each
-    query runs at its own interval, or all at the one given.
+    query runs at its own interval, or all at the one given. `files_per_trigger` bounds what a follower takes at a time,
+    `cell_files` is the number of cell files of a batch (None: one a state partition), `exact_scale` that of `rating_sum`.
 
-    Only the archive reads the source and parses it; the others follow the archive.
+    Only the log reads the source and parses it; the others follow the log, which keeps every text as it is.
     """
     spark = unified.sparkSession
-    archive_path = f"{output_path}/raw-stream"
+    log_path = f"{output_path}/log"
 
     def checkpoint(name: str) -> str:
         return f"{output_path}/checkpoints/{name}"
@@ -42,21 +51,22 @@ def start(
     def every(usual: str) -> str | None:
         return None if once else interval or usual
 
-    archive = queries.start_archive(unified, archive_path, checkpoint("archive"), every(ARCHIVE_TRIGGER))
+    log = queries.start_log(unified, log_path, checkpoint("log"), every(ARCHIVE_TRIGGER))
     if once:
-        archive.awaitTermination()
-    archived = read_archive_stream(spark, archive_path, FILES_PER_TRIGGER)
-    stats = live_movie_stats(archived)
+        log.awaitTermination()
+    logged = read_log_stream(spark, log_path, files_per_trigger)
+    stats = live_movie_stats(logged, exact_scale)
     return [
-        archive,
+        log,
         queries.start_movie_stats_console(stats, checkpoint("console"), every(MOVIE_STATS_TRIGGER)),
         queries.start_source_stats_console(
-            source_stats(archived), checkpoint("source-stats"), every(SOURCE_STATS_TRIGGER)
+            source_stats(logged, exact_scale=exact_scale), checkpoint("source-stats"), every(SOURCE_STATS_TRIGGER)
         ),
         queries.start_cell_upsert(
-            stats, f"{output_path}/cells", checkpoint("cells"), every(CELL_TRIGGER), files=CELL_FILES_PER_BATCH
+            stats, f"{output_path}/cells", checkpoint("cells"), every(CELL_TRIGGER), files=cell_files
         ),
-        queries.start_recent(archived, f"{output_path}/recent", checkpoint("recent"), every(ARCHIVE_TRIGGER)),
+        queries.start_recent(logged, f"{output_path}/recent", checkpoint("recent"), every(ARCHIVE_TRIGGER)),
+        queries.start_archive(logged, f"{output_path}/raw-stream", checkpoint("archive"), every(ARCHIVE_TRIGGER)),
     ]
 
 

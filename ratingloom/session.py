@@ -60,6 +60,15 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
 
 
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies directly in a folder; none if there is no folder."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    file_system = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not file_system.exists(hadoop_path):
+        return []
+    return [status.getPath().getName() for status in file_system.listStatus(hadoop_path)]
+
+
 def make_folder(spark: SparkSession, path: str) -> None:
     """Create a folder unless it is there."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 # Quotes are doubled, and blanks around a value are part of it, so that reading back gives the same values.
 CSV_OPTIONS = {
@@ -17,6 +18,11 @@ CSV_OPTIONS = {
 CSV_READ_OPTIONS = {**CSV_OPTIONS, "nullValue": "\u0000"}
 
 
+def on_one_line(text: Column) -> Column:
+    """`text` with its line breaks written as `\\n` and `\\r`, as readers take a file line by line."""
+    return F.replace(F.replace(text, F.lit("\n"), F.lit("\\n")), F.lit("\r"), F.lit("\\r"))
+
+
 def write_csv(rows: DataFrame, path: str) -> None:
     """K1: replace the CSV output at `path`.
 

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from ratingloom import schemas
 from ratingloom.session import is_directory, make_folder
-from ratingloom.sinks.csv import CSV_READ_OPTIONS
 from ratingloom.sources.messages import text_of
 
 
@@ -42,13 +41,13 @@ def read_text_stream(spark: SparkSession, path: str, files_per_trigger: int | No
     return reader.text(path).select(F.col("value").alias("raw"))
 
 
-def read_archive_stream(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
-    """The ratings another query archives at `path`. Files of a batch that did not finish are not read."""
+def read_log_stream(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
+    """The ratings another query logs at `path`, by `start_log`. Files of a batch that did not finish are not read."""
     make_folder(spark, path)
-    reader = spark.readStream.options(**CSV_READ_OPTIONS).schema(schemas.ARCHIVE)
+    reader = spark.readStream.schema(schemas.ARCHIVE)
     if files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.csv(path)
+    return reader.parquet(path)
 
 
 def read_message_stream(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:

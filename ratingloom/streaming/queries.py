@@ -21,8 +21,12 @@ from ratingloom.fixed_values import (
 )
 from ratingloom.operators.cells import live_stats_cells
 from ratingloom.operators.ranking import recent_per_movie
+from ratingloom.session import folder_names, path_exists, remove_folder
 from ratingloom.sinks.cells import write_cells
-from ratingloom.sinks.csv import CSV_OPTIONS
+from ratingloom.sinks.csv import CSV_OPTIONS, on_one_line
+
+# Results of so many batches stay, for readers that are slower than an interval.
+KEPT_RESULTS = 3
 
 
 def _writer(rows: DataFrame, name: str, mode: str, checkpoint: str, trigger: str | None) -> DataStreamWriter:
@@ -34,8 +38,13 @@ def start_movie_stats_console(
     stats: DataFrame, checkpoint: str, trigger: str | None = MOVIE_STATS_TRIGGER, name: str = "console_output"
 ) -> StreamingQuery:
     """The running stats per movie and source on the console."""
-    writer = _writer(stats, name, "complete", checkpoint, trigger)
-    return writer.format("console").option("truncate", "false").option("numRows", CONSOLE_ROWS).start()
+
+    def show_batch(result: DataFrame, batch_id: int) -> None:
+        # Ordered, so that every state partition is computed and saved, but only the rows shown leave the tasks.
+        print(f"Batch: {batch_id}")
+        result.orderBy("movieId", "source").show(CONSOLE_ROWS, truncate=False)
+
+    return _writer(stats, name, "complete", checkpoint, trigger).foreachBatch(show_batch).start()
 
 
 def start_source_stats_console(
@@ -45,11 +54,21 @@ def start_source_stats_console(
     return _writer(stats, name, "complete", checkpoint, trigger).format("console").option("truncate", "false").start()
 
 
+def start_log(
+    unified: DataFrame, path: str, checkpoint: str, trigger: str | None = ARCHIVE_TRIGGER, name: str = "log"
+) -> StreamingQuery:
+    """Append the normalised ratings as Parquet, which keeps any text as it is. Other queries follow it."""
+    return _writer(unified, name, "append", checkpoint, trigger).format("parquet").start(path)
+
+
 def start_archive(
     unified: DataFrame, path: str, checkpoint: str, trigger: str | None = ARCHIVE_TRIGGER, name: str = "archive"
 ) -> StreamingQuery:
-    """Append the normalised ratings as CSV."""
-    return _writer(unified, name, "append", checkpoint, trigger).format("csv").options(**CSV_OPTIONS).start(path)
+    """Append the normalised ratings as CSV, one line each: line breaks in texts are written as `\\n` and `\\r`."""
+    texts = [field.name for field in unified.schema.fields if field.dataType.simpleString() == "string"]
+    escaped = {name: on_one_line(F.col(name)) for name in texts}
+    rows = unified.withColumns(escaped) if escaped else unified
+    return _writer(rows, name, "append", checkpoint, trigger).format("csv").options(**CSV_OPTIONS).start(path)
 
 
 def start_cell_upsert(
@@ -74,11 +93,24 @@ def start_cell_upsert(
     return _writer(stats, name, "update", checkpoint, trigger).foreachBatch(write_batch).start()
 
 
-def _replace_turn(result: DataFrame, path: str, batch_id: int) -> None:
-    """Results go to two places by turns, so that the last complete one stays readable while the next is written."""
-    result.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("overwrite").parquet(
-        f"{path}/turn={batch_id % 2}"
-    )
+def _batch_folder(path: str, batch_id: int) -> str:
+    return f"{path}/batch_id={batch_id}"
+
+
+def _complete_batches(spark: SparkSession, path: str) -> list[int]:
+    """Batches whose write has been committed as a whole, in order."""
+    numbers = (name.partition("=") for name in folder_names(spark, path))
+    found = sorted(int(number) for name, _, number in numbers if name == "batch_id" and number.isdigit())
+    return [number for number in found if path_exists(spark, f"{_batch_folder(path, number)}/_SUCCESS")]
+
+
+def _write_result(result: DataFrame, path: str, batch_id: int) -> None:
+    """A folder per batch, which counts once it is marked as complete. Older ones go later, as readers may have them open."""
+    result.write.mode("overwrite").parquet(_batch_folder(path, batch_id))
+    spark = result.sparkSession
+    for number in _complete_batches(spark, path):
+        if number <= batch_id - KEPT_RESULTS:
+            remove_folder(spark, _batch_folder(path, number))
 
 
 def start_snapshot(
@@ -87,7 +119,7 @@ def start_snapshot(
     """T3 into a table: the whole result after each micro-batch."""
 
     def write_batch(result: DataFrame, batch_id: int) -> None:
-        _replace_turn(result, path, batch_id)
+        _write_result(result, path, batch_id)
 
     return _writer(stats, name, "complete", checkpoint, trigger).foreachBatch(write_batch).start()
 
@@ -107,18 +139,17 @@ def start_recent(
     """
 
     def write_batch(new: DataFrame, batch_id: int) -> None:
-        rows = new
-        if batch_id > 0:
-            before = new.sparkSession.read.parquet(f"{path}/turn={(batch_id - 1) % 2}").drop("batch_id")
-            rows = before.unionByName(new)
-        _replace_turn(recent_per_movie(rows, n), path, batch_id)
+        spark = new.sparkSession
+        before = [number for number in _complete_batches(spark, path) if number < batch_id]
+        rows = spark.read.schema(new.schema).parquet(_batch_folder(path, before[-1])).unionByName(new) if before else new
+        _write_result(recent_per_movie(rows, n), path, batch_id)
 
     return _writer(unified, name, "append", checkpoint, trigger).foreachBatch(write_batch).start()
 
 
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
-    """The latest result written by `start_snapshot` or `start_recent`."""
-    both = spark.read.parquet(path)
-    last = both.agg(F.max("batch_id").alias("last"))
-    # One row, so the join is a comparison with a constant.
-    return both.join(F.broadcast(last), F.col("batch_id") == F.col("last")).drop("batch_id", "turn", "last")
+    """The latest whole result of `start_snapshot` or `start_recent`; it stays readable for `KEPT_RESULTS` batches."""
+    complete = _complete_batches(spark, path)
+    if not complete:
+        raise ValueError(f"no complete result in {path}")
+    return spark.read.parquet(_batch_folder(path, complete[-1]))

@@ -165,3 +165,13 @@ def test_display_names(spark):
     assert names == {
         "1": "One", "2": "#2", "3": "B", "9": "#9", None: "—", "": "—", "the-end": "The End", "1.0": "#1.0",
     }
+
+
+def test_ratings_no_decimal_holds_count_as_without_exact_scale(spark):
+    nan, large, endless = float("nan"), 1e17, float("inf")
+    rows = [(1, 4.0), (1, nan), (2, large), (2, 1.5), (3, endless), (3, 1.0), (4, None), (5, nan), (6, 0.5), (6, None)]
+    frame = spark.createDataFrame(rows, "movieId int, rating double")
+    by_movie = {row.movieId: row for row in stats.movie_stats(frame, exact_scale=2).collect()}
+    plain = {row.movieId: row for row in stats.movie_stats(frame).collect()}
+    assert str(by_movie) == str(plain)
+    assert str(by_movie[1].avgRating) == "nan" and by_movie[1].totalVotes == 2

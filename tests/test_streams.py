@@ -179,15 +179,15 @@ def test_recent_ratings_follow_the_stream(spark, stream, folder, tmp_path):
 def test_the_live_job_has_named_queries(spark, folder, stream, tmp_path):
     started = live.start(stream(), str(tmp_path / "out"), once=True)
     assert [query.name for query in started] == [
-        "archive", "console_output", "source_stats", "cell_writer", "recent",
+        "log", "console_output", "source_stats", "cell_writer", "recent", "archive",
     ]
     for query in started:
         finish(query)
     sinks = [query.lastProgress["sink"]["description"] for query in started]
-    assert "FileSink" in sinks[0] and "Console" in sinks[1] and "Console" in sinks[2]
-    assert "ForeachBatch" in sinks[3] and "ForeachBatch" in sinks[4]
+    assert "FileSink" in sinks[0] and "Console" in sinks[2] and "FileSink" in sinks[5]
+    assert all("ForeachBatch" in sinks[k] for k in (1, 3, 4))
     read = [query.lastProgress["sources"][0]["description"] for query in started]
-    assert "/in" in read[0] and all("/out/raw-stream" in description for description in read[1:])
+    assert "/in" in read[0] and all("/out/log" in description for description in read[1:])
     expected = batch(spark, folder)
     assert rows_of(read_csv(spark, f"{tmp_path}/out/raw-stream", schemas.ARCHIVE)) == rows_of(expected)
     assert cells.movie_stats_rows(read_cells(spark, f"{tmp_path}/out/cells")).count() == (
@@ -257,3 +257,35 @@ def test_one_hot_movie_is_one_state_entry_per_source(spark, stream, tmp_path):
     for row in queries.read_snapshot(spark, f"{tmp_path}/out").collect():
         groups[row.movieId] += 1
     assert groups["hot"] == 3  # lines, s, t
+
+
+def test_line_breaks_and_quotes_in_texts_go_through_the_live_job(spark, tmp_path):
+    texts = ["a\nb", "a\rb", 'a"b', "a,b", "a\\nb", " a "]
+    rows = [(text, f"m{text}", 4.0 + k / 2, f"s{text}", k) for k, text in enumerate(texts)]
+    ratings = spark.createDataFrame(rows, schemas.ARCHIVE)
+    ratings.write.parquet(f"{tmp_path}/in")
+
+    def run():
+        source = spark.readStream.schema(schemas.ARCHIVE).parquet(f"{tmp_path}/in")
+        for query in live.start(source, f"{tmp_path}/out", once=True):
+            finish(query)
+
+    for _ in range(2):
+        run()
+        assert rows_of(spark.read.parquet(f"{tmp_path}/out/log").select(*ratings.columns)) == rows_of(ratings)
+        assert rows_of(queries.read_snapshot(spark, f"{tmp_path}/out/recent").select(*ratings.columns)) == rows_of(ratings)
+        stored = cells.movie_stats_rows(read_cells(spark, f"{tmp_path}/out/cells"))
+        assert {tuple(row) for row in stored.collect()} == {
+            (f"m{t}_s{t}", f"s{t}", 4.0 + k / 2, 1) for k, t in enumerate(texts)
+        }
+        assert read_csv(spark, f"{tmp_path}/out/raw-stream", schemas.ARCHIVE).count() == len(texts)
+
+
+def test_a_reader_gets_the_batch_before_while_one_is_written(spark, tmp_path):
+    spark.range(8).write.parquet(f"{tmp_path}/out/batch_id=9")
+    spark.range(3).write.parquet(f"{tmp_path}/out/batch_id=10")
+    assert queries.read_snapshot(spark, f"{tmp_path}/out").count() == 3
+    (tmp_path / "out/batch_id=10/_SUCCESS").unlink()
+    assert queries.read_snapshot(spark, f"{tmp_path}/out").count() == 8
+    with pytest.raises(ValueError):
+        queries.read_snapshot(spark, f"{tmp_path}/none")

@@ -433,9 +433,7 @@ def cells_genre_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 def cells_rating_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K10, C5"""
     parsed = lines.lenient_ratings(views.rating_lines(spark, sf_dir))
-    return cells.rating_event_cells(
-        parsed.where("timestamp IS NOT NULL").withColumn("source", F.lit("lines")), NOW_MS
-    )
+    return cells.rating_event_cells(parsed.withColumn("source", F.lit("lines")), NOW_MS)
 
 
 # Ten "milliseconds" per second of the ratings: their seven years become a month, of which a week is kept.
