@@ -6,10 +6,12 @@ over all of them. The share is small, so that passages a group of copies has in
 
 Forty samples a text, in ten bands of four, give the slots in which texts meet. In each round, the texts of a slot are compared with
 a few of them, one at first and then `REPS`, by exact weighted Jaccard similarity, unless they are in their classes by now;
-these then leave the slot. Slots of one class are done. So a round is linear in the members of its slots, and no pairs within a class are made. After
-`THOROUGH` rounds, the classes of the compared texts leave with them, so that the rounds end. Slots of up to
-1 + (THOROUGH - 1) * REPS texts are thus compared in full. In larger ones that hold several classes, a text with a link to some members of a
-class, but to none of those it was compared with in any of its ten slots, can be missed, as one whose samples never meet.
+these then leave the slot. Slots of one class are done. So a round is linear in the members of its slots, and no pairs within a class are made. Slots of
+up to 1 + (THOROUGH - 1) * REPS texts are thus compared in full. What is left of larger ones after `THOROUGH` rounds is joined
+exactly, by weighted prefixes: with the shingles of a text in one order for all texts, rare buckets first, two texts of the
+least similarity have a first shingle in common before either text's remaining weight falls below that share of its total.
+All pairs of different classes with such a shingle are compared, unless their weights from there on rule them out. So every
+two similar texts that share a slot end in one class; only texts whose samples never meet can be missed.
 The classes are the components of the links, found by alternating star contractions over written tables.
 
 Copies count once: nodes are digests of texts, so a text that a third of all rows hold is one node.
@@ -183,6 +185,53 @@ def similar(pairs: DataFrame, factor: np.ndarray, least: float) -> DataFrame:
     return in_arrow(pairs, run, "key binary, rep binary")
 
 
+def prefixes(texts: DataFrame, factor: np.ndarray, least: float) -> DataFrame:
+    """(key, shingle, rest, total) of the first shingles of every text, up to where less than `least` of its weight is left.
+
+    `rest` is the weight of the shingle and all after it.
+    """
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, words, length in chunks(batch.column("words")):
+                text, name, count = bags(words, length)
+                if not len(text):
+                    continue
+                each = factor[bucket(name).astype(np.int64)]
+                order = np.lexsort((name, -each, text))
+                text, name, weight = text[order], name[order], (count * each)[order]
+                first = np.flatnonzero(np.r_[True, text[1:] != text[:-1]])
+                size = np.diff(np.r_[first, len(text)])
+                total = np.repeat(np.add.reduceat(weight, first), size)
+                before = np.cumsum(weight) - weight
+                rest = total - (before - np.repeat(before[first], size))
+                # A little less, as sums are rounded.
+                kept = np.flatnonzero(rest >= least * total * (1 - 1e-9))
+                keys = batch.column("key").take(pa.array(at + text[kept]))
+                columns = [keys, pa.array(name[kept].view(np.int64)), pa.array(rest[kept]), pa.array(total[kept])]
+                yield pa.RecordBatch.from_arrays(columns, names=["key", "shingle", "rest", "total"])
+
+    rows = texts.select("key", hashes_of(F.col("text")).alias("words"))
+    return in_arrow(rows, run, "key binary, shingle long, rest double, total double")
+
+
+def possible(texts: DataFrame, label: DataFrame, factor: np.ndarray, least: float, written: Written) -> DataFrame:
+    """(key, rep) of all pairs of different classes among `texts` (key, text) that can be similar, each pair once."""
+    rows = prefixes(texts, factor, least).join(label, "key", "left")
+    rows = written(rows.select("key", "shingle", "rest", "total", F.coalesce("label", "key").alias("class")), "prefixes")
+    # Of shingles in several classes only, and from pairs of classes, so that no pairs within a class are made.
+    sets = rows.select("shingle", "class").distinct()
+    mixed = sets.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("shingle")
+    rows = written(rows.join(mixed, "shingle", "left_semi"), "mixed")
+    sets = rows.select("shingle", "class").distinct()
+    of = sets.join(sets.select("shingle", F.col("class").alias("other_class")), "shingle").filter("class < other_class")
+    other = rows.select("shingle", *(F.col(c).alias(f"other_{c}") for c in ("class", "key", "rest", "total")))
+    # From the first common shingle on, both have to hold what similar texts have in common.
+    enough = F.least("rest", "other_rest") >= (F.col("total") + F.col("other_total")) * (least / (1 + least) * (1 - 1e-9))
+    pairs = of.join(rows, ["shingle", "class"]).join(other, ["shingle", "other_class"]).filter(enough)
+    return pairs.select("key", F.col("other_key").alias("rep")).distinct()
+
+
 def contracted(links: DataFrame, written: Written) -> DataFrame:
     """(key, label) of every key in `links` (key, rep): the smallest key of its component. Alternating stars."""
 
@@ -222,40 +271,44 @@ def labels(documents: DataFrame, written: Written, least: float = SIMILARITY) ->
     held = written(texts.join(needed, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text")), "texts")
     links = None
     label = written(needed.filter("false").select("key", F.col("key").alias("label")), "none")
-    turn = 0
-    while True:
+
+    def linked(asked: DataFrame, links: DataFrame | None, label: DataFrame) -> tuple[DataFrame | None, DataFrame]:
+        """Links and classes after the pairs (key, rep) in `asked` were compared."""
+        second = held.select(F.col("key").alias("rep"), F.col("text").alias("second"))
+        words = asked.join(second, "rep").join(held, "key").select(
+            "key", "rep", hashes_of(F.col("text")).alias("mine"), hashes_of(F.col("second")).alias("other")
+        )
+        found = written(similar(words, factor, least), "found")
+        if not found.isEmpty():
+            links = written(found if links is None else label.select("key", F.col("label").alias("rep")).union(found), "links")
+            label = contracted(links, written)
+        return links, label
+
+    for turn in range(THOROUGH):
         # The smallest key first, which is the same in most slots of a class, then several in an order of each slot.
         order = [F.xxhash64("slot", "key", F.lit(turn))] if turn else []
         place = F.row_number().over(Window.partitionBy("slot").orderBy(*order, "key"))
         reps = left.withColumn("place", place).filter(F.col("place") <= (REPS if turn else 1))
         reps = reps.select("slot", F.col("key").alias("rep"))
         others = label.select(F.col("key").alias("rep"), F.col("label").alias("rep_label"))
-        told = left.join(reps, "slot").filter("key != rep").join(label, "key", "left").join(others, "rep", "left")
+        told = left.join(reps, "slot").join(label, "key", "left").join(others, "rep", "left")
         apart = F.coalesce("label", "key") != F.coalesce("rep_label", "rep")
         pairs = written(told.select("slot", "key", "rep", apart.alias("apart")), "pairs")
         if pairs.isEmpty():
             return label
         asked = pairs.filter("apart").select("key", "rep").distinct()
-        second = held.select(F.col("key").alias("rep"), F.col("text").alias("second"))
-        words = asked.join(second, "rep").join(held, "key").select(
-            "key", "rep", hashes_of(F.col("text")).alias("mine"), hashes_of(F.col("second")).alias("other")
-        )
-        found = written(similar(words, factor, least), "found")
-        if not found.isEmpty():
-            links = written(found if links is None else label.select("key", F.col("label").alias("rep")).union(found), "links")
-            label = contracted(links, written)
-        others = label.select(F.col("key").alias("rep"), F.col("label").alias("rep_label"))
-        after = pairs.join(label, "key", "left").join(others, "rep", "left").select(
-            "slot", "key", F.coalesce("label", "key").alias("class"), F.coalesce("rep_label", "rep").alias("rep_class")
+        links, label = linked(asked, links, label)
+        after = pairs.join(label, "key", "left").select(
+            "slot", "key", "rep", F.coalesce("label", "key").alias("class")
         )
-        if turn >= THOROUGH:
-            after = after.groupBy("slot", "key").agg(F.min("class").alias("class"), F.bool_or(F.expr("class = rep_class")).alias("met"))
-            after = after.filter("NOT met")
-        gone = reps.select("slot", F.col("rep").alias("key"))
-        after = written(after.select("slot", "key", "class").distinct().join(gone, ["slot", "key"], "left_anti"), "after")
+        # The compared ones leave.
+        after = after.groupBy("slot", "key").agg(F.min("class").alias("class"), F.bool_or(F.expr("key = rep")).alias("gone"))
+        after = written(after.filter("NOT gone").select("slot", "key", "class"), "after")
         open_ = after.groupBy("slot").agg(F.min("class").alias("low"), F.max("class").alias("high")).filter("low != high")
         left = written(after.join(open_, "slot", "left_semi").select("key", "slot"), "left")
-        turn += 1
+    rest = held.join(left.select("key").distinct(), "key", "left_semi")
+    asked = written(possible(rest, label, factor, least, written), "asked")
+    return label if asked.isEmpty() else linked(asked, links, label)[1]
 
 
 def classes(documents: DataFrame, written: Written, least: float = SIMILARITY) -> DataFrame:

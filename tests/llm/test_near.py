@@ -61,6 +61,50 @@ def test_classes_against_all_pairs(spark):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(found.values()))
 
 
+def test_copies_of_copies_in_large_slots(spark):
+    """Texts similar to one of some hundred copies only, in slots that are full of these, are in its class."""
+    choose = random.Random(8)
+    base = [f"w{choose.randrange(10**6)}" for _ in range(600)]
+
+    def edited(words, n):
+        words = list(words)
+        for k in choose.sample(range(len(words)), n):
+            words[k] = f"e{choose.randrange(10**9)}"
+        return words
+
+    copies = [edited(base, 2) for _ in range(500)]
+    again = [edited(words, 11) for words in copies[:60]]
+    apart = [base[:450] + edited(base, 600)[:150] for _ in range(20)]
+    texts = [" ".join(words) for words in [base, *copies, *again, *apart]]
+    bags = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in map(str.split, texts)]
+    root = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if len(bags[i] & bags[j]) > 0.82 * len(bags[i] | bags[j]) and root[i] != root[j]:
+                low, high = sorted((root[i], root[j]))
+                root = [low if r == high else r for r in root]
+    assert set(root[:561]) == {0} and root[561:] == list(range(561, 581))
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r.class_id for r in near.classes(table.repartition(3), Written(spark, "t")).collect()}
+    assert [found[i] for i in range(len(texts))] == root
+
+
+def test_pairs_that_can_be_similar(spark):
+    rows = [(bytes([i]), t) for i, t in made()[:120] if t and t.split()]
+    rows = list({t: (key, t) for key, t in rows}.values())
+    texts = spark.createDataFrame(rows, "key binary, text string")
+    factor = np.random.default_rng(1).uniform(1, 1.25, near.BUCKETS)
+    label = texts.limit(0).select("key", near.F.col("key").alias("label"))
+    found = near.possible(texts.repartition(3), label, factor, 0.8, Written(spark, "t"))
+    pairs = sorted(tuple(sorted((bytes(r.key), bytes(r.rep)))) for r in found.collect())
+    every = [(a, b) for a, _ in rows for b, _ in rows if a < b]
+    whole = texts.select(near.F.col("key"), near.hashes_of(near.F.col("text")).alias("mine"))
+    both = whole.crossJoin(whole.select(near.F.col("key").alias("rep"), near.F.col("mine").alias("other"))).filter("key < rep")
+    true = {(bytes(r.key), bytes(r.rep)) for r in near.similar(both, factor, 0.8).collect()}
+    assert len(pairs) == len(set(pairs)) < len(every) / 4
+    assert true and true <= set(pairs)
+
+
 def test_samples_estimate_weighted_similarity():
     numbers = np.random.default_rng(2)
     name = numbers.integers(1, 1 << 63, 3000, dtype=np.uint64)
