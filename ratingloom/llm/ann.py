@@ -12,7 +12,7 @@ many tasks; each sends the k nearest it found of each query, which are merged in
 
 Defined cases: vectors that are null, of another length than `dimensions`, zero, or hold null or non-finite components take
 no part, as queries or candidates; ties go to the smaller id; rows with the same id are candidates each, but not of that id
-as a query; queries without candidates have no rows; an empty table gives an empty result. Only the named columns are read.
+as a query; query rows of one id and vector are one query, those of one id and several vectors one each; queries without candidates have no rows; an empty table gives an empty result. Only the named columns are read.
 """
 
 from __future__ import annotations
@@ -129,7 +129,9 @@ def nearest(
 
     schema = "vec_id long, vector array<double>, list array<int>"
     candidates = vectors.mapInPandas(lambda frames: filed(frames, 1), schema).withColumn("list", F.col("list")[0])
-    wanted = vectors.filter(is_query).mapInPandas(lambda frames: filed(frames, probes), schema)
+    # By id and vector, so that repeated rows are searched once.
+    wanted = vectors.filter(is_query).withColumn("query", F.xxhash64("vector")).dropDuplicates(["vec_id", "query"])
+    wanted = wanted.select("vec_id", "vector").mapInPandas(lambda frames: filed(frames, probes), schema)
     sizes = candidates.groupBy("list").agg(F.count(F.lit(1)).alias("n"))  # as many rows as there are lists
     parts = {row.list: max(1, -(-row.n // part)) for row in sizes.collect()}
     of_list = F.create_map(*(F.lit(x) for pair in (parts or {0: 1}).items() for x in pair))
@@ -137,7 +139,7 @@ def nearest(
     asked = (
         wanted.select("vec_id", "vector", F.explode("list").alias("list"))
         .filter(F.col("list").isin(list(parts) or [-1]))
-        .select("vec_id", "vector", "list", F.explode(F.sequence(F.lit(0), (of_list[F.col("list")] - 1).cast("int"))).alias("part"))
+        .select("vec_id", "vector", F.xxhash64("vector").alias("query"), "list", F.explode(F.sequence(F.lit(0), (of_list[F.col("list")] - 1).cast("int"))).alias("part"))
     )
 
     def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
@@ -149,20 +151,22 @@ def nearest(
             lengths = np.sqrt((scaled * scaled).sum(axis=1))
             queries = np.stack(right.vector.to_numpy())
             turned = unit(queries) @ turn
-            for query_id, query, around in zip(right.vec_id.to_numpy(), queries, turned, strict=True):
-                # One more than asked for, as the query may itself be there. Row sums add up alike for equal rows.
-                stay = scanned(around, rotated, k + 1)
+            asking, in_order = right.vec_id.to_numpy(), np.sort(ids)
+            own = np.searchsorted(in_order, asking, "right") - np.searchsorted(in_order, asking)
+            for query_id, number, same, query, around in zip(asking, right["query"].to_numpy(), own, queries, turned, strict=True):
+                # As many more than asked for as rows of the query's id are there. Row sums add up alike for equal rows.
+                stay = scanned(around, rotated, k + same)
                 stay = stay[ids[stay] != query_id]
                 one = query / np.abs(query).max()
                 score = (scaled[stay] * one).sum(axis=1) / (lengths[stay] * np.sqrt((one * one).sum()))
                 order = np.lexsort((ids[stay], -score))[:k]
-                found.append(pd.DataFrame({"query_id": query_id, "vec_id": ids[stay][order], "score": score[order]}))
-        return pd.concat(found) if found else pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "vec_id": "int64"})
+                found.append(pd.DataFrame({"query_id": query_id, "query": number, "vec_id": ids[stay][order], "score": score[order]}))
+        return pd.concat(found) if found else pd.DataFrame({"query_id": [], "query": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "query": "int64", "vec_id": "int64"})
 
     near = dealt.groupBy("list", "part").cogroup(asked.groupBy("list", "part")).applyInPandas(
-        search, "query_id long, vec_id long, score double"
+        search, "query_id long, query long, vec_id long, score double"
     )
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    order = Window.partitionBy("query_id", "query").orderBy(F.desc("score"), "vec_id")
     return near.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score"
     )

@@ -61,3 +61,15 @@ def test_few_rows(spark):
     assert found_in(spark.createDataFrame([], schema)) == {}
     two = spark.createDataFrame([(0, [1.0] * 64), (3, [-1.0] * 64)], schema)
     assert [v for v, _ in found_in(two)[0]] == [3]
+
+
+def test_repeated_ids_of_a_query(spark):
+    choose = np.random.default_rng(4)
+    centre = choose.normal(size=64)
+    rows = [(i, (centre + choose.normal(size=64)).tolist()) for i in range(1, 200) if i % 50]
+    rows += [(0, (centre + 0.01 * choose.normal(size=64)).tolist())] * 12
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = found_in(table, lists=1, probes=1)
+    assert [v for v, _ in found[0]] == [v for v, _ in brute(dict(rows))[0]]
+    two = spark.createDataFrame([*rows, (0, (-centre).tolist())], "vec_id long, embedding array<double>")
+    assert ann.nearest(two, F.col("vec_id") % 50 == 0, lists=1, probes=1).count() == 10
