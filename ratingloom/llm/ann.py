@@ -10,6 +10,8 @@ exact cosine, in double precision on the original vectors.
 Lists are dealt out in parts of about `PART` vectors, so a list, or a vector, that a third of all rows share is scanned by
 many tasks; each sends the k nearest it found of each query, which are merged in a second step.
 
+The queries of a list are dealt out in blocks of about `QUERIES` too, so neither side of a task grows with the table.
+
 Defined cases: vectors that are null, of another length than `dimensions`, zero, or hold null or non-finite components take
 no part, as queries or candidates; ties go to the smaller id; rows with the same id are candidates each, but not of that id
 as a query; query rows of one id and vector are one query, those of one id and several vectors one each; queries without candidates have no rows; an empty table gives an empty result. Only the named columns are read.
@@ -30,6 +32,7 @@ LISTS = 128
 # Vectors without clusters have near ones in many lists: 0.97 of the nearest five are found with so many.
 PROBES = 80
 PART = 4_000
+QUERIES = 4_000
 BLOCK = 16
 # How far, in standard deviations of the estimate, a partial distance must be beyond the k-th one.
 CONFIDENCE = 2.1
@@ -105,6 +108,7 @@ def nearest(
     probes: int = PROBES,
     sample: int = SAMPLE,
     part: int = PART,
+    block: int = QUERIES,
 ) -> DataFrame:
     """query_id, rank, vec_id and score of the k nearest rows to every row for which `is_query` holds.
 
@@ -132,14 +136,18 @@ def nearest(
     # By id and vector, so that repeated rows are searched once.
     wanted = vectors.filter(is_query).withColumn("query", F.xxhash64("vector")).dropDuplicates(["vec_id", "query"])
     wanted = wanted.select("vec_id", "vector").mapInPandas(lambda frames: filed(frames, probes), schema)
-    sizes = candidates.groupBy("list").agg(F.count(F.lit(1)).alias("n"))  # as many rows as there are lists
-    parts = {row.list: max(1, -(-row.n // part)) for row in sizes.collect()}
+    sizes = candidates.groupBy("list").agg(F.count(F.lit(1)).alias("n"), F.count_if(is_query).alias("queries"))
+    sizes = sizes.collect()  # as many rows as there are lists
+    blocks = max(1, -(-sum(row.queries for row in sizes) // block))
+    parts = {row.list: max(1, -(-row.n // part)) for row in sizes}
     of_list = F.create_map(*(F.lit(x) for pair in (parts or {0: 1}).items() for x in pair))
     dealt = candidates.withColumn("part", F.pmod(F.xxhash64("vec_id", F.lit(1)), of_list[F.col("list")]).cast("int"))
+    dealt = dealt.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     asked = (
         wanted.select("vec_id", "vector", F.explode("list").alias("list"))
         .filter(F.col("list").isin(list(parts) or [-1]))
-        .select("vec_id", "vector", F.xxhash64("vector").alias("query"), "list", F.explode(F.sequence(F.lit(0), (of_list[F.col("list")] - 1).cast("int"))).alias("part"))
+        .withColumn("block", F.pmod(F.xxhash64("vec_id", F.lit(2)), F.lit(blocks)).cast("int"))
+        .select("vec_id", "vector", F.xxhash64("vector").alias("query"), "list", "block", F.explode(F.sequence(F.lit(0), (of_list[F.col("list")] - 1).cast("int"))).alias("part"))
     )
 
     def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
@@ -163,7 +171,7 @@ def nearest(
                 found.append(pd.DataFrame({"query_id": query_id, "query": number, "vec_id": ids[stay][order], "score": score[order]}))
         return pd.concat(found) if found else pd.DataFrame({"query_id": [], "query": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "query": "int64", "vec_id": "int64"})
 
-    near = dealt.groupBy("list", "part").cogroup(asked.groupBy("list", "part")).applyInPandas(
+    near = dealt.groupBy("list", "part", "block").cogroup(asked.groupBy("list", "part", "block")).applyInPandas(
         search, "query_id long, query long, vec_id long, score double"
     )
     order = Window.partitionBy("query_id", "query").orderBy(F.desc("score"), "vec_id")

@@ -73,3 +73,11 @@ def test_repeated_ids_of_a_query(spark):
     assert [v for v, _ in found[0]] == [v for v, _ in brute(dict(rows))[0]]
     two = spark.createDataFrame([*rows, (0, (-centre).tolist())], "vec_id long, embedding array<double>")
     assert ann.nearest(two, F.col("vec_id") % 50 == 0, lists=1, probes=1).count() == 10
+
+
+def test_recall_of_the_scan_in_long_lists(spark):
+    choose = np.random.default_rng(6)
+    rows = [(i, v.tolist()) for i, v in enumerate(choose.normal(size=(3000, 64)))]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = found_in(table, lists=8, probes=8, block=7)
+    assert recall(found, brute(dict(rows))) >= 0.95
