@@ -39,14 +39,14 @@ def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents; secrets are masked unless several owners hold the same, which makes them copied examples."""
+    """All documents; secrets are masked unless most owners hold the same, which makes them copied examples."""
     told = docs.select(
         F.struct("doc_id", F.xxhash64("text").alias("copy")).alias("doc_id"),
         "text",
         F.col("source").alias("owner"),
         F.concat_ws("/", "source", "lang").alias("repository"),
     )
-    own = F.filter("spans", lambda s: s["owners"] <= secret_scan.MAX_OWNERS)
+    own = F.filter("spans", lambda s: ~s["copied"])
     found = (
         secret_scan.scan(told, Written(spark, "secrets"))
         .select("doc_id", own.alias("spans"))

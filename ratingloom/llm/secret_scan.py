@@ -3,8 +3,8 @@
 Native: DataFrame functions only.
 
 Candidates are the matches of three base patterns and long mixed tokens. Hashes of their values are counted over the whole
-corpus by distinct repository and owner. A value that several owners hold is a copied example; one that only a single owner
-holds and that looks random is taken for live. Base matches are always reported, with their counts; tokens only if live.
+corpus by distinct repository and owner. A value that more than two owners and more than half of all hold is a copied
+example; any other that looks random is taken for live. Base matches are always reported, with their counts; tokens only if live.
 
 Defined cases: a null text counts as empty; a null owner or repository is one of its own; repeated rows are scanned each,
 and count once as owners; empty tables give empty results. Spans are code points, end exclusive. Only the named columns are
@@ -28,7 +28,10 @@ TOKEN = r"(?<![A-Za-z0-9_-])(?=[A-Za-z_-]*[0-9])(?=[0-9A-Z_-]*[a-z])(?=[0-9a-z_-
 KINDS = (("assign", ASSIGN), ("access", ACCESS), ("hex", HEX), ("token", TOKEN))
 BASE = ("assign", "access", "hex")
 PLACEHOLDER = r"(?i)example|sample|changeme|placeholder|your[_-]|xxxx|(.)\1{7}"
-MAX_OWNERS = 1
+# A value is a copied example when more owners hold it than this, and more than this share of all owners: one copied
+# document makes no example of a live secret.
+MAX_OWNERS = 2
+OWNER_SHARE = 0.5
 BLOCK = 512
 SPAN = "array<struct<at:int,value:string>>"
 
@@ -115,8 +118,8 @@ def candidates(documents: DataFrame) -> DataFrame:
     return every.select("doc_id", "owner", "repository", F.concat(base, outside).alias("spans"))
 
 
-def scan(documents: DataFrame, written: Written, max_owners: int = MAX_OWNERS) -> DataFrame:
-    """Every document with its spans: `spans` is an array of (start, kind, end, owners, repositories, live), sorted.
+def scan(documents: DataFrame, written: Written, max_owners: int = MAX_OWNERS, share: float = OWNER_SHARE) -> DataFrame:
+    """Every document with its spans: `spans` is an array of (start, kind, end, owners, repositories, live, copied), sorted.
 
     `documents` needs doc_id, text, owner and repository. `written` keeps the candidates, which are small, so that the
     texts are scanned once; its tables may be removed once the result has been read.
@@ -135,14 +138,16 @@ def scan(documents: DataFrame, written: Written, max_owners: int = MAX_OWNERS) -
     holders = each.select("hash", "owner", "repository").groupBy("hash", "owner", "repository").agg(F.lit(1).alias("one"))
     owners = holders.groupBy("hash", "owner").agg(F.count(F.lit(1)).alias("n"))
     held = owners.groupBy("hash").agg(F.count(F.lit(1)).alias("owners"), F.sum("n").alias("repositories"))
-    live = F.col("random") & (F.col("owners") <= max_owners)
+    limit = max(max_owners, share * rows.select("owner").distinct().count())
+    copied = F.col("owners") > limit
+    live = F.col("random") & ~copied
     judged = (
         each.join(held, "hash")
         .filter((F.col("kind") < len(BASE)) | live)
         .groupBy("row")
         .agg(
             F.sort_array(
-                F.collect_list(F.struct("start", "kind", "end", "owners", "repositories", live.alias("live")))
+                F.collect_list(F.struct("start", "kind", "end", "owners", "repositories", live.alias("live"), copied.alias("copied")))
             ).alias("spans")
         )
     )
@@ -187,5 +192,5 @@ def counts(found: DataFrame) -> DataFrame:
         F.sha2(joined(base), 256).alias("base_sha256"),
         joined(F.col("spans")).alias("spans"),
         F.size(F.filter("spans", lambda s: s["live"])).cast("long").alias("n_live"),
-        F.size(F.filter("spans", lambda s: s["owners"] > MAX_OWNERS)).cast("long").alias("n_copied"),
+        F.size(F.filter("spans", lambda s: s["copied"])).cast("long").alias("n_copied"),
     )

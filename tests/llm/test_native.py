@@ -4,6 +4,7 @@ import random
 import re
 from hashlib import sha256
 
+import corpus_pipeline
 from ratingloom.llm import quality, secret_scan
 from ratingloom.llm.shared import Written
 
@@ -86,3 +87,18 @@ def test_copied_tokens_are_not_live(spark):
     found = secret_scan.counts(secret_scan.scan(table, Written(spark, "t"))).collect()
     assert sorted((r.doc_id, r.spans) for r in found) == [(0, ""), (1, ""), (2, ""), *[(9, f"token:4:{4 + len(own)}")] * 2]
     assert secret_scan.scan(table.limit(0), Written(spark, "t")).collect() == []
+
+
+def test_a_secret_in_few_of_many_sources_is_masked(spark):
+    few, wide = "Q7r" + "kLm92" * 5, "aB3" * 8 + "x"
+    rows = [(i, f"text {i} password = {wide}", "en", f"s{i}", 1) for i in range(7)]
+    rows += [(10 + i, f"other {i} password = {few}", "en", f"s{i}", 1) for i in range(4)]
+    rows += [(20 + i, "nothing", "en", f"s{i}", 1) for i in range(10)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    for row in corpus_pipeline.secrets(spark, table, "").collect():
+        expected = f"other {row.doc_id - 10} [SECRET]" if 10 <= row.doc_id < 14 else rows[[r[0] for r in rows].index(row.doc_id)][1]
+        assert row.text == expected
+    tokens = [(i, f"{i} see {few}", f"s{i}", "r") for i in range(2)] + [(9, "", "s9", "r")]
+    told = spark.createDataFrame(tokens, "doc_id long, text string, owner string, repository string")
+    found = secret_scan.counts(secret_scan.scan(told, Written(spark, "t"))).collect()
+    assert sorted((r.doc_id, r.n_live, r.n_copied) for r in found) == [(0, 1, 0), (1, 1, 0), (9, 0, 0)]
