@@ -60,18 +60,22 @@ def live_stats_cells(stats: DataFrame, now_ms: int | None = None) -> DataFrame:
     return to_cells(stats, "movie_stats", key, values, now)
 
 
-def batch_stats_cells(stats: DataFrame, now_ms: int | None = None, source: str = BATCH_SOURCE) -> DataFrame:
-    """K8, K9: cells of movieId, avgRating, totalVotes and, where there, title and stddev."""
+def batch_stats_cells(stats: DataFrame, now_ms: int | None = None, source: str | Column = BATCH_SOURCE) -> DataFrame:
+    """K8, K9: cells of movieId, avgRating, totalVotes and, where there, title and stddev.
+
+    `source` is one source of all rows, or a column with that of each.
+    """
     now = clock_ms(now_ms)
+    source = source if isinstance(source, Column) else F.lit(source)
     optional = {("info", "title"): "title", ("ratings", "stddev"): "stddev"}
     values = {
         ("ratings", "avgRating"): F.col("avgRating"),
         ("ratings", "totalVotes"): F.col("totalVotes"),
-        ("info", "source"): F.lit(source),
+        ("info", "source"): source,
         ("info", "lastUpdated"): now,
         **{cell: F.col(name) for cell, name in optional.items() if name in stats.columns},
     }
-    key = joined_key(_usable_movie(F.col("movieId")), F.lit(source))
+    key = joined_key(_usable_movie(F.col("movieId")), F.coalesce(source, F.lit("null")))
     return to_cells(stats, "movie_stats", key, values, now)
 
 
@@ -150,10 +154,15 @@ def rows_from_cells(cells: DataFrame, columns: dict[str, tuple[str, str, str]])
     )
 
 
-def movie_stats_rows(cells: DataFrame) -> DataFrame:
-    """The movie_stats cells as row_key, source, avgRating, totalVotes."""
+def unexpired(cells: DataFrame, now_ms: int | None, time_to_live_ms: int = CELL_TIME_TO_LIVE_MS) -> DataFrame:
+    """The cells younger than `time_to_live_ms`; all without a `now_ms`."""
+    return cells if now_ms is None else cells.where(F.col("version_ts") > now_ms - time_to_live_ms)
+
+
+def movie_stats_rows(cells: DataFrame, now_ms: int | None = None) -> DataFrame:
+    """The movie_stats cells as row_key, source, avgRating, totalVotes; with `now_ms`, without what is past its time to live."""
     return rows_from_cells(
-        cells,
+        unexpired(cells, now_ms),
         {
             "source": ("info", "source", "string"),
             "avgRating": ("ratings", "avgRating", "double"),
@@ -162,9 +171,9 @@ def movie_stats_rows(cells: DataFrame) -> DataFrame:
     )
 
 
-def lookup_stats(cells: DataFrame, row_key: str) -> DataFrame:
-    """The stats under one key, or no row. The key is a filter of the scan."""
-    return movie_stats_rows(cells.where(F.col("row_key") == row_key))
+def lookup_stats(cells: DataFrame, row_key: str, now_ms: int | None = None) -> DataFrame:
+    """The stats under one key, or no row. The key and, with `now_ms`, the time to live are filters of the scan."""
+    return movie_stats_rows(cells.where(F.col("row_key") == row_key), now_ms)
 
 
 def retained_cells(

@@ -114,3 +114,22 @@ def test_a_repeated_batch_changes_nothing_and_a_later_one_wins(spark, tmp_path):
     compact_cells(spark, path, str(tmp_path / "compact"), now_ms=6)
     compacted = read_cells(spark, str(tmp_path / "compact"))
     assert rows_of(cells.movie_stats_rows(compacted)) == [("m_s", "s", 4.0, 2)] and compacted.count() == 4
+
+
+def test_readers_hide_expired_cells(spark):
+    schema = "movieId STRING, source STRING, avgRating DOUBLE, totalVotes BIGINT"
+    old = cells.live_stats_cells(spark.createDataFrame([("m", "s", 4.0, 2)], schema), DAY)
+    stored = old.union(cells.live_stats_cells(spark.createDataFrame([("n", "s", 3.0, 1)], schema), 3 * DAY))
+    both = [("m_s", "s", 4.0, 2), ("n_s", "s", 3.0, 1)]
+    assert rows_of(cells.movie_stats_rows(stored, 8 * DAY - 1)) == both
+    assert rows_of(cells.movie_stats_rows(stored, 8 * DAY)) == both[1:]
+    assert rows_of(cells.lookup_stats(stored, "m_s", 8 * DAY)) == []
+    assert rows_of(cells.lookup_stats(stored, "n_s", 8 * DAY)) == both[1:]
+
+
+def test_batch_cells_of_the_source_of_each_row(spark):
+    rows = [("m", "a", 4.0, 2, 0.5), ("m", None, 3.0, 1, 0.25)]
+    frame = spark.createDataFrame(rows, "movieId STRING, source STRING, avgRating DOUBLE, totalVotes BIGINT, stddev DOUBLE")
+    found = rows_of(cells.batch_stats_cells(frame, 7, F.col("source")))
+    assert {("m_a", "ratings", "stddev", "0.5", 7), ("m_null", "ratings", "stddev", "0.25", 7)} <= set(found)
+    assert [r for r in found if r[2] == "source"] == [("m_a", "info", "source", "a", 7)]

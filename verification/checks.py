@@ -486,7 +486,7 @@ def lookup_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One key of the stored cells of all movies"""
     folder = shared_folder(spark, "lookup")
     write_cells(cells.batch_stats_cells(_movie_stats(spark, sf_dir), NOW_MS), folder, 0)
-    return cells.lookup_stats(read_cells(spark, folder), "42_batch")
+    return cells.lookup_stats(read_cells(spark, folder), "42_batch", NOW_MS)
 
 
 @check(
