@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratingloom.llm import ann, bpe, chat, extract, near, packing, quality, secret_scan, suffixes, warc
+from ratingloom.llm import ann, bpe, chat, collocations, extract, near, packing, quality, secret_scan, suffixes, tokens, warc
 from ratingloom.llm.shared import Written, pre_token_pattern, table, tokenizer_file
 from ratingloom.session import shared_folder
 
@@ -58,6 +58,15 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.counts(secret_scan.scan(documents, Written(spark, "op10")))
 
 
+def op12_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    file = tokenizer_file("byte_bpe_50k.json")
+    return tokens.digests(tokens.write(table(spark, sf_dir, "documents"), file, shared_folder(spark, "op12")))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents"), Written(spark, "op13"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_ann": op2_ann,
@@ -69,5 +78,37 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_extract": op9_extract,
     "op10_secret_scans": op10_secret_scans,
+    "op12_tokens": op12_tokens,
+    "op13_collocations": op13_collocations,
 }
-SQL: dict[str, str] = {}
+
+# All phrases of one to five words are counted one by one, and every longer candidate is held against every shorter one in it.
+COLLOCATIONS_SQL = r"""
+WITH words AS (
+    SELECT lang, regexp_extract_all(piece, '[^ \t]+') AS w FROM (
+        SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+counted AS (
+    SELECT lang, k, phrase, count(*) AS f FROM (
+        SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
+        FROM words, (SELECT unnest(range(1, 6)) AS k)) GROUP BY lang, k, phrase),
+totals AS (SELECT lang, sum(f) AS n FROM counted WHERE k = 1 GROUP BY lang),
+candidates AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM counted WHERE k > 1 AND f >= 100),
+cuts AS (
+    SELECT lang, k, phrase, a, cut, array_to_string(w[1:cut], ' ') AS head, array_to_string(w[cut + 1:], ' ') AS rest
+    FROM (SELECT *, unnest(range(1, k)) AS cut FROM candidates)),
+scores AS (
+    SELECT c.lang, c.phrase, a, x.f AS l, y.f AS r, CAST(n AS BIGINT) AS n,
+        CAST((1000::HUGEINT * a * n) // (x.f::HUGEINT * y.f) AS BIGINT) AS score, cut
+    FROM cuts c JOIN totals t ON t.lang = c.lang JOIN counted x ON x.lang = c.lang AND x.phrase = head
+    JOIN counted y ON y.lang = c.lang AND y.phrase = rest),
+best AS (SELECT * EXCLUDE (cut) FROM scores QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+inner_phrases AS (
+    SELECT lang, a, array_to_string(w[i:i + j - 1], ' ') AS phrase FROM (
+        SELECT *, unnest(range(1, k - j + 2)) AS i FROM (SELECT *, unnest(range(2, k)) AS j FROM candidates))),
+covers AS (SELECT lang, phrase, max(a) AS longer FROM inner_phrases GROUP BY lang, phrase)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM best LEFT JOIN covers USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 100 * a
+QUALIFY rank <= 2000"""
+
+SQL: dict[str, str] = {"op13_collocations": COLLOCATIONS_SQL}
