@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratingloom.llm import ann, bpe, chat, collocations, extract, near, packing, quality, secret_scan, suffixes, tokens, warc
+from ratingloom.llm import ann, bpe, chat, collocations, extract, near, packing, quality, search, secret_scan, suffixes, tokens, warc
 from ratingloom.llm.shared import Written, pre_token_pattern, table, tokenizer_file
 from ratingloom.session import shared_folder
 
@@ -58,6 +58,10 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.counts(secret_scan.scan(documents, Written(spark, "op10")))
 
 
+def op11_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), Written(spark, "op11"))
+
+
 def op12_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     file = tokenizer_file("byte_bpe_50k.json")
     return tokens.digests(tokens.write(table(spark, sf_dir, "documents"), file, shared_folder(spark, "op12")))
@@ -78,10 +82,35 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_extract": op9_extract,
     "op10_secret_scans": op10_secret_scans,
+    "op11_search": op11_search,
     "op12_tokens": op12_tokens,
     "op13_collocations": op13_collocations,
 }
 
+# Every document is scored for every item.
+SEARCH_SQL = r"""
+WITH held AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS words FROM documents),
+asked AS (
+    SELECT item_id, term, count(*) AS times FROM (
+        SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+            'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark)
+    GROUP BY item_id, term),
+corpus AS (SELECT count(*) FILTER (WHERE len(words) > 0) AS documents, CAST(sum(len(words)) AS BIGINT) AS total FROM held),
+postings AS (
+    SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, len(words) AS n, unnest(words) AS term FROM held)
+    GROUP BY doc_id, n, term),
+weights AS (
+    SELECT term, CAST(floor(1000 * ln((2.0 * documents + 2) / (2.0 * df + 1))) AS BIGINT) AS w
+    FROM (SELECT term, count(*) AS df FROM postings GROUP BY term), corpus),
+scores AS (
+    SELECT item_id, doc_id, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * documents) // total))))
+        AS BIGINT) AS score
+    FROM asked JOIN postings USING (term) JOIN weights USING (term), corpus GROUP BY item_id, doc_id)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank, doc_id, score
+FROM scores WHERE score > 0 QUALIFY rank <= 10"""
+
 # All phrases of one to five words are counted one by one, and every longer candidate is held against every shorter one in it.
 COLLOCATIONS_SQL = r"""
 WITH words AS (
@@ -111,4 +140,4 @@ SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, p
 FROM best LEFT JOIN covers USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 100 * a
 QUALIFY rank <= 2000"""
 
-SQL: dict[str, str] = {"op13_collocations": COLLOCATIONS_SQL}
+SQL: dict[str, str] = {"op11_search": SEARCH_SQL, "op13_collocations": COLLOCATIONS_SQL}
