@@ -1,7 +1,11 @@
 """Keyed cells: rows to cells and back, latest values, retention.
 
-A cell is (row_key, family, qualifier, value, version_ts); all values are text. Writers only ever add cells. Readers take
-the latest version of each, so no write has to read first, and a write that is repeated changes nothing.
+A cell is (row_key, family, qualifier, value, version_ts, put_id); all values are text. Writers only ever add cells. Readers
+take the latest version of each, so no write has to read first, and a write that is repeated changes nothing.
+
+All cells that come from one row are a put and carry its `put_id`, a digest of the key, the version and all values. Between
+puts of the same version it decides, the same way for each cell, so two puts never mix where both have the same cells; and
+`whole_rows` leaves out what other puts have written to a row.
 """
 
 from __future__ import annotations
@@ -13,12 +17,32 @@ from ratingloom.fixed_values import BATCH_SOURCE, CELL_FAMILIES, CELL_TIME_TO_LI
 from ratingloom.functions.keys import clock_ms, event_key, joined_key
 
 CELL_KEY = ("row_key", "family", "qualifier")
+CELL_BUCKETS = 8
+DAY_MS = 86_400_000
+
+
+def version_day(version_ts: Column) -> Column:
+    """Days since the epoch, by which cells are stored."""
+    return F.floor(version_ts / DAY_MS).cast("bigint")
+
+
+def first_day(now_ms: int, time_to_live_ms: int = CELL_TIME_TO_LIVE_MS) -> int:
+    """The first day that may hold cells within their time to live."""
+    return (now_ms - time_to_live_ms) // DAY_MS
+
+
+def cell_bucket(row_key: Column, buckets: int = CELL_BUCKETS) -> Column:
+    """The bucket that the cells of a key are stored in."""
+    return F.pmod(F.xxhash64(row_key), F.lit(buckets)).cast("int")
 
 
 def to_cells(
     rows: DataFrame, table: str, row_key: Column, values: dict[tuple[str, str], Column], version_ts: Column
 ) -> DataFrame:
-    """One cell per row and value; NULL values make no cell and rows without a key no cells."""
+    """One cell per row and value; NULL values make no cell and rows without a key no cells.
+
+    Equal rows are the same put.
+    """
     undeclared = {family for family, _ in values} - set(CELL_FAMILIES[table])
     if undeclared:
         raise ValueError(f"table {table} has no families {sorted(undeclared)}")
@@ -28,6 +52,11 @@ def to_cells(
         version_ts.alias("version_ts"),
         *[value.cast("string").alias(name) for name, value in zip(names, values.values())],
     )
+    # NULLs are skipped by the digest, so each value is preceded by its place.
+    placed = [part for k, name in enumerate(names) for part in (F.when(F.col(name).isNotNull(), F.lit(k)), F.col(name))]
+    put_id = F.xxhash64("row_key", "version_ts", *placed)
+    # Behind a generator, so that the digest is not computed again for every cell.
+    keyed = keyed.select("row_key", "version_ts", *names, F.explode(F.array(put_id)).alias("put_id"))
     # Keys are part of the generated rows, so the filter on them stays above and computes nothing again.
     entries = [
         F.struct(
@@ -36,6 +65,7 @@ def to_cells(
             F.lit(qualifier).alias("qualifier"),
             F.col(name).alias("value"),
             "version_ts",
+            "put_id",
         )
         for name, (family, qualifier) in zip(names, values)
     ]
@@ -48,7 +78,7 @@ def _usable_movie(movie: Column) -> Column:
 
 
 def live_stats_cells(stats: DataFrame, now_ms: int | None = None) -> DataFrame:
-    """K7: cells of movieId, source, avgRating, totalVotes."""
+    """K7, K9: cells of movieId, source, avgRating, totalVotes and, where there, stddev."""
     now = clock_ms(now_ms)
     values = {
         ("ratings", "avgRating"): F.col("avgRating"),
@@ -56,6 +86,8 @@ def live_stats_cells(stats: DataFrame, now_ms: int | None = None) -> DataFrame:
         ("info", "source"): F.col("source"),
         ("info", "lastUpdated"): now,
     }
+    if "stddev" in stats.columns:
+        values["ratings", "stddev"] = F.col("stddev")
     key = joined_key(_usable_movie(F.col("movieId")), F.coalesce("source", F.lit("null")))
     return to_cells(stats, "movie_stats", key, values, now)
 
@@ -117,49 +149,67 @@ def alert_cells(alerts: DataFrame, now_ms: int | None = None) -> DataFrame:
     return to_cells(alerts, "rating_alerts", key, values, now)
 
 
-def _version(cells: DataFrame) -> Column:
-    """What decides between cells: the later version, then the later batch, then the larger value."""
-    parts = ["version_ts", *[name for name in ("batch_id",) if name in cells.columns], "value"]
-    return F.struct(*parts)
+def _version(cells: DataFrame) -> list[str]:
+    """What decides between cells: the later version, then the later batch, then the identity of the put."""
+    return ["version_ts", *[name for name in ("batch_id", "put_id") if name in cells.columns]]
+
+
+def _latest(cells: DataFrame) -> Column:
+    """The version and value of a cell as a struct whose order is that of the versions."""
+    return F.struct(*_version(cells), "value")
 
 
 def latest_cells(cells: DataFrame) -> DataFrame:
     """One row per cell: its latest value. A plain aggregate, so versions are combined before the shuffle."""
     return (
         cells.groupBy(*CELL_KEY)
-        .agg(F.max(_version(cells)).alias("latest"))
+        .agg(F.max(_latest(cells)).alias("latest"))
         .select(*CELL_KEY, "latest.value", "latest.version_ts")
     )
 
 
 def rows_from_cells(cells: DataFrame, columns: dict[str, tuple[str, str, str]]) -> DataFrame:
-    """Latest values as columns: {column: (family, qualifier, type)} per row_key, in one aggregation."""
-    version = _version(cells)
+    """Latest values as columns: {column: (family, qualifier, type)} per row_key, in one aggregation.
+
+    A cell that the latest put of a row lacks keeps the value of an earlier one.
+    """
+    picked, values = _picked(cells, columns)
+    return picked.select("row_key", *[F.col(f"{name}.value").cast(kind).alias(name) for name, kind in values])
 
-    def latest(family: str, qualifier: str) -> Column:
-        chosen = (F.col("family") == family) & (F.col("qualifier") == qualifier)
-        return F.max(F.when(chosen, version))
 
-    wanted = [(F.col("family") == f) & (F.col("qualifier") == q) for f, q, _ in columns.values()]
-    any_wanted = wanted[0]
-    for condition in wanted[1:]:
+def whole_rows(cells: DataFrame, columns: dict[str, tuple[str, str, str]]) -> DataFrame:
+    """The latest put of each row as columns, and nothing of any other: {column: (family, qualifier, type)} per row_key."""
+    picked, values = _picked(cells, columns)
+    version = lambda at: F.struct(*[F.col(f"{at}.{part}") for part in _version(cells)])
+    same = lambda name: version(name).eqNullSafe(version("last"))
+    return picked.select("row_key", *[F.when(same(name), F.col(f"{name}.value")).cast(kind).alias(name) for name, kind in values])
+
+
+def _picked(cells: DataFrame, columns: dict[str, tuple[str, str, str]]) -> tuple[DataFrame, list[tuple[str, str]]]:
+    """Per row_key, the latest version with its value of every column, and `last`, that of the row."""
+    latest = _latest(cells)
+    chosen = {name: (F.col("family") == family) & (F.col("qualifier") == qualifier) for name, (family, qualifier, _) in columns.items()}
+    any_wanted = F.lit(False)
+    for condition in chosen.values():
         any_wanted = any_wanted | condition
     picked = (
         cells.where(any_wanted)
         .groupBy("row_key")
-        .agg(*[latest(family, qualifier).alias(name) for name, (family, qualifier, _) in columns.items()])
-    )
-    return picked.select(
-        "row_key", *[F.col(f"{name}.value").cast(kind).alias(name) for name, (_, _, kind) in columns.items()]
+        .agg(*[F.max(F.when(condition, latest)).alias(name) for name, condition in chosen.items()], F.max(latest).alias("last"))
     )
+    return picked, [(name, kind) for name, (_, _, kind) in columns.items()]
 
 
 def unexpired(cells: DataFrame, now_ms: int | None, time_to_live_ms: int = CELL_TIME_TO_LIVE_MS) -> DataFrame:
     """The cells younger than `time_to_live_ms`; all without a `now_ms`."""
-    return cells if now_ms is None else cells.where(F.col("version_ts") > now_ms - time_to_live_ms)
+    if now_ms is None:
+        return cells
+    if "day" in cells.columns:
+        cells = cells.where(F.col("day") >= first_day(now_ms, time_to_live_ms))
+    return cells.where(F.col("version_ts") > now_ms - time_to_live_ms)
 
 
-def movie_stats_rows(cells: DataFrame, now_ms: int | None = None) -> DataFrame:
+def movie_stats_rows(cells: DataFrame, now_ms: int | None = None, with_stddev: bool = False) -> DataFrame:
     """The movie_stats cells as row_key, source, avgRating, totalVotes; with `now_ms`, without what is past its time to live."""
     return rows_from_cells(
         unexpired(cells, now_ms),
@@ -167,13 +217,37 @@ def movie_stats_rows(cells: DataFrame, now_ms: int | None = None) -> DataFrame:
             "source": ("info", "source", "string"),
             "avgRating": ("ratings", "avgRating", "double"),
             "totalVotes": ("ratings", "totalVotes", "bigint"),
+            **({"stddev": ("ratings", "stddev", "double")} if with_stddev else {}),
+        },
+    )
+
+
+def rating_event_rows(cells: DataFrame, now_ms: int | None = None) -> DataFrame:
+    """The real_time_ratings cells as the events that were put: row_key, userId, movieId, rating, source, timestamp."""
+    return whole_rows(
+        unexpired(cells, now_ms),
+        {
+            "userId": ("info", "userId", "string"),
+            "movieId": ("info", "movieId", "string"),
+            "rating": ("ratings", "rating", "double"),
+            "source": ("meta", "source", "string"),
+            "timestamp": ("meta", "timestamp", "bigint"),
         },
     )
 
 
-def lookup_stats(cells: DataFrame, row_key: str, now_ms: int | None = None) -> DataFrame:
-    """The stats under one key, or no row. The key and, with `now_ms`, the time to live are filters of the scan."""
-    return movie_stats_rows(cells.where(F.col("row_key") == row_key), now_ms)
+def cells_of_key(cells: DataFrame, row_key: str, buckets: int = CELL_BUCKETS) -> DataFrame:
+    """The cells of one key. In a stored table these are the files of one bucket."""
+    found = cells.where(F.col("row_key") == row_key)
+    return found.where(F.col("bucket") == cell_bucket(F.lit(row_key), buckets)) if "bucket" in cells.columns else found
+
+
+def lookup_stats(
+    cells: DataFrame, row_key: str, now_ms: int | None = None, buckets: int = CELL_BUCKETS
+) -> DataFrame:
+    """The stats under one key, or no row. Bucket, day and key are filters of the scan; so is, with `now_ms`, the time
+    to live."""
+    return movie_stats_rows(cells_of_key(unexpired(cells, now_ms), row_key, buckets), now_ms)
 
 
 def retained_cells(
@@ -190,8 +264,8 @@ def retained_cells(
     versions = (
         cells.where(F.col("version_ts") > now_ms - time_to_live_ms)
         .groupBy(*CELL_KEY, "version_ts")
-        .agg(F.max(_version(cells)).alias("last"))
-        .select(*CELL_KEY, "last.value", "version_ts")
+        .agg(F.max(_latest(cells)).alias("last"))
+        .select(*CELL_KEY, "last.value", "version_ts", *[f"last.{name}" for name in ("put_id",) if name in cells.columns])
     )
     newest_first = Window.partitionBy(*CELL_KEY).orderBy(F.desc("version_ts"))
     return (

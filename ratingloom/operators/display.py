@@ -9,6 +9,8 @@ from ratingloom.fixed_values import MISSING_NAME
 from ratingloom.functions.numbers import rating_band, star_buckets
 from ratingloom.functions.text import is_numeric_id, words_from_slug
 
+FEW_ROWS = 10_000
+
 
 def movie_map(movie_stats: DataFrame) -> DataFrame:
     """One title per movie; rows without a movie or title are left out."""
@@ -41,6 +43,27 @@ def with_display_name(rows: DataFrame, titles: DataFrame) -> DataFrame:
     )
 
 
+def at_most(rows: DataFrame) -> int | None:
+    """How many rows there can be by the plan, such as after a limit; None if the plan sets no bound."""
+    bound = rows._jdf.queryExecution().optimizedPlan().maxRows()
+    return int(bound.get()) if bound.isDefined() else None
+
+
+def with_few_display_names(rows: DataFrame, movies: DataFrame) -> DataFrame:
+    """J3 for a bounded sample: `with_display_name` with the titles of its movies only, as `movie_map` takes them from `movies`.
+
+    The ids of the sample go to the movies instead of the titles to the sample: movies are filtered where they are read,
+    before any shuffle, so that a large list of them does not cross the network for a few names. Rows whose plan does not
+    say that they are few are joined the usual way.
+    """
+    bound = at_most(rows)
+    if bound is None or bound > FEW_ROWS:
+        return with_display_name(rows, movie_map(movies))
+    ids = rows.select(F.col("movieId").cast("string").alias("_wanted")).where(is_numeric_id(F.col("_wanted"))).distinct()
+    wanted = movies.join(F.broadcast(ids), F.col("movieId").cast("string") == F.col("_wanted"), "left_semi")
+    return with_display_name(rows, F.broadcast(movie_map(wanted)))
+
+
 def with_stars(rows: DataFrame, rating: str = "rating") -> DataFrame:
     """Adds full_stars, half_star, empty_stars."""
     full, half, empty = star_buckets(F.col(rating))

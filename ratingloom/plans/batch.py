@@ -9,11 +9,13 @@ import sys
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ratingloom import schemas
 from ratingloom.fixed_values import MIN_VOTES, TOP_MOVIES
 from ratingloom.operators import ranking, stats
 from ratingloom.session import build_session, remove_folder, shared_folder
 from ratingloom.sinks.csv import write_csv, write_strict_means
 from ratingloom.sources.lines import read_movies, read_ratings, read_strict_ratings
+from ratingloom.sources.stored import read_csv
 
 
 def reports(
@@ -44,12 +46,28 @@ def write_reports(outputs: dict[str, DataFrame], path: str) -> None:
 
 def run(spark: SparkSession, ratings_path: str, movies_path: str, output_path: str) -> None:
     cube_path = shared_folder(spark, "cube")
-    outputs = reports(read_ratings(spark, ratings_path), read_movies(spark, movies_path), cube_path)
-    write_reports(outputs, output_path)
-    # K3: the first rows of the small outputs, untruncated.
-    for name, rows in (("top10", 10), ("genre-stats", 20), ("rating-distribution", 20)):
-        outputs[name].show(rows, truncate=False)
-    remove_folder(spark, cube_path)
+    try:
+        outputs = reports(read_ratings(spark, ratings_path), read_movies(spark, movies_path), cube_path)
+        write_reports(outputs, output_path)
+    finally:
+        remove_folder(spark, cube_path)
+    show(spark, output_path)
+
+
+# K3: how many rows of the small outputs are shown.
+SHOWN = {"top10": 10, "genre-stats": 20, "rating-distribution": 20}
+
+
+def show(spark: SparkSession, output_path: str) -> None:
+    """K3: the first rows of the small outputs, untruncated, in order, as they were written."""
+    kinds = {"top10": schemas.MOVIE_STATS, "genre-stats": schemas.GENRE_STATS, "rating-distribution": schemas.RATING_DISTRIBUTION}
+    orders = {
+        "top10": ranking.by_rating,
+        "genre-stats": ranking.genres_by_rating,
+        "rating-distribution": ranking.by_rating_value,
+    }
+    for name, rows in SHOWN.items():
+        orders[name](read_csv(spark, f"{output_path}/{name}", kinds[name])).show(rows, truncate=False)
 
 
 def run_strict(

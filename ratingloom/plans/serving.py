@@ -7,10 +7,14 @@ from pyspark.sql import DataFrame, SparkSession
 from ratingloom import schemas
 from ratingloom.operators import display, ranking, stats
 from ratingloom.sources.stored import availability, read_csv, read_strict_means
-from ratingloom.streaming.queries import read_snapshot
+from ratingloom.sinks.archive import read_archive
+from ratingloom.sinks.cells import read_cells
+from ratingloom.operators.cells import movie_stats_rows
+from ratingloom.streaming.queries import read_recent, read_source_stats
 
 
-def status(spark: SparkSession, output_path: str) -> DataFrame:
+def status(spark: SparkSession, output_path: str, counted: bool = False) -> DataFrame:
+    """Which outputs there are; the archive is only listed unless its rows are to be counted."""
     return availability(
         spark,
         {
@@ -18,6 +22,7 @@ def status(spark: SparkSession, output_path: str) -> DataFrame:
             "spark_batch": (f"{output_path}/top10", "csv"),
             "streaming": (f"{output_path}/raw-stream", "csv"),
         },
+        counted,
     )
 
 
@@ -37,15 +42,27 @@ def batch_views(spark: SparkSession, output_path: str) -> dict[str, DataFrame]:
     }
 
 
-def live_views(spark: SparkSession, output_path: str, titles: DataFrame, seed: int = 0) -> dict[str, DataFrame]:
+def live_views(spark: SparkSession, output_path: str, movies: DataFrame, seed: int = 0) -> dict[str, DataFrame]:
     """The sample of recent ratings, its means per movie, and the feed with names, stars and bands.
 
-    The recent ratings are those the live job keeps, so a refresh does not read the archive again.
+    The recent ratings are those the live job keeps, so a refresh does not read the archive again. The sample is bounded,
+    so the titles in `movies` (movieId, title) are looked up for its movies only.
     """
-    sample = ranking.shuffled_sample(read_snapshot(spark, f"{output_path}/recent"), seed=seed)
-    feed = display.with_band(display.with_stars(display.with_display_name(ranking.recent_feed(sample), titles)))
+    sample = ranking.shuffled_sample(read_recent(spark, f"{output_path}/recent"), seed=seed)
+    named = display.with_few_display_names(ranking.recent_feed(sample), movies)
+    feed = display.with_band(display.with_stars(named))
     return {
         "sample": sample,
-        "sample_means": display.with_display_name(ranking.sample_means(sample), titles).orderBy("movieId"),
+        "sample_means": display.with_few_display_names(ranking.sample_means(sample), movies).orderBy("movieId"),
         "feed": feed.orderBy("event_ts", ascending=False),
     }
+
+
+def live_tables(spark: SparkSession, output_path: str, now_ms: int | None = None) -> dict[str, DataFrame]:
+    """What the live job keeps, as rows: statistics per movie and source from the cells, per source, recent and archived ratings."""
+    return {
+        "movie_stats": movie_stats_rows(read_cells(spark, f"{output_path}/cells", now_ms), now_ms, with_stddev=True),
+        "source_stats": read_source_stats(spark, f"{output_path}/sources"),
+        "recent": read_recent(spark, f"{output_path}/recent"),
+        "archive": read_archive(spark, f"{output_path}/raw-stream"),
+    }

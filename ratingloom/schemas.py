@@ -16,5 +16,10 @@ MOVIE_STATS = "movieId INT, title STRING, avgRating DOUBLE, totalVotes BIGINT"
 GENRE_STATS = "genre STRING, avgRating DOUBLE, totalRatings BIGINT"
 RATING_DISTRIBUTION = "rating DOUBLE, count BIGINT"
 ARCHIVE = "userId STRING, movieId STRING, rating DOUBLE, source STRING, event_ts BIGINT"
+ARCHIVE_COLUMNS = ("userId", "movieId", "rating", "source", "event_ts")
 
-CELLS = "row_key STRING, family STRING, qualifier STRING, value STRING, version_ts BIGINT, batch_id BIGINT"
+CELLS = (
+    "row_key STRING, family STRING, qualifier STRING, value STRING, version_ts BIGINT, put_id BIGINT, "
+    "level STRING, batch_id BIGINT, day BIGINT, bucket INT"
+)
+CELL_COLUMNS = ("row_key", "family", "qualifier", "value", "version_ts", "put_id")

@@ -22,8 +22,7 @@ CLUSTER_SETTINGS = {
     "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
 }
 
-# Streaming state has one entry per (movie, source) and never expires, so it must not live on the JVM heap. The number
-# of state partitions is that of `spark.sql.shuffle.partitions` when a query first starts, and stays.
+# Streaming state has one entry per (movie, source) and never expires, so it must not live on the JVM heap.
 STREAMING_SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -60,6 +59,32 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
 
 
+def has_data(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file with data at or below `path`; files that begin with `_` or `.` are no data.
+
+    Files are listed until the first one that counts, and none is opened.
+    """
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    file_system = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not file_system.exists(hadoop_path):
+        return False
+    root = len(file_system.getFileStatus(hadoop_path).getPath().toString())
+    files = file_system.listFiles(hadoop_path, True)
+    while files.hasNext():
+        file = files.next()
+        parts = file.getPath().toString()[root:].split("/")
+        if file.getLen() > 0 and not any(part.startswith(("_", ".")) for part in parts):
+            return True
+    return False
+
+
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Size of all files at or below `path`, from the listing; 0 if there is nothing."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    file_system = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return file_system.getContentSummary(hadoop_path).getLength() if file_system.exists(hadoop_path) else 0
+
+
 def folder_names(spark: SparkSession, path: str) -> list[str]:
     """Names of what lies directly in a folder; none if there is no folder."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)

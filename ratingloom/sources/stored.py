@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ratingloom.fixed_values import TEXT_OUTPUT_SEPARATOR
 from ratingloom.functions.text import field
-from ratingloom.session import path_exists
+from ratingloom.session import has_data
 from ratingloom.sinks.csv import CSV_READ_OPTIONS
 
 
@@ -32,14 +32,20 @@ def read_strict_means(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def availability(spark: SparkSession, datasets: dict[str, tuple[str, str]]) -> DataFrame:
-    """Dataset, available, row_count for {dataset: (path, format)}. CSV files are expected to have a header."""
+def availability(spark: SparkSession, datasets: dict[str, tuple[str, str]], counted: bool = True) -> DataFrame:
+    """Dataset, available, row_count for {dataset: (path, format)}. CSV files are expected to have a header.
+
+    Whether there is data is told by the file listing alone, so an output without any row file is not available. Rows are counted
+    only if asked for, and `row_count` is NULL otherwise: for Parquet from the footers, for text by reading it.
+    """
 
     def status(name: str, path: str, file_format: str) -> DataFrame:
-        if not path_exists(spark, path):
-            return spark.range(1).select(
-                F.lit(name).alias("dataset"), F.lit(False).alias("available"), F.lit(0).cast("bigint").alias("row_count")
-            )
+        there = has_data(spark, path)
+        row = spark.range(1).select(F.lit(name).alias("dataset"), F.lit(there).alias("available"))
+        if not counted:
+            return row.withColumn("row_count", F.lit(None).cast("bigint"))
+        if not there:
+            return row.withColumn("row_count", F.lit(0).cast("bigint"))
         reader = spark.read.options(**CSV_READ_OPTIONS) if file_format == "csv" else spark.read
         # One column is enough to count lines and spares the pass that would infer names.
         rows = reader.schema("value STRING").format(file_format).load(path) if file_format != "parquet" else (

@@ -8,8 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratingloom import schemas
-from ratingloom.session import is_directory, make_folder
+from ratingloom.session import is_directory
 from ratingloom.sources.messages import text_of
 
 
@@ -33,23 +32,22 @@ def read_topic(spark: SparkSession, servers: str, topic: str, offsets_per_trigge
     return stream.select(text_of(F.col("value")).alias("raw"))
 
 
-def read_text_stream(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
-    """S4-S6 from a folder of text files, one message per line."""
+def read_text_stream(
+    spark: SparkSession, path: str, files_per_trigger: int | None = None, when_read: str | None = None
+) -> DataFrame:
+    """S4-S6 from a folder of text files, one message per line.
+
+    `when_read` is the source's `cleanSource`: with "delete", files go when a batch after theirs is done. Only one
+    query may then read the folder.
+    """
     reader = spark.readStream
     if files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    if when_read is not None:
+        reader = reader.option("cleanSource", when_read)
     return reader.text(path).select(F.col("value").alias("raw"))
 
 
-def read_log_stream(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
-    """The ratings another query logs at `path`, by `start_log`. Files of a batch that did not finish are not read."""
-    make_folder(spark, path)
-    reader = spark.readStream.schema(schemas.ARCHIVE)
-    if files_per_trigger is not None:
-        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.parquet(path)
-
-
 def read_message_stream(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
     """S4-S6 from a folder of parquet files of keyed messages, as `ratingloom.sinks.messages` writes them."""
     return read_table_stream(spark, path, "key STRING, value STRING", files_per_trigger).select(

@@ -1,6 +1,7 @@
 """Keyed cells."""
 
 import random
+import shutil
 from collections import defaultdict
 
 import pytest
@@ -8,16 +9,21 @@ from conftest import rows_of
 from pyspark.sql import functions as F
 
 from ratingloom.operators import cells
-from ratingloom.sinks.cells import compact_cells, read_cells, write_cells
+from ratingloom.sinks.cells import compact_cells, maintain_cells, read_cells, write_cells
 
 DAY = 86_400_000
 CELLS = "row_key STRING, family STRING, qualifier STRING, value STRING, version_ts BIGINT"
 
 
+def without_put(frame):
+    """Cells as they are compared here; the identity of the put has tests of its own."""
+    return rows_of(frame.drop("put_id"))
+
+
 def test_live_cells(spark):
     rows = [("m1", "a", 4.25, 4), ("null", "a", 1.0, 1), (None, "a", 1.0, 1), ("m2", None, None, 0)]
     frame = spark.createDataFrame(rows, "movieId STRING, source STRING, avgRating DOUBLE, totalVotes BIGINT")
-    assert rows_of(cells.live_stats_cells(frame, 7)) == sorted(
+    assert without_put(cells.live_stats_cells(frame, 7)) == sorted(
         [
             ("m1_a", "ratings", "avgRating", "4.25", 7),
             ("m1_a", "ratings", "totalVotes", "4", 7),
@@ -35,7 +41,7 @@ def test_batch_cells_take_title_and_deviation_where_there(spark):
     names = {(row.family, row.qualifier) for row in cells.batch_stats_cells(frame, 7).collect()}
     assert names == {("ratings", "avgRating"), ("ratings", "totalVotes"), ("info", "source"), ("info", "lastUpdated"), ("info", "title")}
     with_value = cells.batch_stats_cells(frame.withColumn("stddev", F.lit(0.5)).drop("title"), 7)
-    assert ("1_batch", "ratings", "stddev", "0.5", 7) in rows_of(with_value)
+    assert ("1_batch", "ratings", "stddev", "0.5", 7) in without_put(with_value)
 
 
 def test_event_and_alert_keys(spark):
@@ -130,6 +136,84 @@ def test_readers_hide_expired_cells(spark):
 def test_batch_cells_of_the_source_of_each_row(spark):
     rows = [("m", "a", 4.0, 2, 0.5), ("m", None, 3.0, 1, 0.25)]
     frame = spark.createDataFrame(rows, "movieId STRING, source STRING, avgRating DOUBLE, totalVotes BIGINT, stddev DOUBLE")
-    found = rows_of(cells.batch_stats_cells(frame, 7, F.col("source")))
+    found = without_put(cells.batch_stats_cells(frame, 7, F.col("source")))
     assert {("m_a", "ratings", "stddev", "0.5", 7), ("m_null", "ratings", "stddev", "0.25", 7)} <= set(found)
     assert [r for r in found if r[2] == "source"] == [("m_a", "info", "source", "a", 7)]
+
+
+EVENTS = "userId STRING, movieId STRING, rating DOUBLE, source STRING, timestamp BIGINT"
+
+
+def test_a_put_is_read_back_whole(spark, tmp_path):
+    """Events of one movie and time never mix, also where they lack values."""
+    dice = random.Random(3)
+    events = [
+        (f"u{dice.randint(1, 9)}", f"m{dice.randint(1, 5)}", dice.choice([None, 1.0, 4.5]), dice.choice([None, "a", "b"]), dice.randint(1, 3))
+        for _ in range(400)
+    ]
+    path = str(tmp_path / "e")
+    for batch, part in enumerate((events[:150], events[150:], events[:20])):
+        write_cells(cells.rating_event_cells(spark.createDataFrame(part, EVENTS), 5).repartition(7), path, batch)
+    found = cells.rating_event_rows(read_cells(spark, path)).collect()
+    assert len(found) == 15
+    for row in found:
+        assert tuple(row)[1:] in set(events) and row.row_key == f"{row.movieId}_{row.timestamp:013d}"
+    # Cell by cell, a value that the winner lacks comes from another put.
+    assert rows_of(cells.rating_event_rows(read_cells(spark, path))) == rows_of(cells.rating_event_rows(read_cells(spark, path).repartition(3)))
+
+
+def test_the_identity_of_a_put(spark):
+    rows = [("u", "m", 4.5, "s", 12), ("u", "m", 4.5, "s", 12), ("u", "m", 4.5, None, 12), ("u", "m", None, "s", 12), ("v", "m", 4.5, "s", 12)]
+    ids = [
+        {row.put_id for row in cells.rating_event_cells(spark.createDataFrame([row], EVENTS), 7).collect()} for row in rows
+    ]
+    assert all(len(found) == 1 for found in ids)
+    assert ids[0] == ids[1] and len(set().union(*ids)) == 4
+    assert {row.put_id for row in cells.rating_event_cells(spark.createDataFrame(rows[:1], EVENTS), 8).collect()} != ids[0]
+
+
+def test_days_are_merged_and_expire(spark, tmp_path, versions):
+    path = str(tmp_path / "c")
+    frame = spark.createDataFrame(versions, CELLS)
+    now = 28 * DAY
+    for batch in range(4):
+        write_cells(frame.where(F.pmod(F.hash("row_key", "version_ts"), F.lit(4)) == batch), path, batch, split=2)
+        maintain_cells(spark, path, batch - 1, now)
+        if batch == 1:
+            maintain_cells(spark, path, batch - 1, now)  # again
+    expected = kept(versions, now, 5, 7 * DAY)
+    stored = read_cells(spark, path, now)
+    assert rows_of(cells.retained_cells(stored, now).drop("put_id")) == expected
+    maintain_cells(spark, path, 3, now)
+    stored = read_cells(spark, path)
+    assert not list((tmp_path / "c/level=new").iterdir())
+    assert {int(folder.name[4:]) for folder in (tmp_path / "c").rglob("day=*")} == set(range(22, 31))
+    assert rows_of(cells.retained_cells(stored, now).drop("put_id")) == expected
+    # A day that nobody writes to any more goes as a whole.
+    maintain_cells(spark, path, 3, now + 3 * DAY)
+    assert min(int(folder.name[4:]) for folder in (tmp_path / "c").rglob("day=*")) == 24
+
+
+def test_a_merge_that_was_cut_off_changes_nothing(spark, tmp_path, versions):
+    """What was merged may still be there: it counts once."""
+    path, copy = str(tmp_path / "c"), str(tmp_path / "before")
+    frame = spark.createDataFrame(versions, CELLS)
+    now = 28 * DAY
+    write_cells(frame.where("hash(row_key) % 2 = 0"), path, 0)
+    write_cells(frame.where("hash(row_key) % 2 <> 0"), path, 1)
+    shutil.copytree(tmp_path / "c/level=new", copy)
+    maintain_cells(spark, path, 1, now)
+    expected = rows_of(cells.retained_cells(read_cells(spark, path), now).drop("put_id"))
+    shutil.copytree(copy, tmp_path / "c/level=new", dirs_exist_ok=True)
+    assert expected == kept(versions, now, 5, 7 * DAY)
+    assert rows_of(cells.retained_cells(read_cells(spark, path), now).drop("put_id")) == expected
+    maintain_cells(spark, path, 1, now)
+    assert rows_of(cells.retained_cells(read_cells(spark, path), now).drop("put_id")) == expected
+    assert not list((tmp_path / "c/level=new").iterdir())
+
+
+def test_tables_without_cells(spark, tmp_path):
+    empty = spark.createDataFrame([], EVENTS)
+    write_cells(cells.rating_event_cells(empty, 5), str(tmp_path / "e"), 0)
+    maintain_cells(spark, str(tmp_path / "e"), 0, 5)
+    maintain_cells(spark, str(tmp_path / "none"), 0, 5)

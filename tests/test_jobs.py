@@ -3,7 +3,7 @@
 import math
 
 import pytest
-from conftest import SF_DIR, rows_of
+from conftest import SF_DIR, plan_of, rows_of
 from pyspark.sql import functions as F
 
 from ratingloom import schemas, session
@@ -76,7 +76,7 @@ def test_csv_keeps_every_text(spark, tmp_path):
 
 
 def test_availability(spark, output, tmp_path):
-    rows = {row.dataset: row for row in serving.status(spark, output).collect()}
+    rows = {row.dataset: row for row in serving.status(spark, output, counted=True).collect()}
     assert rows["mapreduce"].available and rows["mapreduce"].row_count > 0
     assert rows["spark_batch"].available and rows["spark_batch"].row_count == 0
     assert not rows["streaming"].available and rows["streaming"].row_count == 0
@@ -85,6 +85,41 @@ def test_availability(spark, output, tmp_path):
     assert found.available and found.row_count == views.ratings(spark, SF_DIR).count()
 
 
+def test_what_is_there_is_told_by_the_listing(spark, output, tmp_path):
+    """No file is opened unless rows are to be counted."""
+    listed = serving.status(spark, output)
+    assert "Scan" not in plan_of(listed).replace("LocalTableScan", "")
+    assert {(row.dataset, row.available, row.row_count) for row in listed.collect()} == {
+        ("mapreduce", True, None), ("spark_batch", True, None), ("streaming", False, None),
+    }
+    for name, there in [("_SUCCESS", False), (".part-0.crc", False), ("_temporary/part-0", False), ("hour=3/part-0", True)]:
+        file = tmp_path / "d" / name
+        file.parent.mkdir(parents=True, exist_ok=True)
+        file.write_text("x")
+        assert availability(spark, {"d": (str(tmp_path / "d"), "text")}, counted=False).first().available is there
+    (tmp_path / "e").mkdir()
+    (tmp_path / "e/part-0").write_text("")
+    assert not availability(spark, {"e": (str(tmp_path / "e"), "text")}, counted=False).first().available
+
+
+def test_the_cube_goes_also_when_the_job_fails(spark, inputs, tmp_path, monkeypatch):
+    def fails(*_):
+        raise RuntimeError("no room")
+
+    monkeypatch.setattr(batch, "write_reports", fails)
+    folder = tmp_path / "shared"
+    monkeypatch.setattr(batch, "shared_folder", lambda spark, label: str(folder / label))
+    with pytest.raises(RuntimeError):
+        batch.run(spark, f"{inputs}/ratings", f"{inputs}/movies", str(tmp_path / "out"))
+    assert not (folder / "cube").exists()
+
+
+def test_small_outputs_are_shown_as_written(spark, output, capfd):
+    batch.show(spark, output)
+    shown = capfd.readouterr().out
+    assert shown.count("avgRating") == 2 and "|rating|count|" in shown.replace(" ", "")
+
+
 def test_live_views(spark, inputs, output, tmp_path):
     path = str(tmp_path / "live")
     unified = normalise.from_mixed(read_text_stream(spark, f"{inputs}/ratings"))

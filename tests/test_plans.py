@@ -65,6 +65,75 @@ def test_scans_read_only_what_they_need(spark):
     assert "ReadSchema: struct<l_partkey:bigint,l_quantity:double>" in plan
 
 
+def test_titles_of_a_sample_are_filtered_where_they_are_read(spark):
+    """With broadcasts off, what crosses the network is what is left of the titles."""
+    movies = views.movies(spark, SF_DIR)
+    sample = CHECKS["recent_sample"].run(spark, SF_DIR)
+    unbounded = CHECKS["recent_per_movie"].run(spark, SF_DIR)
+    assert display.at_most(sample) == 120 and display.at_most(unbounded) is None
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(display.with_few_display_names(sample, movies))
+        assert "SortMergeJoin" not in plan
+        # From the scan of the titles up to the first exchange there is the semi join with the ids.
+        lines = plan.splitlines()
+        scan = next(k for k, line in enumerate(lines) if "p_name" in line and "FileScan" in line)
+        depth = [len(re.match(r"[ :|+-]*", line).group()) for line in lines]
+        above, level = [], depth[scan]
+        for k in range(scan, -1, -1):
+            if depth[k] < level:
+                above.append(lines[k])
+                level = depth[k]
+        first_exchange = next(k for k, line in enumerate(above) if "Exchange" in line)
+        assert any("LeftSemi" in line for line in above[:first_exchange]), plan
+        assert "SortMergeJoin" in plan_of(display.with_few_display_names(unbounded, movies))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sorted(map(repr, display.with_few_display_names(sample, movies).collect())) == sorted(
+        map(repr, display.with_display_name(sample, display.movie_map(movies)).collect())
+    )
+
+
+def files_read(frame):
+    """How many files the scans of a query that has run did read."""
+    frame.collect()
+    plan = frame._jdf.queryExecution().executedPlan()
+    plan = plan.executedPlan() if "Adaptive" in plan.getClass().getSimpleName() else plan
+    found, waiting = 0, [plan]
+    while waiting:
+        node = waiting.pop()
+        if "QueryStage" in node.getClass().getSimpleName():
+            waiting.append(node.plan())
+            continue
+        if node.metrics().contains("numFiles"):
+            found += node.metrics().apply("numFiles").value()
+        children = node.children().iterator()
+        while children.hasNext():
+            waiting.append(children.next())
+    return found
+
+
+def test_a_lookup_opens_a_bounded_number_of_files(spark, tmp_path):
+    """One file a day once days are merged, and one a batch before, of all the files of all keys."""
+    from ratingloom.sinks.cells import maintain_cells, read_cells, write_cells
+
+    path, day = str(tmp_path / "c"), cells.DAY_MS
+    for batch in range(12):
+        rows = spark.range(200).selectExpr("CAST(id AS STRING) AS movieId", "'s' AS source", f"{batch}.0D AS avgRating", f"{batch}L AS totalVotes")
+        write_cells(cells.live_stats_cells(rows, 20 * day + batch * day // 4), path, batch, split=1)
+    now = 20 * day + 11 * day // 4
+    lookup = lambda: cells.lookup_stats(read_cells(spark, path), "42_s", now)
+    assert [tuple(row) for row in lookup().collect()] == [("42_s", "s", 11.0, 11)]
+    assert files_read(lookup()) == 12 and len(list((tmp_path / "c").rglob("*.parquet"))) == 12 * cells.CELL_BUCKETS
+    maintain_cells(spark, path, 9, now)
+    assert files_read(lookup()) == 2 + 2  # the five versions to keep are of two days
+    maintain_cells(spark, path, 11, now)
+    assert files_read(lookup()) == 2 and len(list((tmp_path / "c").rglob("*.parquet"))) == 2 * cells.CELL_BUCKETS
+    assert [tuple(row) for row in lookup().collect()] == [("42_s", "s", 11.0, 11)]
+    # A reader with a time to live skips the days before it.
+    assert files_read(cells.lookup_stats(read_cells(spark, path), "42_s", 22 * day + cells.CELL_TIME_TO_LIVE_MS)) == 1
+
+
 def test_lookup_filters_in_the_scan(spark, tmp_path):
     from ratingloom.sinks.cells import read_cells, write_cells
 
@@ -135,4 +204,5 @@ def test_nothing_is_brought_to_the_driver(path):
     for word in (".collect(", "toPandas", "toLocalIterator", "localCheckpoint", ".rdd", "crossJoin", "collect_list",
                  "collect_set", "pandas_udf", "F.udf", ".cache("):
         assert word not in text, word
-    assert "F.broadcast(" not in text
+    # Names of a sample: both sides have at most FEW_ROWS rows, by the plan.
+    assert text.count("F.broadcast(") == (2 if path.name == "display.py" else 0)

@@ -12,13 +12,14 @@ from pyspark.sql import functions as F
 from ratingloom import schemas
 from ratingloom.fixed_values import JSON_SOURCE, LINE_SOURCE
 from ratingloom.operators import cells, display, ranking, stats
-from ratingloom.plans import batch
+from ratingloom.operators.partials import SKETCH_ERROR
+from ratingloom.plans import batch, live, serving
 from ratingloom.session import shared_folder
-from ratingloom.sinks.cells import compact_cells, read_cells, write_cells
+from ratingloom.sinks.cells import compact_cells, maintain_cells, read_cells, write_cells
 from ratingloom.sinks.csv import write_csv, write_strict_means
 from ratingloom.sinks.messages import json_messages, line_messages, publish
 from ratingloom.sources import lines, pages, stored
-from ratingloom.streaming import normalise, queries
+from ratingloom.streaming import normalise, queries, state
 from verification import views
 from verification.views import NOW_MS, exact_mean, round2, sql_json_rows, with_views
 
@@ -324,13 +325,82 @@ def live_movie_stats_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cells.movie_stats_rows(read_cells(spark, f"{folder}/cells"))
 
 
-@check()
+@check(
+    f"""SELECT source, count(rating) AS totalRatings, {exact_mean('rating')} AS avgRating,
+    count(DISTINCT movieId) AS exactMovies, TRUE AS close FROM unified_view GROUP BY source""",
+    "unified",
+)
 def live_source_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Approximate distinct movies of a stream"""
+    """Sketches of the movies per source, stored by batch and merged; `close` is an estimate within three standard errors"""
     folder = shared_folder(spark, "live-sources")
-    running = stats.source_stats(_unified_stream(spark, sf_dir), exact_scale=2)
-    queries.start_snapshot(running, f"{folder}/result", f"{folder}/checkpoint", trigger=None).awaitTermination()
-    return queries.read_snapshot(spark, f"{folder}/result")
+    queries.start_fan_out(
+        _unified_stream(spark, sf_dir), [queries.source_sink(folder)], f"{folder}/checkpoint", "sources", None
+    ).awaitTermination()
+    exact = stats.source_stats_exact(_unified_batch(spark, sf_dir), exact_scale=2)
+    found = queries.read_source_stats(spark, folder).join(exact.select("source", F.col("uniqueMovies").alias("exactMovies")), "source")
+    error = F.abs(F.col("uniqueMovies") - F.col("exactMovies"))
+    close = error <= F.greatest(F.lit(1.0), 3 * SKETCH_ERROR * F.col("exactMovies"))
+    return found.select("source", "totalRatings", "avgRating", "exactMovies", close.alias("close"))
+
+
+@check(
+    f"""SELECT concat(movieId, '_', source) AS row_key, source, {exact_mean('rating')} AS avgRating,
+    count(rating) AS totalVotes, round(stddev_samp(rating), 6) AS stddev FROM unified_view GROUP BY movieId, source""",
+    "unified",
+)
+def live_stats_with_stddev(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics with deviation and source from streaming state, written as cells and read back"""
+    folder = shared_folder(spark, "live-stddev")
+    queries.start_fan_out(
+        queries.running_statistics(_unified_stream(spark, sf_dir)), [queries.cell_sink(f"{folder}/cells")],
+        f"{folder}/checkpoint", "statistics", None, mode="complete",
+    ).awaitTermination()
+    rows = cells.movie_stats_rows(read_cells(spark, f"{folder}/cells"), with_stddev=True)
+    return rows.withColumn("stddev", F.round("stddev", 6))
+
+
+@check(
+    "SELECT 'stateStoreSave' AS operator, 6 AS partitions, count(*) AS entries FROM (SELECT DISTINCT movieId, source FROM unified_view)",
+    "unified",
+)
+def live_state_size(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The state of the running statistics, in as many partitions as asked for, read back from the checkpoint"""
+    folder = shared_folder(spark, "live-state")
+    queries.start_snapshot(
+        stats.live_movie_stats(_unified_stream(spark, sf_dir)), f"{folder}/result", f"{folder}/checkpoint", None, partitions=6
+    ).awaitTermination()
+    return state.state_summary(spark, f"{folder}/checkpoint").drop("largest")
+
+
+@check(
+    f"""SELECT 'movie_stats' AS output, concat(movieId, '_', source) AS key, source, {exact_mean('rating')} AS mean,
+    count(rating) AS number, round(stddev_samp(rating), 6) AS stddev FROM unified_view GROUP BY movieId, source
+    UNION ALL SELECT 'source_stats', source, source, {exact_mean('rating')}, count(rating), NULL FROM unified_view GROUP BY source
+    UNION ALL SELECT 'archive', movieId, source, rating, event_ts, NULL FROM unified_view
+    UNION ALL SELECT 'recent', movieId, source, rating, event_ts, NULL FROM (SELECT *, row_number() OVER (PARTITION BY movieId
+    ORDER BY event_ts DESC NULLS LAST, userId, rating, source) AS rank FROM unified_view) WHERE rank <= 15""",
+    "unified",
+)
+def live_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole streaming job over what is there, and everything it wrote"""
+    folder = shared_folder(spark, "live-job")
+    settings = live.Settings(state_partitions=8)
+    for query in live.start(_unified_stream(spark, sf_dir), folder, settings, once=True):
+        query.awaitTermination()
+    kept = serving.live_tables(spark, folder)
+    rated = {name: kept[name].selectExpr(f"'{name}' AS output", "movieId AS key", "source", "rating AS mean", "event_ts AS number", "CAST(NULL AS DOUBLE) AS stddev") for name in ("archive", "recent")}
+    return reduce(
+        DataFrame.unionByName,
+        [
+            *rated.values(),
+            kept["movie_stats"].selectExpr(
+                "'movie_stats' AS output", "row_key AS key", "source", "avgRating AS mean", "totalVotes AS number", "round(stddev, 6) AS stddev"
+            ),
+            kept["source_stats"].selectExpr(
+                "'source_stats' AS output", "source AS key", "source", "avgRating AS mean", "totalRatings AS number", "CAST(NULL AS DOUBLE) AS stddev"
+            ),
+        ],
+    )
 
 
 @check(
@@ -396,7 +466,7 @@ def _cells_sql(view: str, key: str, values: dict[tuple[str, str], str], where: s
 )
 def cells_movie_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K8, C11, C12, F14, F15"""
-    return cells.batch_stats_cells(_movie_stats(spark, sf_dir), NOW_MS)
+    return cells.batch_stats_cells(_movie_stats(spark, sf_dir), NOW_MS).drop("put_id")
 
 
 @check(
@@ -412,7 +482,7 @@ def cells_movie_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     "genre_stats",
 )
 def cells_genre_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cells.genre_stats_cells(_genre_stats(spark, sf_dir), NOW_MS)
+    return cells.genre_stats_cells(_genre_stats(spark, sf_dir), NOW_MS).drop("put_id")
 
 
 @check(
@@ -433,7 +503,33 @@ def cells_genre_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 def cells_rating_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K10, C5"""
     parsed = lines.lenient_ratings(views.rating_lines(spark, sf_dir))
-    return cells.rating_event_cells(parsed.withColumn("source", F.lit("lines")), NOW_MS)
+    return cells.rating_event_cells(parsed.withColumn("source", F.lit("lines")), NOW_MS).drop("put_id")
+
+
+# Times of a month are one, so that many events share movie and time, and with them the key.
+_MONTH_SQL = "timestamp - timestamp % 2592000"
+
+
+@check(
+    f"""SELECT concat(movieId, '_', lpad(CAST({_MONTH_SQL} AS VARCHAR), 13, '0')) AS row_key, count(*) AS events, TRUE AS written
+    FROM ratings_view GROUP BY ALL""",
+    "ratings",
+)
+def cells_whole_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of the same key stored as cells in two batches and read back; each row is one of the events put"""
+    path = shared_folder(spark, "events")
+    events = views.ratings(spark, sf_dir).selectExpr(
+        "CAST(userId AS STRING) AS userId", "CAST(movieId AS STRING) AS movieId", "rating",
+        "CASE WHEN userId % 3 = 0 THEN 'a' WHEN userId % 3 = 1 THEN 'b' END AS source", f"{_MONTH_SQL} AS timestamp",
+    )
+    for batch, part in enumerate((events.where("userId % 2 = 0"), events.where("userId % 2 = 1"))):
+        write_cells(cells.rating_event_cells(part, NOW_MS), path, batch)
+    rows = cells.rating_event_rows(read_cells(spark, path, NOW_MS), NOW_MS)
+    put = events.groupBy("movieId", "timestamp").agg(F.count("*").alias("events"), F.collect_set(F.struct("userId", "rating", "source")).alias("all"))
+    key = F.concat("movieId", F.lit("_"), F.format_string("%013d", "timestamp"))
+    return put.withColumn("row_key", key).join(rows.select("row_key", F.struct("userId", "rating", "source").alias("one")), "row_key", "left").select(
+        "row_key", "events", F.exists("all", lambda event: event.eqNullSafe(F.col("one"))).alias("written")
+    )
 
 
 # Ten "milliseconds" per second of the ratings: their seven years become a month, of which a week is kept.
@@ -461,9 +557,28 @@ def _versioned_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 def cell_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Written, compacted, read back"""
     folder = shared_folder(spark, "retention")
-    write_cells(_versioned_cells(spark, sf_dir), f"{folder}/cells", 0)
-    compact_cells(spark, f"{folder}/cells", f"{folder}/compacted", RETENTION_NOW_MS)
-    return read_cells(spark, f"{folder}/compacted").drop("batch_id")
+    write_cells(_versioned_cells(spark, sf_dir), f"{folder}/cells", 0, 1, buckets=2)
+    compact_cells(spark, f"{folder}/cells", f"{folder}/compacted", RETENTION_NOW_MS, buckets=2)
+    return read_cells(spark, f"{folder}/compacted").select("row_key", "family", "qualifier", "value", "version_ts")
+
+
+@check(
+    f"""SELECT CAST(movieId AS VARCHAR) AS row_key, max(timestamp * 10) AS version_ts,
+    max_by(CAST(rating AS VARCHAR), concat(lpad(CAST(timestamp * 10 AS VARCHAR), 20, '0'), CAST(rating AS VARCHAR))) AS value
+    FROM ratings_view WHERE timestamp * 10 > {RETENTION_NOW_MS - 7 * 86_400_000} GROUP BY movieId""",
+    "ratings",
+)
+def cells_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches of cells merged into their days, expired days dropped; the latest versions are what they were"""
+    path = shared_folder(spark, "days")
+    versioned = _versioned_cells(spark, sf_dir)
+    for batch in range(3):
+        write_cells(versioned.where(F.pmod(F.xxhash64("row_key", "version_ts"), F.lit(3)) == batch), path, batch, 1, 2)
+        if batch > 0:
+            maintain_cells(spark, path, batch - 1, RETENTION_NOW_MS, buckets=2)
+    maintain_cells(spark, path, 2, RETENTION_NOW_MS, buckets=2)
+    kept = cells.unexpired(read_cells(spark, path, RETENTION_NOW_MS), RETENTION_NOW_MS)
+    return cells.latest_cells(kept).select("row_key", "version_ts", "value")
 
 
 @check(
@@ -526,7 +641,7 @@ def rating_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def cells_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K11"""
-    return cells.alert_cells(rating_alerts(spark, sf_dir), NOW_MS)
+    return cells.alert_cells(rating_alerts(spark, sf_dir), NOW_MS).drop("put_id")
 
 
 # ---- pages ----------------------------------------------------------------------------------------------------------
@@ -580,7 +695,7 @@ def live_recent_per_movie(spark: SparkSession, sf_dir: str) -> DataFrame:
     queries.start_recent(
         _unified_stream(spark, sf_dir), f"{folder}/result", f"{folder}/checkpoint", trigger=None
     ).awaitTermination()
-    return queries.read_snapshot(spark, f"{folder}/result")
+    return queries.read_recent(spark, f"{folder}/result")
 
 
 def _sample(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -627,6 +742,18 @@ def display_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return display.with_display_name(rows, display.movie_map(views.movies(spark, sf_dir)))
 
 
+@check(
+    """SELECT userId, s.movieId, event_ts, coalesce(m.title, concat('#', s.movieId)) AS displayName
+    FROM sample_view s LEFT JOIN movies_view m ON s.movieId = CAST(m.movieId AS VARCHAR)""",
+    "sample",
+    "movies",
+)
+def sample_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J3 for a bounded sample: only the titles of its movies are looked up"""
+    named = display.with_few_display_names(_sample(spark, sf_dir), views.movies(spark, sf_dir))
+    return named.select("userId", "movieId", "event_ts", "displayName")
+
+
 @check(
     """SELECT movieId, avgRating, CAST(floor(avgRating) AS INTEGER) AS full_stars,
     CASE WHEN avgRating < 5 AND avgRating - floor(avgRating) >= 0.5 THEN 1 ELSE 0 END AS half_star,
