@@ -1,17 +1,17 @@
 """Collocations: frequent phrases scored by their weakest cut, mined by top-order marginalisation.
 
 A text has pieces (between the marks of `ENDS` and line breaks) and these have words. Lead columns put next to every word the
-words that follow it in its piece, padded at the end of the piece. Only these longest windows are counted; the counts of all
-shorter phrases are sums over them, as every occurrence of a phrase begins one window, and a ROLLUP takes those sums.
+words that follow it in its piece, padded at the end of the piece. Only these longest windows, of five words, are counted;
+every occurrence of a shorter phrase begins one window, so ROLLUP over the counted windows sums the phrases of five, four,
+three, two words and one.
 
-1. Windows of two words are counted. Their ROLLUP gives the words of a language, of each word, and of each pair.
-2. No phrase is more frequent than a pair in it, so a window of five words ends before a pair that is too rare; a window of
-   one word is known already and left out. Which pairs are frequent is told by a table of bits, whose size is bounded;
-   a rare pair may pass it, as its sums are looked at all the same. Hence nothing frequent is missed.
-3. ROLLUP over the counted windows sums the phrases of five, four, three and two words.
+No phrase is more frequent than a phrase in it. A window therefore ends before a word, a pair or a triple that is too rare, and none
+begins at a rare word. Which are too rare is found beforehand from sums over short hashes, a few bytes each, and kept in
+tables of bits of bounded size. Hashes may meet, and then something rare passes; nothing frequent is ever missed,
+and what passes is judged by its exact sums from the windows.
 
-Windows are counted in bounded tables inside the tasks before they are shuffled, so a phrase that holds a third of the
-corpus is a few rows. Joins are between frequent phrases only.
+Windows and hashes are counted in bounded tables inside the tasks before they are shuffled, so a phrase that holds a third of
+the corpus is a few rows. Joins are between frequent phrases only.
 
 Defined cases: a null or empty text has no words; a null language is `und`; only A-Z are lower-cased; equal rows count each; an
 empty table gives an empty result. Only the named columns are read, whatever else there is.
@@ -19,6 +19,7 @@ empty table gives an empty result. Only the named columns are read, whatever els
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,21 +40,24 @@ BLANKS = b" \t"
 
 CHUNK_BYTES = 4 << 20
 KEPT_WORDS = 400_000
-KEPT_WINDOWS = 1_000_000
+KEPT_WINDOWS = 600_000
+KEPT_HASHES = 1_500_000
 MOST_LANGUAGES = 10_000
+HASH_BITS = 40
 MOST_BITS = 1 << 27
-BITS_A_PAIR = 32
+BITS_EACH = 32
 BITMAP_BITS = 32_768  # of one row of Spark's bitmap aggregate
+FILTERED = 3  # rare phrases of up to so many words are found beforehand
 
 TABLE = bytes(10 if byte in ENDS else 32 if byte in BLANKS else byte + 32 if 65 <= byte <= 90 else byte for byte in range(256))
 END, LEFT_OUT = 0, -1
 
 
-def pair_bits(first: np.ndarray, second: np.ndarray, bits: int) -> np.ndarray:
-    """The bit of a pair, from the hashes of its words; `bits` is a power of two."""
-    mixed = (first * np.uint64(0x9E3779B97F4A7C15)) ^ (second + np.uint64(0x632BE59BD9B4E019))
-    mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    return (mixed ^ (mixed >> np.uint64(32))) & np.uint64(bits - 1)
+def mixed(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """Hashes of phrases, from those of all but their last words and those of the last words."""
+    both = (first * np.uint64(0x9E3779B97F4A7C15)) ^ (second + np.uint64(0x632BE59BD9B4E019))
+    both = (both ^ (both >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return both ^ (both >> np.uint64(32))
 
 
 def word_hash(lang: str, word: bytes) -> int:
@@ -62,19 +66,22 @@ def word_hash(lang: str, word: bytes) -> int:
     return xxh64_intdigest(word, xxh64_intdigest(lang.encode()))
 
 
-class Windows:
-    """Counts of the windows of one language in one task."""
+class Counts:
+    """What one task has counted of one language: hashes of phrases of `order` words, or windows for an `order` of None.
 
-    def __init__(self, lang: str, length: int, pairs: np.ndarray | None):
-        self.lang, self.length, self.pairs = lang, length, pairs
+    `tables` hold the bits of what may be frequent, of one word, two words and so on.
+    """
+
+    def __init__(self, lang: str, order: int | None, longest: int, tables: list[np.ndarray]):
+        self.lang, self.order, self.longest, self.tables = lang, order, longest, tables
         self.clear()
 
     def clear(self) -> None:
         self.number = {b"\n": END, b"": LEFT_OUT}
         self.words: list[bytes] = [b""]
-        self.hashes: list[int] = [0]
+        self.hashes = array("Q", [0])
         self.counted: list[tuple[np.ndarray, np.ndarray]] = []
-        self.size = 0
+        self.size = self.total = 0
 
     def numbers(self, words: list[bytes]) -> np.ndarray:
         number = self.number
@@ -84,57 +91,91 @@ class Windows:
             for word in set(words).difference(number):
                 number[word] = len(self.words)
                 self.words.append(word)
-                if self.pairs is not None:
-                    self.hashes.append(word_hash(self.lang, word))
+                self.hashes.append(word_hash(self.lang, word))
             found = list(map(number.__getitem__, words))
         numbers = np.array(found, np.int32)
         return numbers[numbers != LEFT_OUT]
 
+    def told(self, order: int, hashes: np.ndarray) -> np.ndarray:
+        table = self.tables[order - 1]
+        at = (hashes & np.uint64(len(table) * 8 - 1)).astype(np.int64)
+        return (table[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+
     def add(self, data: bytes) -> None:
-        """Count the windows of whole pieces, lower-cased, with line feeds between them and single kinds of blanks."""
-        padding = np.zeros(self.length, np.int32)
-        numbers = np.concatenate([self.numbers(data.replace(b"\n", b" \n ").split(b" ")), padding])
-        lead = [numbers[k : len(numbers) - self.length + k] for k in range(self.length)]
-        if self.pairs is None:
-            begins = np.flatnonzero(lead[0])
-            goes_on = [lead[k][begins] != END for k in range(1, self.length)]
-        else:
-            hashes = np.array(self.hashes, np.uint64)
-            bit = pair_bits(hashes[numbers[:-1]], hashes[numbers[1:]], len(self.pairs) * 8).astype(np.int64)
-            frequent = (self.pairs[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1
-            frequent = (frequent == 1) & (numbers[:-1] != END) & (numbers[1:] != END)
-            begins = np.flatnonzero(frequent[: len(numbers) - self.length])
-            goes_on = [frequent[begins + k] for k in range(self.length - 1)]
-        columns, inside = [lead[0][begins]], np.ones(len(begins), bool)
-        for k in range(1, self.length):
-            inside &= goes_on[k - 1]
-            columns.append(np.where(inside, lead[k][begins], END))
-        self.counted.append(summed(np.stack(columns, 1), np.ones(len(begins), np.int64)))
-        self.size += len(self.counted[-1][1])
-        if self.size > KEPT_WINDOWS and len(self.counted) > 1:
+        """Count whole pieces, lower-cased, with line feeds between them and single kinds of blanks."""
+        numbers = np.concatenate([self.numbers(data.replace(b"\n", b" \n ").split(b" ")), np.zeros(self.longest, np.int32)])
+        size = len(numbers) - self.longest
+        self.total += int(np.count_nonzero(numbers))
+        of_word = np.array(self.hashes, np.uint64)
+        hashes, inside = of_word[numbers], numbers != END
+        frequent = []
+        for order in range(1, (self.order or FILTERED + 1)):
+            if order > 1:
+                hashes = mixed(hashes[:-1], of_word[numbers[order - 1 :]])
+                inside = frequent[-1][:-1] & frequent[-1][1:]
+            found = inside.copy()
+            found[inside] = self.told(order, hashes[inside])
+            frequent.append(found)
+        if self.order is None:
+            self.add_windows(numbers, size, frequent)
+            return
+        if self.order > 1:
+            hashes = mixed(hashes[:-1], of_word[numbers[self.order - 1 :]])
+            inside = frequent[-1][:-1] & frequent[-1][1:]
+        keys = hashes[inside] & np.uint64((1 << HASH_BITS) - 1)
+        self.keep(*np.unique(keys.astype(np.int64), return_counts=True))
+
+    def add_windows(self, numbers: np.ndarray, size: int, frequent: list[np.ndarray]) -> None:
+        begins = np.flatnonzero(frequent[0][:size])
+        columns, inside = [numbers[begins]], np.ones(len(begins), bool)
+        for k in range(1, self.longest):
+            # The last words of the window that a table knows of, up to the one that is now put in.
+            known = min(k, len(frequent) - 1)
+            inside &= frequent[known][begins + k - known]
+            columns.append(np.where(inside, numbers[begins + k], END))
+        self.keep(*summed(np.stack(columns, 1), np.ones(len(begins), np.int64)))
+
+    def keep(self, found: np.ndarray, counts: np.ndarray) -> None:
+        self.counted.append((found, counts))
+        self.size += len(counts)
+        if self.size > self.most() and len(self.counted) > 1:
             self.together()
 
+    def most(self) -> int:
+        return KEPT_WINDOWS if self.order is None else KEPT_HASHES
+
     def together(self) -> None:
-        windows, counts = zip(*self.counted, strict=True)
-        self.counted = [summed(np.concatenate(windows), np.concatenate(counts))]
-        self.size = len(self.counted[0][1])
+        found, counts = (np.concatenate(parts) for parts in zip(*self.counted, strict=True))
+        if self.order is None:
+            found, counts = summed(found, counts)
+        else:
+            found, at = np.unique(found, return_inverse=True)
+            counts = np.bincount(at, counts, len(found)).astype(np.int64)
+        self.counted, self.size = [(found, counts)], len(counts)
 
     def full(self) -> bool:
-        return self.size > KEPT_WINDOWS or len(self.words) > KEPT_WORDS
+        return self.size > self.most() or len(self.words) > KEPT_WORDS
 
     def batches(self, names: list[str]) -> Iterator[pa.RecordBatch]:
         """What was counted, which is then forgotten."""
         if self.size:
             self.together()
-            windows, counts = self.counted[0]
-            words = pa.array([None, *(word.decode() for word in self.words[1:])], pa.string())
+            found, counts = self.counted[0]
             for at in range(0, len(counts), 100_000):
-                some = windows[at : at + 100_000]
-                columns = [words.take(pa.array(some[:, k])) for k in range(self.length)]
-                lang = pa.array([self.lang], pa.string()).take(pa.array(np.zeros(len(some), np.int32)))
-                yield pa.RecordBatch.from_arrays([lang, *columns, pa.array(counts[at : at + 100_000])], names=names)
+                some, n = found[at : at + 100_000], pa.array(counts[at : at + 100_000])
+                if self.order is None:
+                    yield pa.RecordBatch.from_arrays([*self.spelled(some), n], names=names)
+                else:
+                    yield pa.RecordBatch.from_arrays([pa.nulls(len(some), pa.string()), pa.array(some), n], names=names)
+        if self.order == 1 and self.total:
+            yield pa.RecordBatch.from_arrays([pa.array([self.lang]), pa.nulls(1, pa.int64()), pa.array([self.total])], names=names)
         self.clear()
 
+    def spelled(self, windows: np.ndarray) -> list[pa.Array]:
+        words = pa.array([None, *(word.decode() for word in self.words[1:])], pa.string())
+        lang = pa.array([self.lang]).take(pa.array(np.zeros(len(windows), np.int32)))
+        return [lang, *(words.take(pa.array(windows[:, k])) for k in range(self.longest))]
+
 
 def summed(windows: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Different windows, and the sums of their counts."""
@@ -158,73 +199,62 @@ def chunks(data: bytes) -> Iterator[bytes]:
     yield data[start:]
 
 
-def windows(documents: DataFrame, length: int, pairs=None) -> DataFrame:
-    """lang, w1 to w`length` and `n`: windows with the times they were seen, each in one row or a few.
+def counted(documents: DataFrame, order: int | None, longest: int, tables: list) -> DataFrame:
+    """Counts of all texts; each in one row or a few, as tasks count by themselves.
 
-    With `pairs`, a broadcast table of bits, windows end before a pair that is not in it, and have two words at least.
+    With an `order`, hash and n of the phrases of so many words in which no shorter one is rare by the broadcast `tables`; and for an
+    order of one, rows with lang and n of all its words. Without, lang, w1 to w`longest` and n of the windows.
     """
-    fields = "lang string, " + ", ".join(f"w{k} string" for k in range(1, length + 1)) + ", n long"
-    names = ["lang", *(f"w{k}" for k in range(1, length + 1)), "n"]
+    names = ["lang", *(f"w{k}" for k in range(1, longest + 1)), "n"] if order is None else ["lang", "hash", "n"]
+    kinds = {"n": "long", "hash": "long"}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = None if pairs is None else np.frombuffer(pairs.value, np.uint8)
-        counts: dict[str, Windows] = {}
+        bits = [np.frombuffer(table.value, np.uint8) for table in tables]
+        counts: dict[str, Counts] = {}
         gathered: dict[str, list[bytes]] = {}
 
-        def counted(lang: str) -> Iterator[pa.RecordBatch]:
+        def count(lang: str) -> Iterator[pa.RecordBatch]:
             of_lang = counts.get(lang)
             if of_lang is None:
-                of_lang = counts[lang] = Windows(lang, length, bits)
+                of_lang = counts[lang] = Counts(lang, order, longest, bits)
             for chunk in chunks(b"\n".join(gathered.pop(lang))):
                 of_lang.add(chunk)
                 if of_lang.full():
                     yield from of_lang.batches(names)
-            # All languages together stay within the bound of one.
-            if sum(one.size for one in counts.values()) > KEPT_WINDOWS or sum(len(one.words) for one in counts.values()) > KEPT_WORDS:
+            # All languages together stay within the bounds of one.
+            if sum(one.size for one in counts.values()) > of_lang.most() or sum(len(one.words) for one in counts.values()) > KEPT_WORDS:
                 for one in counts.values():
                     yield from one.batches(names)
+                counts.clear()
 
         waiting = 0
         for batch in batches:
-            for lang, text in zip(batch.column("lang"), batch.column("text"), strict=True):
-                data = (text.as_py() or "").encode().translate(TABLE)
-                lang = lang.as_py()
+            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text"), strict=True):
+                data = text.as_py().encode().translate(TABLE)
                 gathered.setdefault(lang, []).append(data)
                 waiting += len(data)
                 if waiting >= CHUNK_BYTES:
                     for one in list(gathered):
-                        yield from counted(one)
+                        yield from count(one)
                     waiting = 0
         for one in list(gathered):
-            yield from counted(one)
+            yield from count(one)
         for one in counts.values():
             yield from one.batches(names)
 
     texts = documents.select(F.coalesce("lang", F.lit("und")).alias("lang"), "text").filter("text IS NOT NULL")
-    return in_arrow(texts, run, fields)
+    return in_arrow(texts, run, ", ".join(f"{name} {kinds.get(name, 'string')}" for name in names))
 
 
-def bits_of(pairs: DataFrame, rows: int) -> bytes:
-    """A table with the bits of all `pairs` (lang, w1, w2), BITS_A_PAIR bits for each, but MOST_BITS at most (16 MB)."""
-    bits = BITMAP_BITS
-    while bits < min(rows * BITS_A_PAIR, MOST_BITS):
+def bits_of(hashes: DataFrame) -> bytes:
+    """A table with the bits of all rows of `hash`, MOST_BITS at most (16 MB)."""
+    bits, rows = BITMAP_BITS, hashes.count()
+    while bits < min(rows * BITS_EACH, MOST_BITS):
         bits *= 2
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            langs, *words = (batch.column(name).to_pylist() for name in ("lang", "w1", "w2"))
-            hashed = [
-                np.array([word_hash(lang, word.encode()) for lang, word in zip(langs, column, strict=True)], np.uint64)
-                for column in words
-            ]
-            bit = pair_bits(*hashed, bits).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(bit)], names=["bit"])
-
-    # Spark's bitmaps count from one; bits past the table belong to no pair.
+    bit = F.col("hash").bitwiseAND(F.lit(bits - 1)) + 1  # Spark's bitmaps count from one
     parts = (
-        in_arrow(pairs.select("lang", "w1", "w2"), run, "bit long")
-        .groupBy(F.bitmap_bucket_number(F.col("bit") + 1).alias("bucket"))
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position(F.col("bit") + 1)).alias("bitmap"))
+        hashes.groupBy(F.bitmap_bucket_number(bit).alias("bucket"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bitmap"))
         .collect()  # bits / 8 bytes
     )
     table = bytearray(bits // 8)
@@ -234,22 +264,18 @@ def bits_of(pairs: DataFrame, rows: int) -> bytes:
     return bytes(table)
 
 
-def rolled(counted: DataFrame, length: int, head: int) -> DataFrame:
-    """lang, w1 to w`length`, n: sums over the windows that begin alike, of `head` words at least (0: the language alone).
-
-    A shorter phrase has nulls after its words.
-    """
-    names = [f"w{k}" for k in range(1, length + 1)]
-    fixed, rolling = ["lang", *names[:head]], names[head:]
-    sums = counted.sparkSession.sql(
-        f"""SELECT lang, {", ".join(names)}, sum(n) AS n, grouping_id() AS shorter FROM {{counted}}
-        GROUP BY {", ".join(fixed)}, ROLLUP ({", ".join(rolling)})""",
-        counted=counted,
+def rolled(windows: DataFrame, longest: int) -> DataFrame:
+    """lang, w1 to w`longest`, n: sums over the windows that begin alike. A shorter phrase has nulls after its words."""
+    names = [f"w{k}" for k in range(1, longest + 1)]
+    sums = windows.sparkSession.sql(
+        f"""SELECT lang, {", ".join(names)}, sum(n) AS n, grouping_id() AS shorter FROM {{windows}}
+        GROUP BY lang, w1, ROLLUP ({", ".join(names[1:])})""",
+        windows=windows,
     )
     # A null that was summed over is marked in `shorter`; one that is not is the padding of a window that ends earlier.
     padded = F.lit(False)
-    for k, name in enumerate(rolling):
-        padded = padded | (F.col(name).isNull() & (F.shiftright("shorter", len(rolling) - 1 - k).bitwiseAND(F.lit(1)) == 0))
+    for k, name in enumerate(reversed(names[1:])):
+        padded = padded | (F.col(name).isNull() & (F.shiftright("shorter", k).bitwiseAND(F.lit(1)) == 0))
     return sums.filter(~padded).drop("shorter")
 
 
@@ -258,22 +284,20 @@ def frequent_phrases(documents: DataFrame, written: Written, least: int = LEAST,
 
     A row with k = 0 has the number of all words of a language.
     """
-    spark = documents.sparkSession
-    pairs = written(
-        rolled(windows(documents, 2), 2, 0).filter((F.col("n") >= least) | F.col("w1").isNull()), "pairs"
-    )
-    rows = pairs.filter("w2 IS NOT NULL").count()
-    frequent = spark.sparkContext.broadcast(bits_of(pairs.filter("w2 IS NOT NULL"), rows))
+    context = documents.sparkSession.sparkContext
     names = [f"w{k}" for k in range(1, longest + 1)]
-    counted = windows(documents, longest, frequent).groupBy("lang", *names).agg(F.sum("n").alias("n"))
-    longer = rolled(counted, longest, 2).filter(F.col("n") >= least)
+    tables, totals = [], None
+    for order in range(1, FILTERED + 1):
+        sums = counted(documents, order, longest, tables).groupBy("lang", "hash").agg(F.sum("n").alias("n"))
+        sums = written(sums.filter((F.col("n") >= least) | F.col("hash").isNull()), f"hashes{order}")
+        tables.append(context.broadcast(bits_of(sums.filter("hash IS NOT NULL").select("hash"))))
+        totals = totals or sums.filter("hash IS NULL")
+    sums = rolled(counted(documents, None, longest, tables), longest).filter(F.col("n") >= least)
     size = sum((F.col(name).isNotNull().cast("int") for name in names), F.lit(0))
-    short = pairs.filter("w2 IS NULL").withColumns({name: F.lit(None).cast("string") for name in names[2:]})
-    found = written(
-        longer.unionByName(short).select("lang", F.concat_ws(" ", *names).alias("phrase"), size.alias("k"), F.col("n").alias("f")),
-        "phrases",
-    )
-    written.remove(1)
+    phrases = sums.select("lang", F.concat_ws(" ", *names).alias("phrase"), size.alias("k"), F.col("n").alias("f"))
+    every = phrases.unionByName(totals.select("lang", F.lit("").alias("phrase"), F.lit(0).alias("k"), F.col("n").alias("f")))
+    found = written(every, "phrases")
+    written.remove(FILTERED)
     return found
 
 

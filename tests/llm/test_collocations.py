@@ -71,36 +71,63 @@ def test_against_counting_each_phrase(spark, seed):
     assert mined(spark, rows, 4, top=3) == plain(rows, 4, 3)
 
 
+FULL = np.full(collocations.BITMAP_BITS // 8, 255, np.uint8)
+
+
 def test_small_tables_in_tasks(monkeypatch):
     rows = texts(60, 9)
     monkeypatch.setattr(collocations, "KEPT_WINDOWS", 60)
+    monkeypatch.setattr(collocations, "KEPT_HASHES", 60)
     monkeypatch.setattr(collocations, "KEPT_WORDS", 40)
     monkeypatch.setattr(collocations, "CHUNK_BYTES", 200)
-    seen = Counter()
+    windows, phrases, total = Counter(), {1: Counter(), 2: Counter(), 3: Counter()}, 0
     for _, text in rows:
         for piece in re.split(r"[.,;:!?\x0A-\x0D]", text.translate(LOWER)):
             words = re.findall(r"[^\x20\x09]+", piece)
-            seen.update(zip(words, [*words[1:], None]))
-    for bits in (None, np.full(collocations.BITMAP_BITS // 8, 255, np.uint8)):
-        counted, batches = Counter(), 0
-        of_lang = collocations.Windows("x", 2, bits)
+            total += len(words)
+            windows.update(tuple([*words, None, None, None][k : k + 4]) for k in range(len(words)))
+            for order, found in phrases.items():
+                found.update(tuple(words[k : k + order]) for k in range(len(words) - order + 1))
+
+    def counts(order):
+        of_lang, batches = collocations.Counts("x", order, 4, [FULL] * 3), []
+        names = ["lang", "w1", "w2", "w3", "w4", "n"] if order is None else ["lang", "hash", "n"]
         for _, text in rows:
             for chunk in collocations.chunks(text.encode().translate(collocations.TABLE)):
                 of_lang.add(chunk)
                 if of_lang.full():
-                    for batch in of_lang.batches(["lang", "w1", "w2", "n"]):
-                        batches += 1
-                        counted.update({(row["w1"], row["w2"]): row["n"] for row in batch.to_pylist()})
-        for batch in of_lang.batches(["lang", "w1", "w2", "n"]):
-            counted.update({(row["w1"], row["w2"]): row["n"] for row in batch.to_pylist()})
-        assert batches > 5
-        assert counted == (seen if bits is None else Counter({key: n for key, n in seen.items() if key[1] is not None}))
-
-
-def test_a_full_table_of_bits_changes_nothing(spark, monkeypatch):
+                    batches += of_lang.batches(names)
+        batches += of_lang.batches(names)
+        assert len(batches) > 5
+        return [row for batch in batches for row in batch.to_pylist()]
+
+    found = Counter()
+    for row in counts(None):
+        found[row["w1"], row["w2"], row["w3"], row["w4"]] += row["n"]
+    assert found == windows
+    for order in (1, 2, 3):
+        found = Counter()
+        for row in counts(order):
+            found[row["hash"]] += row["n"]
+        if order == 1:
+            assert found.pop(None) == total
+        assert sorted(found.values()) == sorted(phrases[order].values())
+
+
+def test_what_passes_by_chance_changes_nothing(spark, monkeypatch):
     rows = texts(120, 5)
-    monkeypatch.setattr(collocations, "bits_of", lambda pairs, count: b"\xff" * (collocations.BITMAP_BITS // 8))
+    monkeypatch.setattr(collocations, "bits_of", lambda hashes: FULL.tobytes())
     assert mined(spark, rows, 4) == plain(rows, 4)
+    monkeypatch.undo()
+    monkeypatch.setattr(collocations, "HASH_BITS", 5)
+    assert mined(spark, rows, 4) == plain(rows, 4)
+
+
+def test_bits(spark):
+    hashes = spark.createDataFrame([(3,), (3,), (32_767,), (32_768 + 9,), (1 << 39,)], "hash long")
+    table = collocations.bits_of(hashes)
+    found = {k for k in range(len(table) * 8) if table[k >> 3] >> (k & 7) & 1}
+    assert found == {h & (len(table) * 8 - 1) for h in (3, 32_767, 32_777, 1 << 39)}
 
 
 def test_nulls_empty_long_and_equal_texts(spark):
