@@ -3,7 +3,8 @@
 Documents become vectors over the terms that the items ask for, and an index holds them in shards of bounded size. In a
 shard, the posting list of every term is clustered by the similarity of its documents: some of them are pivots, each
 document goes to the nearest pivot, and a cluster makes one block or several. With each block its summary is stored, the
-largest impact of every term in any of its documents, rounded up to a byte.
+largest impact in any of its documents, rounded up to a byte, of every term that some item asks for together with the term of
+the list; no other item looks at the block.
 
 A search takes an item's blocks in descending order of the bound that their summaries give, and scores all documents of a
 block exactly. Blocks whose bound is below the score of the item's k-th best so far are skipped, and only those: a document
@@ -35,9 +36,10 @@ from ratingloom.llm.shared import Written, in_arrow
 K = 10
 BLOCK_PAIRS = 16_384
 BLOCK_DOCUMENTS = 128
-SHARD_DOCUMENTS = 4_096
-SHARD_CELLS = 48 << 20  # documents times terms, a byte each
-SHARD_POSTINGS = 2_000_000
+SHARD_DOCUMENTS = 2_048
+SHARD_CELLS = 32 << 20  # documents times terms, a byte each
+SHARD_POSTINGS = 1_000_000
+TASK_SHARDS = 4  # of these, about, a task makes the index
 SKETCH = 32
 STEP = 4_096  # impacts are below a million, so that their bytes are below 245
 TEXT_BYTES = 8 << 20
@@ -49,11 +51,20 @@ TERM_BYTES = bytes(
 SCALE, TF_SCALE, M_SCALE, FLAT, SLOPE = 1_000_000_000, 1_000, 8, 25, 75
 
 VECTORS = "doc_id long, n long, terms array<int>, tfs array<long>"
-INDEX = (
-    "doc_ids array<long>, row_ends array<int>, terms array<int>, impacts array<int>, "
-    "list_ends array<int>, block_ends array<int>, members array<int>, summary_ends array<int>, summary_terms array<int>, "
-    "summary binary"
-)
+# Arrays of numbers as bytes, which pass through Spark as they are.
+ARRAYS = {
+    "doc_ids": "<i8",
+    "row_ends": "<i4",
+    "terms": "<i4",
+    "impacts": "<i4",
+    "list_ends": "<i4",
+    "block_ends": "<i4",
+    "members": "<i4",
+    "summary_ends": "<i4",
+    "summary_terms": "<i4",
+    "summary": "u1",
+}
+INDEX = ", ".join(f"{name} binary" for name in ARRAYS)
 
 
 def terms_of(text: str | None) -> list[bytes]:
@@ -140,12 +151,31 @@ def clustered(sketches: np.ndarray, block: int) -> tuple[np.ndarray, np.ndarray]
     return order, np.array(ends)
 
 
-def shard(doc_ids: np.ndarray, ends: np.ndarray, terms: np.ndarray, values: np.ndarray, count: int, block: int) -> dict:
+class Companions:
+    """For each term, the terms that some item asks for together with it; None where these are half of all, or more."""
+
+    def __init__(self, items: list[np.ndarray], count: int):
+        self.items, self.count = items, count
+        self.of_term: list[list[int]] = [[] for _ in range(count)]
+        for item, terms in enumerate(items):
+            for term in terms.tolist():
+                self.of_term[term].append(item)
+        self.known: dict[int, np.ndarray | None] = {}
+
+    def __getitem__(self, term: int) -> np.ndarray | None:
+        if term not in self.known:
+            together = np.unique(np.concatenate([self.items[item] for item in self.of_term[term]]))
+            self.known[term] = together if len(together) < self.count // 2 else None
+        return self.known[term]
+
+
+def shard(
+    doc_ids: np.ndarray, ends: np.ndarray, terms: np.ndarray, values: np.ndarray, count: int, block: int, companions: Companions
+) -> dict[str, np.ndarray]:
     """The index of some documents: vectors by document, blocks of members by term, and summaries by block."""
     rows = np.repeat(np.arange(len(doc_ids)), np.diff(ends, prepend=0))
-    bytes_of = -(-values // STEP)
     dense = np.zeros((len(doc_ids), count), np.uint8)
-    dense[rows, terms] = bytes_of
+    dense[rows, terms] = -(-values // STEP)
     directions = np.random.default_rng(0).standard_normal((count, SKETCH)).astype(np.float32)
     sketches = np.zeros((len(doc_ids), SKETCH), np.float32)
     step = max(1, (16 << 20) // (4 * count + 1))
@@ -163,55 +193,51 @@ def shard(doc_ids: np.ndarray, ends: np.ndarray, terms: np.ndarray, values: np.n
             docs = rows[by_term[first:last]]
             order, block_end = clustered(sketches[docs], block)
             docs = docs[order]
-            starts = np.concatenate([[0], block_end[:-1]])
-            summary = np.maximum.reduceat(dense[docs], starts, axis=0)
+            together = companions[term]
+            held = dense[docs] if together is None else dense[docs[:, None], together]
+            summary = np.maximum.reduceat(held, np.concatenate([[0], block_end[:-1]]), axis=0)
             at, column = np.nonzero(summary)
             members.append(docs)
             block_ends.append(first + block_end)
             widths.append(np.bincount(at, minlength=len(block_end)))
-            columns.append(column)
+            columns.append(column if together is None else together[column])
             maxima.append(summary[at, column])
             blocks += len(block_end)
         list_ends.append(blocks)
-    joined = lambda parts: np.concatenate(parts).astype(np.int32) if parts else np.zeros(0, np.int32)
+    joined = lambda parts: np.concatenate([np.zeros(0, np.int64), *parts])
     return {
         "doc_ids": doc_ids,
-        "row_ends": ends.astype(np.int32),
-        "terms": terms.astype(np.int32),
-        "impacts": values.astype(np.int32),
-        "list_ends": np.array(list_ends, np.int32),
+        "row_ends": ends,
+        "terms": terms,
+        "impacts": values,
+        "list_ends": np.array(list_ends),
         "block_ends": joined(block_ends),
         "members": joined(members),
-        "summary_ends": np.cumsum(joined(widths), dtype=np.int32),
+        "summary_ends": np.cumsum(joined(widths)),
         "summary_terms": joined(columns),
-        "summary": np.concatenate(maxima).tobytes() if maxima else b"",
+        "summary": joined(maxima),
     }
 
 
-def index(found: DataFrame, terms: int, documents: int, total: int, block: int = BLOCK_DOCUMENTS) -> DataFrame:
-    """One row per shard of documents that hold any of the terms."""
+def index(found: DataFrame, items, terms: int, documents: int, total: int, block: int = BLOCK_DOCUMENTS) -> DataFrame:
+    """One row per shard of the documents `found`, all with an id and some terms; `items` is a broadcast list of the terms of each item."""
     most = max(64, min(SHARD_DOCUMENTS, SHARD_CELLS // max(terms, 1)))
-    names = [part.split(" ")[0] for part in INDEX.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        companions = Companions(items.value, terms)
         held: list[pa.RecordBatch] = []
         count = postings = 0
 
         def made() -> pa.RecordBatch:
             some = pa.Table.from_batches(held).combine_chunks()
             lists = some.column("terms").combine_chunks()
-            ends = np.cumsum(some.column("terms").combine_chunks().value_lengths().to_numpy(zero_copy_only=False))
+            ends = np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))
             n = np.repeat(some.column("n").to_numpy(), np.diff(ends, prepend=0))
             tfs = some.column("tfs").combine_chunks().flatten().to_numpy()
             values = impacts(tfs, n, documents, total)
-            one = shard(some.column("doc_id").to_numpy(), ends, lists.flatten().to_numpy(), values, terms, block)
-            columns = [
-                pa.array([one[name]], pa.binary())
-                if name == "summary"
-                else pa.ListArray.from_arrays(pa.array([0, len(one[name])], pa.int32()), pa.array(one[name]))
-                for name in names
-            ]
-            return pa.RecordBatch.from_arrays(columns, names=names)
+            one = shard(some.column("doc_id").to_numpy(), ends, lists.flatten().to_numpy(), values, terms, block, companions)
+            columns = [pa.array([one[name].astype(kind).tobytes()], pa.binary()) for name, kind in ARRAYS.items()]
+            return pa.RecordBatch.from_arrays(columns, names=list(ARRAYS))
 
         for batch in batches:
             widths = batch.column("terms").value_lengths().to_numpy(zero_copy_only=False)
@@ -231,21 +257,20 @@ def index(found: DataFrame, terms: int, documents: int, total: int, block: int =
         if held:
             yield made()
 
-    usable = found.filter(F.col("doc_id").isNotNull() & (F.size("terms") > 0))
-    return in_arrow(usable, run, INDEX)
+    return in_arrow(found, run, INDEX)
 
 
 class Shard:
     """A row of the index, ready to be searched."""
 
-    def __init__(self, row: dict, terms: int):
+    def __init__(self, row: dict[str, np.ndarray], terms: int):
         self.doc_ids, self.ends = row["doc_ids"], np.concatenate([[0], row["row_ends"]])
         self.terms, self.impacts = row["terms"], row["impacts"].astype(np.int64)
         self.lists = np.concatenate([[0], row["list_ends"]])
         self.blocks, self.members = np.concatenate([[0], row["block_ends"]]), row["members"]
         widths = np.diff(row["summary_ends"], prepend=0)
         self.summary = np.zeros((len(widths), terms), np.uint8)
-        self.summary[np.repeat(np.arange(len(widths)), widths), row["summary_terms"]] = np.frombuffer(row["summary"], np.uint8)
+        self.summary[np.repeat(np.arange(len(widths)), widths), row["summary_terms"]] = row["summary"]
 
     def scores(self, docs: np.ndarray, weights: np.ndarray) -> np.ndarray:
         starts, widths = self.ends[docs], self.ends[docs + 1] - self.ends[docs]
@@ -294,10 +319,7 @@ def found_in(shards: DataFrame, queries, terms: int, k: int = K) -> DataFrame:
         weights = np.zeros(terms, np.int64)
         for batch in batches:
             for at in range(batch.num_rows):
-                row = {}
-                for name in batch.schema.names:
-                    value = batch.column(name)[at]
-                    row[name] = value.as_py() if name == "summary" else value.values.to_numpy()
+                row = {name: np.frombuffer(batch.column(name)[at].as_buffer(), kind) for name, kind in ARRAYS.items()}
                 one = Shard(row, terms)
                 for item, (asked, worth) in enumerate(queries.value):
                     weights[asked] = worth
@@ -318,7 +340,7 @@ def search_block(documents: DataFrame, items: list[list[tuple[bytes, int]]], wri
     terms = sorted({term for item in items for term, _ in item})
     number = {term: at for at, term in enumerate(terms)}
     found = written(vectors(documents, spark.sparkContext.broadcast(terms)), "vectors")
-    counted, total = found.agg(F.count_if(F.col("n") > 0), F.sum("n")).first()
+    counted, total, holds = found.agg(F.count_if(F.col("n") > 0), F.sum("n"), F.count_if(F.size("terms") > 0)).first()
     # A row for each term of the items.
     holding = dict(found.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1))).collect())
     queries = []
@@ -326,7 +348,10 @@ def search_block(documents: DataFrame, items: list[list[tuple[bytes, int]]], wri
         asked = [(number[term], times) for term, times in item if number[term] in holding]
         worth = [times * weight(counted, holding[at]) for at, times in asked]
         queries.append((np.array([at for at, _ in asked], np.int64), np.array(worth, np.int64)))
-    shards = written(index(found, len(terms), counted, total or 1), "index")
+    asked = spark.sparkContext.broadcast([query for query, _ in queries])
+    # Vectors are small, so a task that reads a file's worth of them would have far too much to do.
+    dealt = found.filter(F.col("doc_id").isNotNull() & (F.size("terms") > 0)).repartition(1 + holds // (TASK_SHARDS * SHARD_DOCUMENTS))
+    shards = written(index(dealt, asked, len(terms), counted, total or 1), "index")
     written.remove(1)
     return found_in(shards, spark.sparkContext.broadcast(queries), len(terms), k)
 

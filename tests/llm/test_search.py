@@ -102,8 +102,16 @@ def test_bounds_hold_and_blocks_are_skipped():
         names.append(some)
         values.append(choose.integers(50_000, 990_000, len(some)))
         ends.append((ends[-1] if ends else 0) + len(some))
-    made = search.shard(np.arange(size) * 2, np.array(ends), np.concatenate(names), np.concatenate(values), count, 32)
-    one = search.Shard({key: np.array(value) if key != "summary" else value for key, value in made.items()}, count)
+    items = [np.concatenate([np.arange(topic * 25, topic * 25 + 6), [260, 270, 280]]) for topic in range(10)] + [np.arange(count)]
+    for companions in (search.Companions(items[:-1] + [np.arange(k, k + 1) for k in range(count)], count), search.Companions(items, count)):
+        check_shard(count, size, ends, names, values, items, companions)
+
+
+def check_shard(count, size, ends, names, values, items, companions):
+    made = search.shard(
+        np.arange(size) * 2, np.array(ends), np.concatenate(names), np.concatenate(values), count, 32, companions
+    )
+    one = search.Shard({key: made[key].astype(kind) for key, kind in search.ARRAYS.items()}, count)
     dense = np.zeros((size, count), np.int64)
     for i in range(size):
         dense[i, names[i]] = values[i]
@@ -115,10 +123,11 @@ def test_bounds_hold_and_blocks_are_skipped():
         for b in blocks:
             inside = one.members[one.blocks[b] : one.blocks[b + 1]]
             assert 0 < len(inside) <= 32
-            assert (one.summary[b].astype(np.int64) * search.STEP >= dense[inside].max(0)).all()
+            together = slice(None) if companions[term] is None else companions[term]
+            assert (one.summary[b].astype(np.int64) * search.STEP >= dense[inside].max(0))[together].all()
     visited = total = 0
     for topic in range(10):
-        asked = np.concatenate([np.arange(topic * 25, topic * 25 + 6), [260, 270, 280]])
+        asked = items[topic]
         weights = np.zeros(count, np.int64)
         weights[asked] = [5_000] * 6 + [100] * 3
         none = np.zeros(0, np.int64)
