@@ -1,12 +1,16 @@
 """Quality rules and secret scans against plain versions over whole texts."""
 
+import math
 import random
 import re
+from collections import Counter
 from hashlib import sha256
 
 import corpus_pipeline
+import pytest
 from ratingloom.llm import quality, secret_scan
 from ratingloom.llm.shared import Written
+from xxhash import xxh64_intdigest
 
 ASSIGN = re.compile(
     r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
@@ -102,3 +106,54 @@ def test_a_secret_in_few_of_many_sources_is_masked(spark):
     told = spark.createDataFrame(tokens, "doc_id long, text string, owner string, repository string")
     found = secret_scan.counts(secret_scan.scan(told, Written(spark, "t"))).collect()
     assert sorted((r.doc_id, r.n_live, r.n_copied) for r in found) == [(0, 1, 0), (1, 1, 0), (9, 0, 0)]
+
+
+def plain_scores(texts, trusted, buckets, threshold):
+    """(score, kept) of every text, from counters over the buckets of its words and pairs of words."""
+
+    def number(data, seed=42):
+        return xxh64_intdigest(data, seed)
+
+    def grams(text):
+        words = [number(word.encode()) for word in re.findall(r"[^\x20\x09-\x0D]+", text or "")]
+        pairs = [number(b.to_bytes(8, "little"), number(a.to_bytes(8, "little"))) for a, b in zip(words, words[1:], strict=False)]
+        return [h % buckets for h in [*words, *pairs]]
+
+    every, good = Counter(), Counter()
+    for i, text in texts:
+        every.update(grams(text))
+        if i in trusted:
+            good.update(grams(text))
+    share = sum(good.values()) / sum(every.values())
+    ratio = {b: round(math.log((good[b] + 5.0) / (n * share + 5.0)), 4) for b, n in every.items()}
+    out = {}
+    for i, text in texts:
+        found = grams(text)
+        score = sum(ratio[b] for b in found) / max(len(found), 1)
+        out.setdefault(i, []).append((score, not rules(text)[-1] and score >= threshold))
+    return out
+
+
+@pytest.mark.parametrize("buckets", [64, quality.BUCKETS])
+def test_scores_and_verdicts_against_counting(spark, buckets):
+    choose = random.Random(4)
+    clean, junk = [f"word{k}" for k in range(400)], [f"x{k}#" for k in range(300)]
+    texts = []
+    for i in range(160):
+        words = choose.choices(clean, k=choose.randint(20, 300))
+        if i % 3 == 0:
+            words = [choose.choice(junk) if choose.random() < i / 160 else word for word in words]
+        texts.append((i, choose.choice([" ", "\n", "\t "]).join(words)))
+    texts += [(1000, None), (1001, ""), (1002, " \x0b "), (5, texts[5][1]), (None, texts[6][1]), (1003, "é " * 70)]
+    trusted = {i for i, _ in texts if i is not None and i % 3 == 1 and i < 100}
+    table = spark.createDataFrame([(*row, 1.5) for row in texts], "doc_id long, text string, score double")
+    found = quality.assess(table.repartition(4), spark.createDataFrame([(i,) for i in trusted], "doc_id long"), buckets).collect()
+    expected = plain_scores(texts, trusted, buckets, quality.THRESHOLD)
+    assert len(found) == len(texts)
+    verdicts = Counter()
+    for row in found:
+        for score, kept in expected[row.doc_id]:
+            assert math.isclose(row.score, score, abs_tol=1e-9) and row.kept == kept
+        verdicts[row.kept, row.base_failed] += 1
+    if buckets == quality.BUCKETS:  # with few, ratios come close to zero
+        assert verdicts[True, False] > 20 and verdicts[False, False] > 20
