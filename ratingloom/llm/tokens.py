@@ -9,7 +9,7 @@ The index table has one row per part: documents, tokens, and `start`, the ids of
 stretch of the corpus-wide sequence of ids is a filter on two columns.
 
 Ids are those of the tokenizers library. Text is cut where the pre-token pattern always begins a new match; the ids of pieces
-seen before are looked up, in at most about `KEPT_BYTES` a worker, and unknown ones are encoded together.
+seen before are looked up, in at most about `KEPT_BYTES` a worker; unknown words need the merges only.
 
 Defined cases: a null or empty text has the end id alone; the text of a special token is that token, as in the tokenizers
 library; a null id comes first; repeated rows are kept each, next to each other, in any order among equals; an empty table
@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -27,6 +28,7 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,15 +39,28 @@ from ratingloom.llm.shared import in_arrow
 END = 0
 GROUP_BYTES = 32 << 20
 PAGE_BYTES = 128 << 10
-PAGE_ROWS = 2_000
-KEPT_BYTES = 48 << 20
+PAGE_ROWS = 1_000
+KEPT_BYTES = 144 << 20
 LONGEST_KEPT = 64
-ROWS = 200
+ROWS = 1_000
+TEXT_BYTES = 2 << 20
 INDEX = "part int, documents long, tokens long, start long"
 
-# Only single blanks and line feeds, each between two visible characters; the pattern begins a match at every one of them.
-ODD = re.compile(r"\s\s|^\s|\s$|[^\S \n]|\0")
+# A blank before a visible character always begins a new match.
 CUT = re.compile(r" (?=\S)")
+# Elsewhere than singly between two visible characters, or of another kind, white space is left to the pattern.
+ODD = ["  ", " \n", "\n ", "\n\n", "\0"] + [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
+MARKS = ".,;:!?"
+# Letters up to here are letters in any version of Unicode that a library may have.
+LAST_LETTER = "\u052f"
+# Byte-level vocabularies spell visible characters of Latin-1 as themselves, and other bytes, in order, from 256 on.
+SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+SPELLED_BLANK = "\u0120"
+SPELLING = {byte: chr(256 + k) for k, byte in enumerate(b for b in range(256) if b not in SHOWN)}
+
+
+def is_plain(text: str) -> bool:
+    return text == text.strip(" \n") and not any(odd in text for odd in ODD)
 
 
 class Encoder:
@@ -57,74 +72,101 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_str(file)
         self.special = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
-        # Tokens are spelled with one character a byte.
-        size = max(self.tokenizer.get_vocab().values()) + 1
-        self.width = np.zeros(size, np.int64)
-        for token, number in self.tokenizer.get_vocab().items():
-            self.width[number] = len(token)
         self.kept: dict[str, bytes] = {}
+        self.age()
+
+    def age(self) -> None:
+        """Begin a new table; what the one before has is found there until this one is full as well."""
+        self.before, self.marks = self.kept, {}
+        self.kept = {"": b"", "\n": self.each(["\n"])[0]}
         self.kept_bytes = 0
 
     def each(self, texts: list[str]) -> list[bytes]:
+        """Ids of any texts, by the whole tokenizer."""
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(one.ids, "<u4").tobytes() for one in found]
 
-    def together(self, pieces: list[str]) -> list[bytes]:
-        """Ids of pieces without odd white space, encoded as lines of one text and told apart by their lengths in bytes."""
-        if not pieces:
-            return []
-        [found] = self.tokenizer.encode_batch_fast(["\n".join(pieces)], add_special_tokens=False)
-        ids = np.array(found.ids, "<u4")
-        ends = np.cumsum(self.width[ids])
-        lengths = np.array([len(piece.encode()) for piece in pieces], np.int64)
-        starts = np.cumsum(lengths + 1) - lengths - 1
-        first, last = np.searchsorted(ends, starts, "right"), np.searchsorted(ends, starts + lengths, "right")
-        if not (np.array_equal(ends[last - 1], starts + lengths) and len(ids) == last[-1]):
-            return self.each(pieces)
-        data = ids.tobytes()
-        return [data[4 * a : 4 * b] for a, b in zip(first.tolist(), last.tolist(), strict=True)]
+    def learn(self, pieces: set[str]) -> dict[str, bytes]:
+        """Ids of unknown pieces. Letters are one match with the blank before them, and need the tokenizer's merges alone;
+        marks after them are another match."""
+        before, merge, new, rest, marks_of = self.before.get, self.tokenizer.model.tokenize, {}, [], self.marks
+        for piece in pieces:
+            ids = before(piece)
+            if ids is None:
+                word = piece.rstrip(MARKS)
+                blank = word[:1] == " "
+                body = word[1:] if blank else word
+                if not body.isalpha():
+                    rest.append(piece)
+                    continue
+                if not body.isascii():
+                    if max(body) > LAST_LETTER:
+                        rest.append(piece)
+                        continue
+                    body = body.encode().decode("latin-1").translate(SPELLING)
+                ids = array("I", [token.id for token in merge(SPELLED_BLANK + body if blank else body)]).tobytes()
+                marks = piece[len(word) :]
+                if marks:
+                    if marks not in marks_of:
+                        marks_of[marks] = self.each([marks])[0]
+                    ids += marks_of[marks]
+            new[piece] = ids
+        new.update(zip(rest, self.each(rest), strict=True))
+        return new
+
+    def of_pieces(self, pieces: list[str]) -> list[bytes]:
+        """Ids of different pieces."""
+        if self.kept_bytes > KEPT_BYTES // 2:
+            self.age()
+        ids = list(map(self.kept.get, pieces))
+        gaps = [at for at, known in enumerate(ids) if known is None]
+        new = self.learn({pieces[at] for at in gaps})
+        for at in gaps:
+            ids[at] = new[pieces[at]]
+        for piece in [piece for piece in new if len(piece) > LONGEST_KEPT]:
+            del new[piece]
+        self.kept.update(new)
+        # Two objects and their place in the table, besides what they say.
+        self.kept_bytes += sum(map(len, new)) + sum(map(len, new.values())) + 180 * len(new)
+        return ids
+
+    def of_plain(self, texts: pa.LargeStringArray) -> list[bytes]:
+        """Ids of texts that `is_plain` holds for: cut, and equal pieces found, for all of them at once."""
+        marked = pc.replace_substring(pc.replace_substring(texts, " ", "\0 "), "\n", "\0\n\0")
+        cut = pc.split_pattern(marked, "\0")
+        pieces = cut.flatten().dictionary_encode()
+        ids = self.of_pieces(pieces.dictionary.to_pylist())
+        widths = np.array([len(one) // 4 for one in ids], np.int32)
+        ends = np.concatenate([[0], np.cumsum(widths, dtype=np.int32)]).astype(np.int32)
+        lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(ids), "<i4")))
+        at = pieces.indices
+        data = memoryview(lists.take(at).flatten().to_numpy()).cast("B")
+        of_piece = np.concatenate([[0], np.cumsum(widths[at.to_numpy()], dtype=np.int64)])
+        of_text = np.concatenate([[0], np.cumsum(cut.value_lengths().to_numpy(zero_copy_only=False))])
+        bounds = (4 * of_piece[of_text]).tolist()
+        return [bytes(data[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+
+    def of_other(self, text: str) -> bytes:
+        """Ids of any text."""
+        if any(token in text for token in self.special):
+            return self.each([text])[0]
+        first, *rest = CUT.split(text)
+        pieces = [first, *(" " + piece for piece in rest)]
+        known = dict.fromkeys(pieces)
+        known.update(zip(known, self.of_pieces(list(known)), strict=True))
+        return b"".join(map(known.__getitem__, pieces))
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        if self.kept_bytes > KEPT_BYTES:
-            self.kept.clear()
-            self.kept_bytes = 0
-        kept, cut, plain, whole = self.kept, [], set(), set()
-        for text in texts:
-            if any(token in text for token in self.special):
-                pieces = [text]
-                whole.update(pieces)
-            elif ODD.search(text):
-                first, *rest = CUT.split(text)
-                pieces = [first, *(" " + piece for piece in rest)]
-                whole.update(pieces)
-            else:
-                pieces = text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
-                plain.update(pieces)
-            cut.append(pieces)
-        alone = {"", "\n"}  # lines of their own
-        plain -= alone
-        plain.difference_update(kept)
-        whole |= alone
-        whole -= plain
-        whole.difference_update(kept)
-        new, pieces = {}, []
-        size = 0
-        for piece in plain:
-            pieces.append(piece)
-            size += len(piece)
-            if size > 1 << 16:
-                new.update(zip(pieces, self.together(pieces), strict=True))
-                pieces, size = [], 0
-        new.update(zip(pieces, self.together(pieces), strict=True))
-        rest = list(whole)
-        new.update(zip(rest, self.each(rest), strict=True))
-        kept.update(new)
-        out = [b"".join(map(kept.__getitem__, pieces)) for pieces in cut]
-        for piece, ids in new.items():
-            if len(piece) > LONGEST_KEPT:
-                del kept[piece]
-            else:
-                self.kept_bytes += len(ids) + len(piece) + 180  # two objects and their place in the table
+        out: list[bytes] = [b""] * len(texts)
+        plain = []
+        for at, text in enumerate(texts):
+            if not is_plain(text) or any(token in text for token in self.special):
+                out[at] = self.of_other(text)
+            elif text:
+                plain.append(at)
+        if plain:
+            for at, ids in zip(plain, self.of_plain(pa.array([texts[at] for at in plain], pa.large_string())), strict=True):
+                out[at] = ids
         return out
 
 
@@ -140,6 +182,18 @@ class TokenFiles:
     index: DataFrame
 
 
+def parts_of(batch: pa.RecordBatch, sizes: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The rows in parts of at most ROWS, and of about TEXT_BYTES by their `sizes`; a longer text is one by itself."""
+    first = 0
+    ends = np.cumsum(sizes, dtype=np.int64)
+    while first < len(sizes):
+        before = ends[first] - sizes[first]
+        last = int(np.searchsorted(ends, before + TEXT_BYTES, "right"))
+        last = min(max(last, first + 1), first + ROWS)
+        yield batch.slice(first, last - first)
+        first = last
+
+
 def schema_of(doc_id: T.DataType) -> T.StructType:
     fields = T.StructType().add("part", "integer").add("doc_id", doc_id).add("at", "long").add("until", "long").add("n_tokens", "long")
     return fields.add("ids", T.ArrayType(T.IntegerType()))
@@ -175,8 +229,8 @@ def write(documents: DataFrame, file: str, folder: str, end: int = END) -> Token
         encode, mark = encoder_of(shipped.value), np.array([end], "<u4").tobytes()
         part, at = TaskContext.get().partitionId(), 0
         for batch in batches:
-            for first in range(0, batch.num_rows, ROWS):
-                some = batch.slice(first, ROWS)
+            sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy()
+            for some in parts_of(batch, sizes):
                 ids = [one + mark for one in encode([text or "" for text in some.column("text").to_pylist()])]
                 ends = np.cumsum([0] + [len(one) // 4 for one in ids])
                 flat = pa.array(np.frombuffer(b"".join(ids), "<i4"))
