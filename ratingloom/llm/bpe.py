@@ -6,7 +6,8 @@ entries that a merge has made stale are skipped when they come up. A merge costs
 pre-token, so one of a million letters is no trouble.
 
 Most text is words seen before. A text is cut before every blank that a visible character follows, which the pattern never
-reads across, and the ids of a cut piece are kept, for short pieces and up to `KEPT` of them, in each Python worker.
+reads across, and the ids of short cut pieces are kept in each Python worker, up to about `KEPT_BYTES`; so are those of
+pre-tokens, up to half as much.
 
 Defined cases: a null or empty text has no ids; decoding ids that the vocabulary lacks raises; repeated rows give repeated
 results; an empty table gives an empty result. Only the named columns are read, whatever else there is.
@@ -27,6 +28,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 KEPT = 1_000_000
+KEPT_BYTES = 224 << 20
+ENTRY_BYTES = 180  # two objects and their place in a table, besides what they say
 LONGEST_KEPT = 48
 WORD_BITS = 8
 # A blank before a visible character always begins a new match: the pattern takes it together with what follows.
@@ -45,8 +48,12 @@ class Vocabulary:
         # The bitmaps of the queue: one bit a rank, in words, and one bit a word. Both are zero between pre-tokens.
         self.words = [0] * ((max(self.ranks.values()) >> WORD_BITS) + 1)
         self.matches = regex.compile(pattern).findall
+        # What is kept is in two tables: when the newer is full it becomes the older, and the older is forgotten.
         self.kept: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
+        self.kept_bytes = self.parts_bytes = 0
+        self.known = np.isin(np.arange(max(self.tokens) + 1), list(self.tokens))
         self.by_id = np.array([self.tokens.get(rank, b"") for rank in range(max(self.tokens) + 1)], object)
 
     def merged(self, piece: bytes) -> list[int]:
@@ -109,8 +116,9 @@ class Vocabulary:
 
     def cut_ids(self, cut: str) -> bytes:
         found, parts = self.matches(cut), self.parts
-        if len(parts) > KEPT:
+        if self.parts_bytes > KEPT_BYTES // 2:
             parts.clear()
+            self.parts_bytes = 0
         out = []
         for match in found:
             ids = parts.get(match)
@@ -119,41 +127,40 @@ class Vocabulary:
                 # Matches that are a piece by themselves are kept as pieces.
                 if len(found) > 1 and len(match) <= LONGEST_KEPT:
                     parts[match] = ids
+                    self.parts_bytes += len(match) + len(ids) + ENTRY_BYTES
             out.append(ids)
         return b"".join(out)
 
     def encode(self, text: str) -> bytes:
         """The ids of a text as little-endian unsigned 32-bit integers."""
-        return joined_ids(text, self.kept, self.cut_ids)
+        first, *rest = CUT.split(text)
+        pieces = [first, *(" " + piece for piece in rest)]
+        try:
+            return b"".join(map(self.kept.__getitem__, pieces))
+        except KeyError:
+            pass
+        if self.kept_bytes > KEPT_BYTES // 2:
+            self.before, self.kept, self.kept_bytes = self.kept, {}, 0
+        kept, before, out = self.kept, self.before, []
+        for piece in pieces:
+            ids = kept.get(piece)
+            if ids is None:
+                ids = before.get(piece)
+                if ids is None:
+                    ids = self.cut_ids(piece)
+                if len(piece) <= LONGEST_KEPT:
+                    kept[piece] = ids
+                    self.kept_bytes += len(piece) + len(ids) + ENTRY_BYTES
+            out.append(ids)
+        return b"".join(out)
 
     def decode(self, ids) -> bytes:
         ids = np.asarray(ids, np.int64)
-        if len(ids) and (ids.min() < 0 or ids.max() >= len(self.by_id)):
+        if len(ids) and (ids.min() < 0 or ids.max() >= len(self.by_id) or not self.known[ids].all()):
             raise ValueError("an id is not in the vocabulary")
         return b"".join(self.by_id[ids].tolist())
 
 
-def joined_ids(text: str, kept: dict[str, bytes], ids_of) -> bytes:
-    """The ids of all cut pieces of `text`. `kept` is filled with those of short pieces, and emptied when it is full."""
-    first, *rest = CUT.split(text)
-    pieces = [first, *(" " + piece for piece in rest)]
-    try:
-        return b"".join(map(kept.__getitem__, pieces))
-    except KeyError:
-        pass
-    if len(kept) > KEPT:
-        kept.clear()
-    out = []
-    for piece in pieces:
-        ids = kept.get(piece)
-        if ids is None:
-            ids = ids_of(piece)
-            if len(piece) <= LONGEST_KEPT:
-                kept[piece] = ids
-        out.append(ids)
-    return b"".join(out)
-
-
 @lru_cache(maxsize=2)
 def vocabulary(file: bytes, pattern: str) -> Vocabulary:
     return Vocabulary(file, pattern)
@@ -207,26 +214,24 @@ def decode(encoded: DataFrame, file: str, pattern: str, rows: int = 500) -> Data
     return encoded.select("doc_id", "ids").mapInArrow(run, schema)
 
 
-def digests(decoded: DataFrame) -> DataFrame:
-    """The digest columns of the contract."""
+def round_trip(documents: DataFrame, file: str, pattern: str) -> DataFrame:
+    """The digest columns of the contract: each text is encoded and its ids are decoded, in one step and one worker a core."""
+    with open(file, "rb") as opened:
+        shipped = documents.sparkSession.sparkContext.broadcast(opened.read())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from hashlib import sha256
 
+        words = vocabulary(shipped.value, pattern)
         for batch in batches:
-            ids = batch.column("ids")
-            ends = np.asarray(ids.offsets)
-            values = np.asarray(ids.values).astype("<u4")
-            spans = list(zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    pa.array([end - start for start, end in spans], pa.int64()),
-                    pa.array([sha256(values[start:end].tobytes()).hexdigest() for start, end in spans], pa.string()),
-                    pa.array([sha256(data.as_buffer()).hexdigest() for data in batch.column("bytes")], pa.string()),
-                ],
-                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
-
-    schema = decoded.select("doc_id").schema.add("n_tokens", "long").add("ids_sha256", "string")
-    return decoded.mapInArrow(run, schema.add("decoded_sha256", "string"))
+            counts, of_ids, of_bytes = [], [], []
+            for text in batch.column("text"):
+                ids = words.encode(text.as_py() or "")
+                counts.append(len(ids) // 4)
+                of_ids.append(sha256(ids).hexdigest())
+                of_bytes.append(sha256(words.decode(np.frombuffer(ids, "<u4"))).hexdigest())
+            columns = [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_bytes, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    schema = documents.select("doc_id").schema.add("n_tokens", "long").add("ids_sha256", "string")
+    return documents.select("doc_id", "text").mapInArrow(run, schema.add("decoded_sha256", "string"))

@@ -13,8 +13,7 @@ from ratingloom.session import shared_folder
 
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    file, pattern = tokenizer_file("byte_bpe_50k.tiktoken"), pre_token_pattern()
-    return bpe.digests(bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), file, pattern), file, pattern))
+    return bpe.round_trip(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.tiktoken"), pre_token_pattern())
 
 
 def op2_ann(spark: SparkSession, sf_dir: str) -> DataFrame:

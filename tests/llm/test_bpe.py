@@ -45,8 +45,12 @@ def test_query(spark, other):
     texts = {None: "null id", 1: None, 2: "", 3: "Étion dans <|endoftext|>", 4: "word " * 30000, 5: "x" * 30000}
     rows = [(i, t, -1) for i, t in texts.items()] + [(3, texts[3], -1)]
     documents = spark.createDataFrame(rows, "doc_id long, text string, ids int")
-    found = bpe.digests(bpe.decode(bpe.encode(documents, FILE, PATTERN), FILE, PATTERN)).collect()
+    found = bpe.round_trip(documents, FILE, PATTERN).collect()
     assert len(found) == 7
+    decoded = bpe.decode(bpe.encode(documents, FILE, PATTERN), FILE, PATTERN).collect()
+    assert sorted((row.doc_id or -1, sha256(row.bytes).hexdigest(), len(row.ids)) for row in decoded) == sorted(
+        (row.doc_id or -1, row.decoded_sha256, row.n_tokens) for row in found
+    )
     for row in found:
         text = texts[row.doc_id] or ""
         expected = other.encode_ordinary(text)
@@ -57,10 +61,29 @@ def test_query(spark, other):
 
 def test_empty(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
-    assert bpe.digests(bpe.decode(bpe.encode(none, FILE, PATTERN), FILE, PATTERN)).collect() == []
+    assert bpe.round_trip(none, FILE, PATTERN).collect() == []
+    assert bpe.decode(bpe.encode(none, FILE, PATTERN), FILE, PATTERN).collect() == []
 
 
 def test_vocabulary_is_read(own):
     with open(FILE, "rb") as opened:
         token, rank = opened.readline().split()
     assert own.ranks[base64.b64decode(token)] == int(rank)
+
+
+def test_what_is_kept_is_bounded(own, other, monkeypatch):
+    with open(FILE, "rb") as opened:
+        words = bpe.Vocabulary(opened.read(), PATTERN)
+    monkeypatch.setattr(bpe, "KEPT_BYTES", 40_000)
+    for k in range(60):
+        text = " ".join(f"w{k}x{i},{i}" for i in range(20))
+        assert ids(words, text) == other.encode_ordinary(text)
+        assert len(words.kept) + len(words.before) + len(words.parts) < 600
+
+
+def test_unknown_ids_raise(own):
+    gap = bpe.Vocabulary(b"YQ== 0\nYg== 2\n", PATTERN)
+    assert gap.decode([0, 2]) == b"ab"
+    for unknown in ([1], [3], [-1]):
+        with pytest.raises(ValueError):
+            gap.decode(unknown)
