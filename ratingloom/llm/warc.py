@@ -18,16 +18,19 @@ import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from hashlib import sha256
+from urllib.parse import quote
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ratingloom.llm.shared import once
+from ratingloom.llm.shared import Written, once
 
 LEAST = 100
 ARCHIVE_BYTES = 32 << 20
+# Payloads of several pages that are known to all tasks, of about a hundred bytes each; more are joined by a shuffle.
+MOST_BROADCAST = 100_000
 GAP = 64 << 10
 SPAN = 8 << 20
 DATE = "2000-01-01T00:00:00Z"
@@ -42,26 +45,30 @@ class Archives:
     index: DataFrame
 
 
-def described(pages: DataFrame) -> DataFrame:
-    """page_id, url, html, digest, bytes and refers_to (null for responses) of every page."""
+def digested(pages: DataFrame) -> DataFrame:
+    """page_id, url, html, digest and bytes of every page."""
     html = F.coalesce(F.col("html"), F.lit(""))
     url = F.regexp_replace(F.regexp_replace(F.coalesce(F.col("url"), F.lit("")), "\r", "%0D"), "\n", "%0A")
-    every = pages.select("page_id", url.alias("url"), once(html).alias("html")).select(
+    return pages.select("page_id", url.alias("url"), once(html).alias("html")).select(
         "*", F.sha2(F.encode("html", "UTF-8"), 256).alias("digest"), F.octet_length("html").cast("long").alias("bytes")
     )
-    # Only payloads that occur more than once, so that this side stays far smaller than the pages.
-    copied = (
-        every.select("page_id", "digest", "bytes")
-        .filter(F.col("bytes") >= LEAST)
+
+
+def copies(told: DataFrame) -> DataFrame:
+    """copied, first: payloads of several pages, and the smallest id among these."""
+    return (
+        told.filter(F.col("bytes") >= LEAST)
         .groupBy(F.col("digest").alias("copied"))
         .agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n"))
         .filter("n > 1")
         .select("copied", "first")
     )
+
+
+def referring(pages: DataFrame, copied: DataFrame) -> DataFrame:
+    """`pages` with refers_to, null for responses."""
     other = F.when(~F.col("page_id").eqNullSafe(F.col("first")), F.col("first"))
-    return every.join(copied, F.col("digest") == F.col("copied"), "left").select(
-        "page_id", "url", "html", "digest", "bytes", other.alias("refers_to")
-    )
+    return pages.join(copied, F.col("digest") == F.col("copied"), "left").withColumn("refers_to", other).drop("copied", "first")
 
 
 def header() -> Column:
@@ -91,24 +98,29 @@ def header() -> Column:
 def write(pages: DataFrame, folder: str, archive_bytes: int = ARCHIVE_BYTES) -> Archives:
     """Write archives to `folder`/archives and the index to `folder`/index. `pages` needs page_id, url and html."""
     spark: SparkSession = pages.sparkSession
-    total = pages.agg(F.sum(F.octet_length("html"))).first()[0] or 0
+    written = Written(spark, "warc")
+    # What the records are made of but the payloads, which cross the network once, to their archives.
+    told = written(digested(pages).drop("html"), "pages")
+    copied = written(copies(told), "copies")
+    if copied.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST:
+        copied = F.broadcast(copied)
+    total = told.agg(F.sum("bytes")).first()[0] or 0
     count = max(spark.sparkContext.defaultParallelism, -(-total // archive_bytes))
     order = ["page_id", "url", "digest"]
-    records = described(pages).select(
-        F.pmod(F.xxhash64(*order), F.lit(count)).cast("int").alias("archive"),
-        *order,
-        header().alias("header"),
-        F.when(F.col("refers_to").isNull(), F.col("html")).otherwise(F.lit("")).alias("payload"),
-    )
-    texts = records.repartition(count, "archive").sortWithinPartitions("archive", *order)
-    texts.select("archive", F.concat("header", "payload").alias("value")).write.option("lineSep", END).option(
-        "compression", "none"
-    ).partitionBy("archive").text(f"{folder}/archives")
+
+    def records(rows: DataFrame, *more: Column) -> DataFrame:
+        archive = F.pmod(F.xxhash64(*order), F.lit(count)).cast("int").alias("archive")
+        return referring(rows, copied).select(archive, *order, header().alias("header"), "refers_to", "bytes", *more)
+
+    payload = F.when(F.col("refers_to").isNull(), F.col("html")).otherwise(F.lit(""))
+    texts = records(digested(pages), payload.alias("payload")).repartition(count, "archive")
+    texts.sortWithinPartitions("archive", *order).select("archive", F.concat("header", "payload").alias("value")).write.option(
+        "lineSep", END
+    ).option("compression", "none").partitionBy("archive").text(f"{folder}/archives")
 
     place = Window.partitionBy("archive").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    sizes = records.select(
-        "archive", *order, (F.octet_length("header") + F.octet_length("payload")).cast("long").alias("length")
-    )
+    held = F.when(F.col("refers_to").isNull(), F.col("bytes")).otherwise(F.lit(0))
+    sizes = records(told).select("archive", *order, (F.octet_length("header") + held).cast("long").alias("length"))
     ends = F.coalesce(F.sum(F.col("length") + len(END)).over(place), F.lit(0).cast("long"))
     placed = sizes.select("archive", ends.alias("offset"), "length", *order)
     if total or placed.take(1):
@@ -118,6 +130,7 @@ def write(pages: DataFrame, folder: str, archive_bytes: int = ARCHIVE_BYTES) ->
     placed.join(files, "archive").select("path", "offset", "length", *order).sortWithinPartitions(
         "path", "offset"
     ).write.parquet(f"{folder}/index")
+    written.remove()
     return Archives(folder, spark.read.schema("path string, offset long, length long, page_id long, url string, digest string").parquet(f"{folder}/index"))
 
 
@@ -134,6 +147,8 @@ def merged(ranges: list[tuple[int, int]], gap: int = GAP, span: int = SPAN) -> l
     return reads
 
 
+# Names that Spark's file systems have and pyarrow's have not.
+SCHEMES = {"s3a": "s3", "s3n": "s3"}
 HEADER = re.compile(rb"([A-Za-z-]+): (.*)")
 
 
@@ -154,18 +169,26 @@ def parsed(record: bytes) -> tuple:
     return number("WARC-Record-ID"), payload, int(fields["Payload-Length"]), digest, fields["WARC-Type"], number("WARC-Refers-To")
 
 
+def place_of(path: str) -> tuple:
+    """The file system of pyarrow and the path in it of a file that Spark names, which writes no character of it in another way."""
+    from pyarrow.fs import FileSystem, LocalFileSystem
+
+    scheme, _, inside = path.partition(":")
+    if scheme == "file" or not inside:
+        return LocalFileSystem(), "/" + (inside or path).lstrip("/")
+    return FileSystem.from_uri(f"{SCHEMES.get(scheme, scheme)}:{quote(inside, safe="/:@=")}")
+
+
 def read(index: DataFrame, with_payload: bool = True) -> DataFrame:
     """The records that `index`, or any part of one, points to. Payloads of responses are checked against their digests.
 
-    Files are opened through pyarrow, so `path` may be on any file system it knows.
+    Files are opened through pyarrow, so `path` may be on any file system it knows: local, s3 (also named s3a), gs and hdfs.
     """
 
     def run(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyarrow.fs import FileSystem
-
         for frame in frames:
             for path, some in frame.groupby("path", sort=False):
-                system, inside = FileSystem.from_uri(re.sub("^file:/+", "file:///", path))
+                system, inside = place_of(path)
                 ranges = list(zip(some.offset.tolist(), some.length.tolist(), strict=True))
                 with system.open_input_file(inside) as file:
                     for start, end, first, last in merged(ranges):

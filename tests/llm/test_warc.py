@@ -53,3 +53,28 @@ def test_merged_ranges():
 def test_empty(spark, tmp_path):
     folder = f"{tmp_path}/{uuid.uuid4().hex}"
     assert warc.read(warc.write(spark.createDataFrame([], SCHEMA), folder).index).collect() == []
+
+
+def test_more_copies_than_are_broadcast_and_a_blank_in_the_folder(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "MOST_BROADCAST", 0)
+    pages = [(k, "u", f"{k % 5} " * 100) for k in range(40)]
+    frame = spark.createDataFrame([(*page, "other", 1) for page in pages], SCHEMA)
+    archives = warc.write(frame, f"{tmp_path}/with a blank, %20 and é")
+    found = warc.read(archives.index).drop("payload").collect()
+    assert sorted((tuple(row) for row in found), key=repr) == expected(pages)
+
+
+def test_places_of_files(monkeypatch):
+    asked = []
+
+    class Known:
+        @staticmethod
+        def from_uri(uri):
+            asked.append(uri)
+            return "system", uri
+
+    monkeypatch.setattr("pyarrow.fs.FileSystem", Known)
+    assert warc.place_of("file:/a b/c")[1] == warc.place_of("file:///a b/c")[1] == warc.place_of("/a b/c")[1] == "/a b/c"
+    warc.place_of("s3a://bucket/a b/archive=1")
+    warc.place_of("hdfs://host:9000/x")
+    assert asked == ["s3://bucket/a%20b/archive=1", "hdfs://host:9000/x"]
