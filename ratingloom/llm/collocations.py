@@ -284,12 +284,12 @@ def frequent_phrases(documents: DataFrame, written: Written, least: int = LEAST,
 
     A row with k = 0 has the number of all words of a language.
     """
-    context = documents.sparkSession.sparkContext
+    context, own = documents.sparkSession.sparkContext, Written(documents.sparkSession, written.label)
     names = [f"w{k}" for k in range(1, longest + 1)]
     tables, totals = [], None
     for order in range(1, FILTERED + 1):
         sums = counted(documents, order, longest, tables).groupBy("lang", "hash").agg(F.sum("n").alias("n"))
-        sums = written(sums.filter((F.col("n") >= least) | F.col("hash").isNull()), f"hashes{order}")
+        sums = own(sums.filter((F.col("n") >= least) | F.col("hash").isNull()), f"hashes{order}")
         tables.append(context.broadcast(bits_of(sums.filter("hash IS NOT NULL").select("hash"))))
         totals = totals or sums.filter("hash IS NULL")
     sums = rolled(counted(documents, None, longest, tables), longest).filter(F.col("n") >= least)
@@ -297,7 +297,7 @@ def frequent_phrases(documents: DataFrame, written: Written, least: int = LEAST,
     phrases = sums.select("lang", F.concat_ws(" ", *names).alias("phrase"), size.alias("k"), F.col("n").alias("f"))
     every = phrases.unionByName(totals.select("lang", F.lit("").alias("phrase"), F.lit(0).alias("k"), F.col("n").alias("f")))
     found = written(every, "phrases")
-    written.remove(FILTERED)
+    own.remove()
     return found
 
 
