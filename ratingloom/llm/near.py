@@ -8,8 +8,10 @@ Forty samples a text, in ten bands of four, give the slots in which texts meet.
 a few of them, one at first and then `REPS`, by exact weighted Jaccard similarity, unless they are in their classes by now;
 these then leave the slot. Slots of one class are done. So a round is linear in the members of its slots, and no pairs within a class are made. Slots of
 up to 1 + (THOROUGH - 1) * REPS texts are thus compared in full. What is left of larger ones after `THOROUGH` rounds is joined
-exactly, by weighted prefixes: with the shingles of a text in one order for all texts, rare buckets first, two texts of the
-least similarity have a first shingle in common before either text's remaining weight falls below that share of its total.
+exactly, by weighted prefixes: with the shingles of a text in one order for all texts, two texts of the least similarity
+have a first shingle in common before either text's remaining weight falls below that share of its total. The order is that of
+the exact number of these texts that hold a shingle; what only one class holds comes first of all, as it meets nothing.
+So passages that many texts share are used only where a text has little else.
 All pairs of different classes with such a shingle are compared, unless their weights from there on rule them out. So every
 two similar texts that share a slot end in one class; only texts whose samples never meet can be missed.
 The classes are the components of the links, found by alternating star contractions over written tables.
@@ -41,7 +43,7 @@ SIMILARITY = 0.8
 BANDS, ROWS = 10, 4
 BUCKETS = 1 << 16
 IDF_SHARE = 0.25
-THOROUGH = 4
+THOROUGH = 2
 # Texts of a slot that the others are compared with in each round but the first.
 REPS = 8
 CHUNK_WORDS = 1 << 15
@@ -185,11 +187,8 @@ def similar(pairs: DataFrame, factor: np.ndarray, least: float) -> DataFrame:
     return in_arrow(pairs, run, "key binary, rep binary")
 
 
-def prefixes(texts: DataFrame, factor: np.ndarray, least: float) -> DataFrame:
-    """(key, shingle, rest, total) of the first shingles of every text, up to where less than `least` of its weight is left.
-
-    `rest` is the weight of the shingle and all after it.
-    """
+def weighted(texts: DataFrame, factor: np.ndarray) -> DataFrame:
+    """(key, class, shingle, weight, total) of every shingle of `texts` (key, class, text); `total` is the weight of the text."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -197,38 +196,60 @@ def prefixes(texts: DataFrame, factor: np.ndarray, least: float) -> DataFrame:
                 text, name, count = bags(words, length)
                 if not len(text):
                     continue
-                each = factor[bucket(name).astype(np.int64)]
-                order = np.lexsort((name, -each, text))
-                text, name, weight = text[order], name[order], (count * each)[order]
+                weight = count * factor[bucket(name).astype(np.int64)]
                 first = np.flatnonzero(np.r_[True, text[1:] != text[:-1]])
-                size = np.diff(np.r_[first, len(text)])
-                total = np.repeat(np.add.reduceat(weight, first), size)
-                before = np.cumsum(weight) - weight
-                rest = total - (before - np.repeat(before[first], size))
-                # A little less, as sums are rounded.
-                kept = np.flatnonzero(rest >= least * total * (1 - 1e-9))
-                keys = batch.column("key").take(pa.array(at + text[kept]))
-                columns = [keys, pa.array(name[kept].view(np.int64)), pa.array(rest[kept]), pa.array(total[kept])]
-                yield pa.RecordBatch.from_arrays(columns, names=["key", "shingle", "rest", "total"])
+                total = np.repeat(np.add.reduceat(weight, first), np.diff(np.r_[first, len(text)]))
+                rows = pa.array(at + text)
+                columns = [batch.column("key").take(rows), batch.column("class").take(rows), pa.array(name.view(np.int64))]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(weight), pa.array(total)], names=names)
+
+    names = ["key", "class", "shingle", "weight", "total"]
+    rows = texts.select("key", "class", hashes_of(F.col("text")).alias("words"))
+    return in_arrow(rows, run, "key binary, class binary, shingle long, weight double, total double")
+
+
+def prefixes(texts: DataFrame, factor: np.ndarray, least: float, written: Written) -> DataFrame:
+    """(key, class, shingle, rest, total) of the shingles of every text by which it can meet a similar one of another class.
 
-    rows = texts.select("key", hashes_of(F.col("text")).alias("words"))
-    return in_arrow(rows, run, "key binary, shingle long, rest double, total double")
+    Shingles that only one class holds come first, then those of few texts, so that what many texts share is used where a
+    text has little else. `rest` is the weight of the shingle and all after it; there are shingles up to where less than
+    `least` of a text's weight is left.
+    """
+    bag = written(weighted(texts, factor), "bags")
+    held = bag.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("class").alias("low"), F.max("class").alias("high"))
+    mixed = written(held.filter("low != high").select("shingle", "n"), "mixed")
+    # What one class holds alone meets nothing; it takes its share of the weight all the same, as the first of all.
+    after = Window.partitionBy("key").orderBy(F.desc("n"), F.desc("shingle")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = bag.join(mixed, "shingle").withColumn("rest", F.sum("weight").over(after))
+    # A little less, as sums are rounded.
+    kept = rows.filter(F.col("rest") >= F.col("total") * (least * (1 - 1e-9)))
+    return kept.select("key", "class", "shingle", "rest", "total")
 
 
 def possible(texts: DataFrame, label: DataFrame, factor: np.ndarray, least: float, written: Written) -> DataFrame:
     """(key, rep) of all pairs of different classes among `texts` (key, text) that can be similar, each pair once."""
-    rows = prefixes(texts, factor, least).join(label, "key", "left")
-    rows = written(rows.select("key", "shingle", "rest", "total", F.coalesce("label", "key").alias("class")), "prefixes")
-    # Of shingles in several classes only, and from pairs of classes, so that no pairs within a class are made.
-    sets = rows.select("shingle", "class").distinct()
-    mixed = sets.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("shingle")
-    rows = written(rows.join(mixed, "shingle", "left_semi"), "mixed")
-    sets = rows.select("shingle", "class").distinct()
-    of = sets.join(sets.select("shingle", F.col("class").alias("other_class")), "shingle").filter("class < other_class")
+    told = texts.join(label, "key", "left").select("key", F.coalesce("label", "key").alias("class"), "text")
+    rows = written(prefixes(told, factor, least, written), "prefixes")
+    # From pairs of classes, so that no pairs within a class are made. From the first common shingle on, both texts have to hold
+    # what similar texts have in common; no two of the classes can if the best of each cannot.
+    common = least / (1 + least) * (1 - 1e-9)
+    sets = rows.groupBy("shingle", "class").agg(
+        F.max("rest").alias("most"), F.min("total").alias("low"), F.max("total").alias("high")
+    )
+    others = sets.select("shingle", *(F.col(c).alias(f"other_{c}") for c in ("class", "most", "low", "high")))
+    of = sets.join(others, "shingle").filter(
+        (F.col("class") < F.col("other_class"))
+        & (F.least("most", "other_most") >= (F.col("low") + F.col("other_low")) * common)
+        & (F.col("high") >= F.col("other_low") * (least * (1 - 1e-9)))
+        & (F.col("other_high") >= F.col("low") * (least * (1 - 1e-9)))
+    )
+    of = of.select("shingle", "class", "other_class", "other_most", "other_low")
+    mine = of.join(rows, ["shingle", "class"]).filter(
+        F.least("rest", "other_most") >= (F.col("total") + F.col("other_low")) * common
+    )
     other = rows.select("shingle", *(F.col(c).alias(f"other_{c}") for c in ("class", "key", "rest", "total")))
-    # From the first common shingle on, both have to hold what similar texts have in common.
-    enough = F.least("rest", "other_rest") >= (F.col("total") + F.col("other_total")) * (least / (1 + least) * (1 - 1e-9))
-    pairs = of.join(rows, ["shingle", "class"]).join(other, ["shingle", "other_class"]).filter(enough)
+    enough = F.least("rest", "other_rest") >= (F.col("total") + F.col("other_total")) * common
+    pairs = mine.join(other, ["shingle", "other_class"]).filter(enough)
     return pairs.select("key", F.col("other_key").alias("rep")).distinct()
 
 
@@ -288,22 +309,19 @@ def labels(documents: DataFrame, written: Written, least: float = SIMILARITY) ->
         # The smallest key first, which is the same in most slots of a class, then several in an order of each slot.
         order = [F.xxhash64("slot", "key", F.lit(turn))] if turn else []
         place = F.row_number().over(Window.partitionBy("slot").orderBy(*order, "key"))
-        reps = left.withColumn("place", place).filter(F.col("place") <= (REPS if turn else 1))
-        reps = reps.select("slot", F.col("key").alias("rep"))
-        others = label.select(F.col("key").alias("rep"), F.col("label").alias("rep_label"))
-        told = left.join(reps, "slot").join(label, "key", "left").join(others, "rep", "left")
-        apart = F.coalesce("label", "key") != F.coalesce("rep_label", "rep")
-        pairs = written(told.select("slot", "key", "rep", apart.alias("apart")), "pairs")
-        if pairs.isEmpty():
+        told = left.join(label, "key", "left").select("slot", "key", F.coalesce("label", "key").alias("class"))
+        reps = told.withColumn("place", place).filter(F.col("place") <= (REPS if turn else 1))
+        reps = written(reps.select("slot", F.col("key").alias("rep"), F.col("class").alias("rep_class")), "reps")
+        if reps.isEmpty():
             return label
-        asked = pairs.filter("apart").select("key", "rep").distinct()
-        links, label = linked(asked, links, label)
-        after = pairs.join(label, "key", "left").select(
-            "slot", "key", "rep", F.coalesce("label", "key").alias("class")
-        )
-        # The compared ones leave.
-        after = after.groupBy("slot", "key").agg(F.min("class").alias("class"), F.bool_or(F.expr("key = rep")).alias("gone"))
-        after = written(after.filter("NOT gone").select("slot", "key", "class"), "after")
+        pairs = told.join(reps, "slot").filter("class != rep_class")
+        asked = written(pairs.select("key", "rep").distinct(), "pairs")
+        if not asked.isEmpty():
+            links, label = linked(asked, links, label)
+        # Those that the others were compared with leave.
+        met = reps.select("slot", F.col("rep").alias("key"))
+        after = left.join(met, ["slot", "key"], "left_anti").join(label, "key", "left")
+        after = written(after.select("slot", "key", F.coalesce("label", "key").alias("class")), "after")
         open_ = after.groupBy("slot").agg(F.min("class").alias("low"), F.max("class").alias("high")).filter("low != high")
         left = written(after.join(open_, "slot", "left_semi").select("key", "slot"), "left")
     rest = held.join(left.select("key").distinct(), "key", "left_semi")
@@ -313,11 +331,13 @@ def labels(documents: DataFrame, written: Written, least: float = SIMILARITY) ->
 
 def classes(documents: DataFrame, written: Written, least: float = SIMILARITY) -> DataFrame:
     """One row per document: doc_id, `key` of its text, and class_id. `documents` needs doc_id and text."""
-    label = labels(documents.select("doc_id", "text"), written, least)
+    own = Written(documents.sparkSession, written.label)
+    label = labels(documents.select("doc_id", "text"), own, least)
     rows = documents.select("doc_id", key_of(F.col("text")).alias("key"))
     texts = rows.groupBy("key").agg(F.min("doc_id").alias("least"))
     told = texts.join(label, "key", "left").select("key", "least", F.coalesce("label", "key").alias("label"))
     told = written(told, "told")
+    own.remove()
     of_label = told.groupBy("label").agg(F.min("least").alias("class_id"))
     of_key = told.join(of_label, "label").select("key", "class_id")
     return rows.join(of_key, "key").select("doc_id", "key", "class_id")
