@@ -3,11 +3,13 @@
 Native: DataFrame functions only.
 
 Candidates are the matches of three base patterns and long mixed tokens. Hashes of their values are counted over the whole
-corpus by distinct repository and owner. A value that more than two owners and more than half of all hold is a copied
-example; any other that looks random is taken for live. Base matches are always reported, with their counts; tokens only if live.
+corpus by distinct repository and owner; copies of one text count as one holder, whoever has them. A value is a copied example
+when more than `MAX_OWNERS` owners hold it, or more than `FEW_OWNERS` in more than `MAX_REPOSITORIES` repositories; any other
+that looks random is taken for live. What unrelated owners hold does not matter, so the verdict on a value does not change
+with the rest of the corpus. Base matches are always reported, with their counts; tokens only if live and in no base match.
 
 Defined cases: a null text counts as empty; a null owner or repository is one of its own; repeated rows are scanned each,
-and count once as owners; empty tables give empty results. Spans are code points, end exclusive. Only the named columns are
+and count once as holders; empty tables give empty results. Spans are code points, end exclusive. Only the named columns are
 read, whatever else there is.
 """
 
@@ -15,6 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ratingloom.llm.shared import Written, once
 
@@ -28,10 +31,12 @@ TOKEN = r"(?<![A-Za-z0-9_-])(?=[A-Za-z_-]*[0-9])(?=[0-9A-Z_-]*[a-z])(?=[0-9a-z_-
 KINDS = (("assign", ASSIGN), ("access", ACCESS), ("hex", HEX), ("token", TOKEN))
 BASE = ("assign", "access", "hex")
 PLACEHOLDER = r"(?i)example|sample|changeme|placeholder|your[_-]|xxxx|(.)\1{7}"
-# A value is a copied example when more owners hold it than this, and more than this share of all owners: one copied
-# document makes no example of a live secret.
-MAX_OWNERS = 2
-OWNER_SHARE = 0.5
+# Ours: a team shares a credential among few owners, however many repositories they have; what more than this many write in
+# different texts is public. Some owners who repeat it in very many repositories spread an example, too.
+MAX_OWNERS = 5
+FEW_OWNERS = 2
+MAX_REPOSITORIES = 50
+CHUNK = 4_096  # code points
 BLOCK = 512
 SPAN = "array<struct<at:int,value:string>>"
 
@@ -83,6 +88,7 @@ def candidates(documents: DataFrame) -> DataFrame:
         "doc_id",
         "owner",
         "repository",
+        F.xxhash64(text).alias("copy"),
         once(F.struct(*(pieces(text, pattern).alias(kind) for kind, pattern in KINDS))).alias("found"),
     )
 
@@ -108,17 +114,28 @@ def candidates(documents: DataFrame) -> DataFrame:
         "doc_id",
         "owner",
         "repository",
+        "copy",
         once(F.struct(*(described(k, name).alias(name) for k, (name, _) in enumerate(KINDS)))).alias("s"),
     )
-    base = F.concat(*(F.col(f"s.{name}") for name in BASE))
-    outside = F.filter(
-        F.col("s.token"),
-        lambda t: t["random"] & ~F.exists(base, lambda b: (b["start"] <= t["start"]) & (t["end"] <= b["end"])),
-    )
-    return every.select("doc_id", "owner", "repository", F.concat(base, outside).alias("spans"))
+    tokens = F.filter(F.col("s.token"), lambda t: t["random"])
+    return every.select("doc_id", "owner", "repository", "copy", F.concat(*(F.col(f"s.{name}") for name in BASE), tokens).alias("spans"))
+
 
+def uncovered(each: DataFrame) -> DataFrame:
+    """The spans `each` (row, kind, start, end and more) without tokens that lie in a base match, by one sweep over each row."""
+    sweep = Window.partitionBy("row").orderBy("start").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    reached = F.max(F.when(F.col("kind") < len(BASE), F.col("end"))).over(sweep)
+    inside = (F.col("kind") >= len(BASE)) & F.coalesce(F.col("end") <= F.col("reached"), F.lit(False))
+    return each.withColumn("reached", reached).filter(~inside).drop("reached")
 
-def scan(documents: DataFrame, written: Written, max_owners: int = MAX_OWNERS, share: float = OWNER_SHARE) -> DataFrame:
+
+def scan(
+    documents: DataFrame,
+    written: Written,
+    max_owners: int = MAX_OWNERS,
+    few_owners: int = FEW_OWNERS,
+    max_repositories: int = MAX_REPOSITORIES,
+) -> DataFrame:
     """Every document with its spans: `spans` is an array of (start, kind, end, owners, repositories, live, copied), sorted.
 
     `documents` needs doc_id, text, owner and repository. `written` keeps the candidates, which are small, so that the
@@ -131,15 +148,14 @@ def scan(documents: DataFrame, written: Written, max_owners: int = MAX_OWNERS, s
         F.coalesce(F.col("repository").cast("string"), F.lit("\0")).alias("repository"),
     )
     rows = written(candidates(named).withColumn("row", F.monotonically_increasing_id()), "candidates")
-    each = rows.select("row", "owner", "repository", F.explode("spans").alias("span")).select(
-        "row", "owner", "repository", "span.*"
-    )
-    # Distinct first, so that a value a third of all documents hold is one row per repository and task.
-    holders = each.select("hash", "owner", "repository").groupBy("hash", "owner", "repository").agg(F.lit(1).alias("one"))
+    spans_of = rows.select("row", "owner", "repository", "copy", F.explode("spans").alias("span"))
+    each = written(uncovered(spans_of.select("row", "owner", "repository", "copy", "span.*")), "spans")
+    # Distinct first, so that a value a third of all documents hold is one row per text and task.
+    holders = each.groupBy("hash", "copy").agg(F.min(F.struct("owner", "repository")).alias("holder"))
+    holders = holders.select("hash", "holder.owner", "holder.repository").distinct()
     owners = holders.groupBy("hash", "owner").agg(F.count(F.lit(1)).alias("n"))
     held = owners.groupBy("hash").agg(F.count(F.lit(1)).alias("owners"), F.sum("n").alias("repositories"))
-    limit = max(max_owners, share * rows.select("owner").distinct().count())
-    copied = F.col("owners") > limit
+    copied = (F.col("owners") > max_owners) | ((F.col("owners") > few_owners) & (F.col("repositories") > max_repositories))
     live = F.col("random") & ~copied
     judged = (
         each.join(held, "hash")
@@ -165,21 +181,38 @@ def joined(found: Column) -> Column:
     )
 
 
-def masked(text: Column, found: Column, mask: str = "[SECRET]") -> Column:
-    """`text` with every span, or group of overlapping spans, replaced by `mask`."""
-    state = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
-    return F.aggregate(
-        found,
-        state,
-        lambda s, x: F.when(
-            x["start"] >= s["at"],
-            F.struct(
-                x["end"].alias("at"),
-                F.concat(s["out"], F.array(text.substr(s["at"] + 1, x["start"] - s["at"]), F.lit(mask))).alias("out"),
-            ),
-        ).otherwise(F.struct(F.greatest(s["at"], x["end"]).alias("at"), s["out"].alias("out"))),
-        lambda s: F.concat(F.array_join(s["out"], ""), text.substr(s["at"] + 1, F.length(text))),
-    )
+def grouped(found: DataFrame, key: str) -> DataFrame:
+    """`key` and `groups`, the sorted (start, end) of its spans, those that overlap being one. `found` has a row per span."""
+    order = Window.partitionBy(key).orderBy("start", "end")
+    before = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    first = F.when(F.col("start") < F.col("before"), 0).otherwise(1)
+    counted = found.select(key, "start", "end").withColumn("before", before).withColumn("group", F.sum(first).over(order))
+    groups = counted.groupBy(key, "group").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    return groups.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("groups"))
+
+
+def chunked(text: Column) -> Column:
+    """The text in chunks of CHUNK code points."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0))
+
+
+def masked(chunks: Column, groups: Column, mask: str = "[SECRET]") -> Column:
+    """The text in `chunks`, a column of its own, with every group replaced by `mask`. Time grows with text and groups."""
+
+    def between(start: Column, end: Column) -> Column:
+        first, last = (F.floor(at / CHUNK).cast("int") for at in (start, end))
+        head = F.coalesce(F.get(chunks, first), F.lit(""))
+        inner = F.array_join(F.slice(chunks, first + 2, F.greatest(last - first - 1, F.lit(0))), "")
+        tail = F.coalesce(F.get(chunks, last), F.lit("")).substr(F.lit(1), end - last * CHUNK)
+        within = head.substr(start - first * CHUNK + 1, end - start)
+        return F.when(first == last, within).otherwise(
+            F.concat(head.substr(start - first * CHUNK + 1, F.lit(CHUNK)), inner, tail)
+        )
+
+    ended = lambda i: F.coalesce(F.get(groups, i - 1)["end"], F.lit(0))
+    parts = F.transform(groups, lambda group, i: F.concat(between(ended(i), group["start"]), F.lit(mask)))
+    size = F.greatest(F.size(chunks) - 1, F.lit(0)) * CHUNK + F.coalesce(F.length(F.get(chunks, F.size(chunks) - 1)), F.lit(0))
+    return F.concat(F.array_join(parts, ""), between(ended(F.size(groups)), size))
 
 
 def counts(found: DataFrame) -> DataFrame:

@@ -3,7 +3,8 @@
 import math
 import random
 import re
-from collections import Counter
+import time
+from collections import Counter, defaultdict
 from hashlib import sha256
 
 import corpus_pipeline
@@ -86,10 +87,10 @@ def test_base_spans_of_secret_scans(spark):
 
 def test_copied_tokens_are_not_live(spark):
     shared, own = "aB3" * 8 + "x", "Q7r" + "kLm92" * 5
-    rows = [(i, f"see {shared} here", f"o{i}", "r") for i in range(3)] + [(9, f"see {own} here", "o1", "r")] * 2
+    rows = [(i, f"{i} see {shared} here", f"o{i}", "r") for i in range(6)] + [(9, f"see {own} here", "o1", "r")] * 2
     table = spark.createDataFrame(rows, "doc_id long, text string, owner string, repository string")
     found = secret_scan.counts(secret_scan.scan(table, Written(spark, "t"))).collect()
-    assert sorted((r.doc_id, r.spans) for r in found) == [(0, ""), (1, ""), (2, ""), *[(9, f"token:4:{4 + len(own)}")] * 2]
+    assert sorted((r.doc_id, r.spans) for r in found) == [*((i, "") for i in range(6)), *[(9, f"token:4:{4 + len(own)}")] * 2]
     assert secret_scan.scan(table.limit(0), Written(spark, "t")).collect() == []
 
 
@@ -108,6 +109,79 @@ def test_a_secret_in_few_of_many_sources_is_masked(spark):
     assert sorted((r.doc_id, r.n_live, r.n_copied) for r in found) == [(0, 1, 0), (1, 1, 0), (9, 0, 0)]
 
 
+def test_owners_and_repositories_of_thousands(spark):
+    """Against a plain count over distinct texts; what other owners hold changes nothing."""
+    choose = random.Random(6)
+    values = [f"Qx{k}" + "".join(choose.choices("abcXYZ0123456789", k=22)) for k in range(12)]
+    rows = [(f"{i} password={values[0]}", f"o{i}", f"r{i}") for i in range(1000)]
+    rows += [("one text, password=" + values[1], f"o{i}", f"r{i}") for i in range(200)]
+    for k, (owners, repositories) in enumerate([(1, 1), (1, 120), (2, 120), (3, 50), (3, 51), (5, 5), (6, 6), (5, 50), (5, 60)], 2):
+        rows += [(f"{i} token: {values[k]}", f"o{i % owners}", f"o{i % owners}/{i}") for i in range(repositories)]
+    rows += [(f"{i} secret={values[11]}", None, None) for i in range(9)]
+    others = [(f"words {i}", f"o{i}", f"r{i}") for i in range(3000)]
+    holders = defaultdict(dict)
+    for text, owner, repository in sorted(rows, key=repr):
+        for value in values:
+            if value in text:
+                holder = holders[value].setdefault(text, (owner or "", repository or ""))
+                holders[value][text] = min(holder, (owner or "", repository or ""))
+    expected = {}
+    for value, texts in holders.items():
+        owners, repositories = len({o for o, _ in texts.values()}), len(set(texts.values()))
+        expected[value] = (owners, repositories, owners > 5 or (owners > 2 and repositories > 50))
+    assert [expected[value][2] for value in values] == [True, False, False, False, False, False, True, False, True, False, True, False]
+    for more in ([], others):
+        every = [(i, *row) for i, row in enumerate(rows + more)]
+        table = spark.createDataFrame(every, "doc_id long, text string, owner string, repository string").repartition(5)
+        for row in secret_scan.scan(table, Written(spark, "t")).collect():
+            text = every[row.doc_id][1]
+            assert [(s.owners, s.repositories, s.copied) for s in row.spans] == [expected[v] for v in values if v in text]
+
+
+def plain_mask(text, spans):
+    out, at = [], 0
+    for start, end in sorted(spans):
+        if start >= at:
+            out += [text[at:start], "[SECRET]"]
+            at = end
+        at = max(at, end)
+    return "".join([*out, text[at:]])
+
+
+def test_masks_against_a_plain_version(spark, monkeypatch):
+    choose = random.Random(8)
+    monkeypatch.setattr(secret_scan, "CHUNK", 7)
+    rows, spans = [], []
+    for i in range(60):
+        text = "".join(choose.choices("ab\n\r é\U0001f600", k=choose.choice([1, 6, 7, 8, 14, 40, 90])))
+        rows.append((i, text))
+        for _ in range(choose.randint(1, 6)):
+            start = choose.randint(0, len(text))
+            spans.append((i, start, min(len(text), start + choose.choice([0, 1, 3, 7, 20]))))
+    groups = secret_scan.grouped(spark.createDataFrame(spans, "doc_id long, start int, end int").distinct(), "doc_id")
+    texts = spark.createDataFrame(rows, "doc_id long, text string").join(groups, "doc_id")
+    cut = texts.select("doc_id", "groups", secret_scan.once(secret_scan.chunked(secret_scan.F.col("text"))).alias("chunks"))
+    found = cut.select("doc_id", secret_scan.masked(secret_scan.F.col("chunks"), secret_scan.F.col("groups")).alias("text"))
+    for row in found.collect():
+        own = {(start, end) for i, start, end in spans if i == row.doc_id}
+        assert row.text == plain_mask(rows[row.doc_id][1], own)
+
+
+def test_very_many_spans_in_one_text(spark):
+    choose = random.Random(9)
+    secret = lambda: "".join(choose.choices("abcYZ0123456789", k=24)) + "aB1"
+    parts = []
+    for _ in range(16_000):
+        parts += [f"password={secret()}", secret()]
+    text = " é ".join(parts)
+    docs = spark.createDataFrame([(1, text, "en", "s", 1)], "doc_id long, text string, lang string, source string, n_chars long")
+    docs = Written(spark, "t")(docs, "docs")
+    started = time.time()
+    row = corpus_pipeline.secrets(spark, docs, "").first()
+    assert time.time() - started < 60
+    assert row.text == " é ".join(["[SECRET]"] * 32_000)
+
+
 def plain_scores(texts, trusted, buckets, threshold):
     """(score, kept) of every text, from counters over the buckets of its words and pairs of words."""
 
