@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratingloom.llm import near, packing, quality, secret_scan, suffixes
-from ratingloom.llm.shared import Written, table, tokenizer_file
+from ratingloom.llm.shared import Written, once, table, tokenizer_file
 
 
 def with_text(columns: list[str], kept: dict) -> list:
@@ -39,7 +39,7 @@ def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents; secrets are masked unless most owners hold the same, which makes them copied examples."""
+    """All documents; secrets are masked unless so many owners hold the same that they are copied examples."""
     told = docs.select(
         F.struct("doc_id", F.xxhash64("text").alias("copy")).alias("doc_id"),
         "text",
@@ -53,17 +53,23 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         .filter(F.size("spans") > 0)
         .groupBy("doc_id")
         .agg(F.first("spans").alias("spans"))
-        .select(F.col("doc_id.doc_id").alias("in_id"), F.col("doc_id.copy").alias("in_copy"), "spans")
+        .select("doc_id", F.explode("spans").alias("span"))
+        .select("doc_id", "span.start", "span.end")
     )
-    rows = docs.select(F.struct(*(F.col(f"`{name}`") for name in docs.columns)).alias("row"))
-    same = F.col("row.doc_id").eqNullSafe(F.col("in_id")) & (F.xxhash64("row.text") == F.col("in_copy"))
-    text = F.when(F.col("spans").isNull(), F.col("row.text")).otherwise(
-        secret_scan.masked(F.col("row.text"), F.col("spans"))
+    groups = secret_scan.grouped(found, "doc_id").select(
+        F.col("doc_id.doc_id").alias("in_id"), F.col("doc_id.copy").alias("in_copy"), "groups"
     )
-    joined = rows.join(found, same, "left").select("row", text.alias("masked"))
-    kept = {"text": F.col("masked"), "n_chars": F.length("masked").cast("long")}
-    return joined.select(*with_text(docs.columns, kept)).select(
-        *(F.col(f"`{name}`").cast(docs.schema[name].dataType) for name in docs.columns)
+    # By other names, so that none can clash.
+    place = {name: f"column{k}" for k, name in enumerate(docs.columns)}
+    rows, text = docs.toDF(*place.values()), F.col(place["text"])
+    same = F.col(place["doc_id"]).eqNullSafe(F.col("in_id")) & (F.xxhash64(text) == F.col("in_copy"))
+    chunks = F.when(F.col("groups").isNotNull(), secret_scan.chunked(text))
+    joined = rows.join(groups, same, "left").select(*place.values(), "groups", once(chunks).alias("chunks"))
+    masked = F.when(F.col("groups").isNull(), text).otherwise(secret_scan.masked(F.col("chunks"), F.col("groups")))
+    joined = joined.select(*place.values(), once(masked).alias("masked"))
+    kept = {"text": F.col("masked"), "n_chars": F.length("masked")}
+    return joined.select(
+        *(kept.get(name, F.col(place[name])).cast(docs.schema[name].dataType).alias(name) for name in docs.columns)
     )
 
 
@@ -87,4 +93,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, written = table(spark, sf_dir, "documents"), Written(spark, "pipeline")
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), name)
+        written.remove(len(written.paths) - 1)  # what the stage has read
     return STAGES[-1][1](spark, docs, sf_dir)
