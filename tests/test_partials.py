@@ -6,7 +6,6 @@ import statistics
 
 import pytest
 from conftest import rows_of
-from pyspark.sql import functions as F
 
 from ratingloom import schemas
 from ratingloom.operators import partials
