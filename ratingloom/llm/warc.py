@@ -21,11 +21,13 @@ from hashlib import sha256
 from urllib.parse import quote
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ratingloom.llm.shared import Written, once
+from ratingloom.llm.shared import Written, in_arrow, once
 
 LEAST = 100
 ARCHIVE_BYTES = 32 << 20
@@ -49,7 +51,8 @@ def digested(pages: DataFrame) -> DataFrame:
     """page_id, url, html, digest and bytes of every page."""
     html = F.coalesce(F.col("html"), F.lit(""))
     url = F.regexp_replace(F.regexp_replace(F.coalesce(F.col("url"), F.lit("")), "\r", "%0D"), "\n", "%0A")
-    return pages.select("page_id", url.alias("url"), once(html).alias("html")).select(
+    page = F.col("page_id").cast("long").alias("page_id")
+    return pages.select(page, url.alias("url"), once(html).alias("html")).select(
         "*", F.sha2(F.encode("html", "UTF-8"), 256).alias("digest"), F.octet_length("html").cast("long").alias("bytes")
     )
 
@@ -95,11 +98,41 @@ def header() -> Column:
     )
 
 
+PACKED = "archive int, page_id long, url string, digest string, header string, bytes long, payload binary"
+
+
+def compressed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Payloads as Zstandard frames, and in `bytes` how long they are."""
+    for batch in batches:
+        payload = batch.column("payload")
+        sizes = pc.binary_length(payload).cast(pa.int64())
+        frames = pa.array([pa.compress(one.as_buffer(), "zstd", asbytes=True) for one in payload], pa.binary())
+        yield pa.RecordBatch.from_arrays([*(batch.column(name) for name in NAMES[:-2]), sizes, frames], names=NAMES)
+
+
+def decompressed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The payloads again, in parts that stay far below what a column holds."""
+    for batch in batches:
+        at, sizes = 0, batch.column("bytes").to_pylist()
+        while at < len(sizes):
+            end, held = at, 0
+            while end < len(sizes) and (end == at or held + sizes[end] <= SPAN):
+                held += sizes[end]
+                end += 1
+            some = batch.slice(at, end - at)
+            texts = [pa.decompress(one.as_buffer(), n, "zstd", asbytes=True) for one, n in zip(some.column("payload"), sizes[at:end], strict=True)]
+            yield pa.RecordBatch.from_arrays([*(some.column(name) for name in NAMES[:-1]), pa.array(texts, pa.binary())], names=NAMES)
+            at = end
+
+
+NAMES = [part.split(" ")[0] for part in PACKED.split(", ")]
+
+
 def write(pages: DataFrame, folder: str, archive_bytes: int = ARCHIVE_BYTES) -> Archives:
     """Write archives to `folder`/archives and the index to `folder`/index. `pages` needs page_id, url and html."""
     spark: SparkSession = pages.sparkSession
     written = Written(spark, "warc")
-    # What the records are made of but the payloads, which cross the network once, to their archives.
+    # What the records are made of but the payloads, which cross the network once, compressed, to their archives.
     told = written(digested(pages).drop("html"), "pages")
     copied = written(copies(told), "copies")
     if copied.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST:
@@ -113,7 +146,9 @@ def write(pages: DataFrame, folder: str, archive_bytes: int = ARCHIVE_BYTES) ->
         return referring(rows, copied).select(archive, *order, header().alias("header"), "refers_to", "bytes", *more)
 
     payload = F.when(F.col("refers_to").isNull(), F.col("html")).otherwise(F.lit(""))
-    texts = records(digested(pages), payload.alias("payload")).repartition(count, "archive")
+    packed = in_arrow(records(digested(pages), F.encode(payload, "UTF-8").alias("payload")), compressed, PACKED)
+    texts = in_arrow(packed.repartition(count, "archive"), decompressed, PACKED)
+    texts = texts.withColumn("payload", F.decode("payload", "UTF-8"))
     texts.sortWithinPartitions("archive", *order).select("archive", F.concat("header", "payload").alias("value")).write.option(
         "lineSep", END
     ).option("compression", "none").partitionBy("archive").text(f"{folder}/archives")
