@@ -98,22 +98,23 @@ def header() -> Column:
     )
 
 
-PACKED = "archive int, page_id long, url string, digest string, header string, bytes long, payload binary"
+PACKED = "archive int, page_id long, url string, digest string, refers_to long, bytes long, size long, payload binary"
 
 
 def compressed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Payloads as Zstandard frames, and in `bytes` how long they are."""
+    """Payloads as Zstandard frames, and in `size` how long they are."""
+    codec = pa.Codec("zstd", compression_level=9)
     for batch in batches:
         payload = batch.column("payload")
         sizes = pc.binary_length(payload).cast(pa.int64())
-        frames = pa.array([pa.compress(one.as_buffer(), "zstd", asbytes=True) for one in payload], pa.binary())
+        frames = pa.array([codec.compress(one.as_buffer(), asbytes=True) for one in payload], pa.binary())
         yield pa.RecordBatch.from_arrays([*(batch.column(name) for name in NAMES[:-2]), sizes, frames], names=NAMES)
 
 
 def decompressed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The payloads again, in parts that stay far below what a column holds."""
     for batch in batches:
-        at, sizes = 0, batch.column("bytes").to_pylist()
+        at, sizes = 0, batch.column("size").to_pylist()
         while at < len(sizes):
             end, held = at, 0
             while end < len(sizes) and (end == at or held + sizes[end] <= SPAN):
@@ -143,19 +144,19 @@ def write(pages: DataFrame, folder: str, archive_bytes: int = ARCHIVE_BYTES) ->
 
     def records(rows: DataFrame, *more: Column) -> DataFrame:
         archive = F.pmod(F.xxhash64(*order), F.lit(count)).cast("int").alias("archive")
-        return referring(rows, copied).select(archive, *order, header().alias("header"), "refers_to", "bytes", *more)
+        return referring(rows, copied).select(archive, *order, "refers_to", "bytes", *more)
 
     payload = F.when(F.col("refers_to").isNull(), F.col("html")).otherwise(F.lit(""))
-    packed = in_arrow(records(digested(pages), F.encode(payload, "UTF-8").alias("payload")), compressed, PACKED)
-    texts = in_arrow(packed.repartition(count, "archive"), decompressed, PACKED)
-    texts = texts.withColumn("payload", F.decode("payload", "UTF-8"))
+    held = records(digested(pages), F.lit(0).cast("long").alias("size"), F.encode(payload, "UTF-8").alias("payload"))
+    packed = in_arrow(held, compressed, PACKED).repartition(count, "archive")
+    texts = in_arrow(packed, decompressed, PACKED).select("archive", *order, header().alias("header"), F.decode("payload", "UTF-8").alias("payload"))
     texts.sortWithinPartitions("archive", *order).select("archive", F.concat("header", "payload").alias("value")).write.option(
         "lineSep", END
     ).option("compression", "none").partitionBy("archive").text(f"{folder}/archives")
 
     place = Window.partitionBy("archive").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     held = F.when(F.col("refers_to").isNull(), F.col("bytes")).otherwise(F.lit(0))
-    sizes = records(told).select("archive", *order, (F.octet_length("header") + held).cast("long").alias("length"))
+    sizes = records(told).select("archive", *order, (F.octet_length(header()) + held).cast("long").alias("length"))
     ends = F.coalesce(F.sum(F.col("length") + len(END)).over(place), F.lit(0).cast("long"))
     placed = sizes.select("archive", ends.alias("offset"), "length", *order)
     if total or placed.take(1):
