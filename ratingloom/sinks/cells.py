@@ -17,11 +17,13 @@ from pyspark.sql import functions as F
 from ratingloom import schemas
 from ratingloom.fixed_values import CELL_TIME_TO_LIVE_MS
 from ratingloom.operators.cells import CELL_BUCKETS, cell_bucket, first_day, retained_cells, version_day
-from ratingloom.session import folder_bytes, remove_folder
+from ratingloom.session import folder_bytes, remove_folder, setting
 from ratingloom.sinks.batches import batch_folder, numbered
 
 
 FILE_BYTES = 128 << 20
+# What a task shuffles in to sort and write; cells are compressed there and take 10 to 20 times as much in memory.
+SORTED_BYTES = 16 << 20
 
 
 def _level(path: str, level: str) -> str:
@@ -31,25 +33,31 @@ def _level(path: str, level: str) -> str:
 def _write(cells: DataFrame, folder: str, split: int, buckets: int) -> None:
     names = [name for name in schemas.CELL_COLUMNS if name in cells.columns]
     day, bucket = version_day(F.col("version_ts")), cell_bucket(F.col("row_key"), buckets)
-    placed = cells.select(*names, day.alias("day"), bucket.alias("bucket"))
-    dealt: list[Column] = [F.col("bucket")]
-    if split > 1:
-        dealt.append(F.pmod(F.xxhash64("row_key", "family", "qualifier", "version_ts"), F.lit(split)))
-    (
-        placed.repartition(*dealt)
+    # The cells of a put stay together, so that in shuffle and file its key and identity are next to their copies.
+    put = [name for name in ("row_key", "version_ts", "put_id") if name in names]
+    part = F.pmod(F.xxhash64(*put), F.lit(split)).alias("part")
+    placed = cells.select(*names, day.alias("day"), bucket.alias("bucket"), part)
+    sorted_cells = (
+        placed.hint("rebalance", "day", "bucket", "part")
         .sortWithinPartitions("day", "bucket", "row_key", "family", "qualifier")
-        .write.mode("overwrite")
-        .partitionBy("day", "bucket")
-        .option("parquet.bloom.filter.enabled#row_key", "true")
-        .parquet(folder)
+        .drop("part")
     )
+    # Unlike repartition, rebalance also cuts what is larger than the advised size, so no task sorts a whole bucket.
+    with setting(cells.sparkSession, "spark.sql.adaptive.advisoryPartitionSizeInBytes", str(SORTED_BYTES)):
+        (
+            sorted_cells.write.mode("overwrite")
+            .partitionBy("day", "bucket")
+            .option("parquet.bloom.filter.enabled#row_key", "true")
+            .parquet(folder)
+        )
 
 
 def write_cells(cells: DataFrame, path: str, batch_id: int, split: int = 4, buckets: int = CELL_BUCKETS) -> None:
     """Replace the cells of one batch. Running a batch again therefore leaves the table as it was.
 
-    A bucket is dealt out to `split` tasks, so that a key with very many versions does not land in one; where keys have few
-    versions, 1 makes fewer files. All writers and readers of a table agree on `buckets`.
+    A bucket of a day is dealt out to `split` tasks, so that a key with very many versions does not land in one; where keys
+    have few versions, 1 makes fewer files. Adaptive execution cuts tasks over `SORTED_BYTES` further. All writers and readers
+    of a table agree on `buckets`.
     """
     _write(cells, batch_folder(_level(path, "new"), batch_id), split, buckets)
 
@@ -75,8 +83,8 @@ def maintain_cells(
 ) -> None:
     """Merge the batches up to `batch_id` into their days, and remove the days past their time to live.
 
-    Reads and writes the days those batches have cells of, and no others, with about one file of `FILE_BYTES` a task. If it
-    is cut off, running it again, or later with another batch, ends the work.
+    Reads and writes the days those batches have cells of, and no others, in files of at most about `FILE_BYTES`. If it is cut
+    off, running it again, or later with another batch, ends the work.
     """
     new, old = _level(path, "new"), _level(path, "old")
     first = first_day(now_ms, time_to_live_ms)

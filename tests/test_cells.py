@@ -217,3 +217,29 @@ def test_tables_without_cells(spark, tmp_path):
     write_cells(cells.rating_event_cells(empty, 5), str(tmp_path / "e"), 0)
     maintain_cells(spark, str(tmp_path / "e"), 0, 5)
     maintain_cells(spark, str(tmp_path / "none"), 0, 5)
+
+
+def one_bucket(spark, rows):
+    return spark.range(0, rows, 1, 8).selectExpr(
+        "CAST(id % 997 AS STRING) AS row_key", "'ratings' AS family", "'rating' AS qualifier", "CAST(id % 7 AS STRING) AS value", f"{20 * DAY} + id AS version_ts"
+    )
+
+
+def rows_a_file(spark, path):
+    return [row["count"] for row in spark.read.parquet(path).groupBy(F.input_file_name()).count().collect()]
+
+
+def test_no_task_sorts_a_whole_bucket(spark, tmp_path, monkeypatch):
+    """The tasks of a write are bounded in bytes, also for one day and one bucket."""
+    from ratingloom.sinks import cells as sink
+
+    monkeypatch.setattr(sink, "SORTED_BYTES", 50_000, raising=False)
+    key, path = "spark.sql.adaptive.advisoryPartitionSizeInBytes", str(tmp_path / "c")
+    before = spark.conf.get(key)
+    write_cells(one_bucket(spark, 80_000), path, 0, split=1, buckets=1)
+    assert spark.conf.get(key) == before
+    assert len(found := rows_a_file(spark, path)) >= 4 and max(found) <= 20_000
+    assert rows_of(read_cells(spark, path).groupBy("row_key").count()) == rows_of(one_bucket(spark, 80_000).groupBy("row_key").count())
+    compact_cells(spark, path, str(tmp_path / "compact"), 20 * DAY, buckets=1)
+    kept_now = cells.retained_cells(one_bucket(spark, 80_000), 20 * DAY)
+    assert rows_of(read_cells(spark, str(tmp_path / "compact")).select(*kept_now.columns)) == rows_of(kept_now)
