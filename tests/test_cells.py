@@ -5,7 +5,7 @@ import shutil
 from collections import defaultdict
 
 import pytest
-from conftest import rows_of
+from conftest import plan_of, rows_of
 from pyspark.sql import functions as F
 
 from ratingloom.operators import cells
@@ -243,3 +243,22 @@ def test_no_task_sorts_a_whole_bucket(spark, tmp_path, monkeypatch):
     compact_cells(spark, path, str(tmp_path / "compact"), 20 * DAY, buckets=1)
     kept_now = cells.retained_cells(one_bucket(spark, 80_000), 20 * DAY)
     assert rows_of(read_cells(spark, str(tmp_path / "compact")).select(*kept_now.columns)) == rows_of(kept_now)
+
+
+def test_merging_a_day_is_no_task_of_its_own(spark, tmp_path, monkeypatch):
+    """A day with one bucket is merged by several tasks, and nothing is lost."""
+    from ratingloom.sinks import cells as sink
+
+    monkeypatch.setattr(sink, "SORTED_BYTES", 50_000, raising=False)
+    path, now, frame = str(tmp_path / "c"), 21 * DAY, one_bucket(spark, 80_000).withColumn("row_key", F.expr("CAST(version_ts % 40009 AS STRING)"))
+    for batch in range(2):
+        write_cells(frame.where(f"version_ts % 2 = {batch}"), path, batch, split=1, buckets=1)
+    smallest = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
+    spark.conf.set(smallest, "1k")  # else tables of this size are one task from the first aggregate on
+    try:
+        maintain_cells(spark, path, 1, now, buckets=1)
+    finally:
+        spark.conf.unset(smallest)
+    assert not list((tmp_path / "c/level=new").iterdir())
+    assert len(found := rows_a_file(spark, path)) >= 3 and max(found) <= 40_000 and sum(found) == 80_000
+    assert rows_of(cells.latest_cells(read_cells(spark, path, now))) == rows_of(cells.latest_cells(frame))
