@@ -182,20 +182,28 @@ def whole_rows(cells: DataFrame, columns: dict[str, tuple[str, str, str]]) -> Da
     picked, values = _picked(cells, columns)
     version = lambda at: F.struct(*[F.col(f"{at}.{part}") for part in _version(cells)])
     same = lambda name: version(name).eqNullSafe(version("last"))
+    names = [F.col(name) for name, _ in values]
+    picked = picked.withColumn("last", F.greatest(*names) if len(names) > 1 else names[0])
     return picked.select("row_key", *[F.when(same(name), F.col(f"{name}.value")).cast(kind).alias(name) for name, kind in values])
 
 
 def _picked(cells: DataFrame, columns: dict[str, tuple[str, str, str]]) -> tuple[DataFrame, list[tuple[str, str]]]:
-    """Per row_key, the latest version with its value of every column, and `last`, that of the row."""
-    latest = _latest(cells)
-    chosen = {name: (F.col("family") == family) & (F.col("qualifier") == qualifier) for name, (family, qualifier, _) in columns.items()}
+    """Per row_key, the latest version with its value of every column.
+
+    The aggregate sorts what it reads, so a cell comes to it with the number of its column in place of family and qualifier.
+    """
+    wanted = list(dict.fromkeys((family, qualifier) for family, qualifier, _ in columns.values()))
+    conditions = [(F.col("family") == family) & (F.col("qualifier") == qualifier) for family, qualifier in wanted]
     any_wanted = F.lit(False)
-    for condition in chosen.values():
+    for condition in conditions:
         any_wanted = any_wanted | condition
+    place = F.coalesce(*[F.when(condition, F.lit(k)) for k, condition in enumerate(conditions)]).alias("place")
+    latest = _latest(cells)
     picked = (
         cells.where(any_wanted)
+        .select("row_key", *_version(cells), "value", place)
         .groupBy("row_key")
-        .agg(*[F.max(F.when(condition, latest)).alias(name) for name, condition in chosen.items()], F.max(latest).alias("last"))
+        .agg(*[F.max(F.when(F.col("place") == wanted.index(of[:2]), latest)).alias(name) for name, of in columns.items()])
     )
     return picked, [(name, kind) for name, (_, _, kind) in columns.items()]
 

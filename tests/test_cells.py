@@ -262,3 +262,36 @@ def test_merging_a_day_is_no_task_of_its_own(spark, tmp_path, monkeypatch):
     assert not list((tmp_path / "c/level=new").iterdir())
     assert len(found := rows_a_file(spark, path)) >= 3 and max(found) <= 40_000 and sum(found) == 80_000
     assert rows_of(cells.latest_cells(read_cells(spark, path, now))) == rows_of(cells.latest_cells(frame))
+
+
+def test_the_cells_of_a_put_lie_together(spark, tmp_path):
+    """However a bucket is dealt out, a put is in one file, and puts of one key are in several."""
+    path = str(tmp_path / "e")
+    rows = spark.range(400).selectExpr("CAST(id AS STRING) AS userId", "'m' AS movieId", "id / 2.0D AS rating", "'s' AS source", "7L AS timestamp")
+    with_tasks = "spark.sql.adaptive.enabled"
+    spark.conf.set(with_tasks, "false")
+    try:
+        write_cells(cells.rating_event_cells(rows, 5), path, 0)
+    finally:
+        spark.conf.unset(with_tasks)
+    files = defaultdict(list)
+    for row in spark.read.parquet(path).select("put_id", F.input_file_name().alias("file")).collect():
+        files[row.put_id].append(row.file)
+    assert len(files) == 400 and all(len(found) == 5 and len(set(found)) == 1 for found in files.values())
+    assert len(rows_a_file(spark, path)) > 1
+
+
+def test_reading_events_carries_no_names_of_columns(spark):
+    """What the aggregates sort and shuffle has neither family nor qualifier."""
+    stored = spark.createDataFrame([], CELLS + ", put_id BIGINT")
+    plan = plan_of(cells.rating_event_rows(stored))
+    aggregates = [line for line in plan.splitlines() if "SortAggregate" in line]
+    assert len(aggregates) == 2 and not any("qualifier" in line for line in aggregates)
+
+
+def test_columns_of_the_same_cell(spark):
+    stored = spark.createDataFrame([("k", "f", "q", "1", 5), ("k", "f", "q", "2", 6), ("k", "f", "r", "3", 5), ("k", "f", "s", "4", 7)], CELLS)
+    columns = {"text": ("f", "q", "string"), "number": ("f", "q", "bigint"), "other": ("f", "r", "string")}
+    assert rows_of(cells.rows_from_cells(stored, columns)) == [("k", "2", 2, "3")]
+    assert rows_of(cells.whole_rows(stored, columns)) == [("k", "2", 2, None)]
+    assert rows_of(cells.whole_rows(stored, {"text": ("f", "q", "string")})) == [("k", "2")]

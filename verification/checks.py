@@ -525,9 +525,13 @@ def cells_whole_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     for batch, part in enumerate((events.where("userId % 2 = 0"), events.where("userId % 2 = 1"))):
         write_cells(cells.rating_event_cells(part, NOW_MS), path, batch)
     rows = cells.rating_event_rows(read_cells(spark, path, NOW_MS), NOW_MS)
-    put = events.groupBy("movieId", "timestamp").agg(F.count("*").alias("events"), F.collect_set(F.struct("userId", "rating", "source")).alias("all"))
     key = F.concat("movieId", F.lit("_"), F.format_string("%013d", "timestamp"))
-    return put.withColumn("row_key", key).join(rows.select("row_key", F.struct("userId", "rating", "source").alias("one")), "row_key", "left").select(
+    # Dealt by key, events are where their group and the row to compare it with are.
+    put = (
+        events.withColumn("row_key", key).repartition("row_key").groupBy("row_key", "movieId", "timestamp")
+        .agg(F.count("*").alias("events"), F.collect_set(F.struct("userId", "rating", "source")).alias("all"))
+    )
+    return put.join(rows.select("row_key", F.struct("userId", "rating", "source").alias("one")), "row_key", "left").select(
         "row_key", "events", F.exists("all", lambda event: event.eqNullSafe(F.col("one"))).alias("written")
     )
 
