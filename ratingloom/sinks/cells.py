@@ -11,19 +11,33 @@ to live are removed as folders, without reading them.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratingloom import schemas
 from ratingloom.fixed_values import CELL_TIME_TO_LIVE_MS
-from ratingloom.operators.cells import CELL_BUCKETS, cell_bucket, first_day, retained_cells, version_day
-from ratingloom.session import folder_bytes, remove_folder, setting
+from ratingloom.operators.cells import CELL_BUCKETS, cell_bucket, first_day, latest_cells, retained_cells, unexpired, version_day
+from ratingloom.session import folder_bytes, remove_folder, setting, shared_folder
 from ratingloom.sinks.batches import batch_folder, numbered
 
 
 FILE_BYTES = 128 << 20
 # What a task shuffles in to sort and write; cells are compressed there and take 10 to 20 times as much in memory.
 SORTED_BYTES = 16 << 20
+# What a task reads of stored cells to sort, whatever the size of the table; a small file counts as OPENED_BYTES more than it has.
+READ_BYTES = 4 << 20
+OPENED_BYTES = 256 << 10
+
+
+@contextmanager
+def small_scans(spark: SparkSession) -> Iterator[None]:
+    """Tasks that read stored cells are cut by READ_BYTES inside, as aggregates of cells sort all that a task has read."""
+    with setting(spark, "spark.sql.files.maxPartitionBytes", str(READ_BYTES)):
+        with setting(spark, "spark.sql.files.openCostInBytes", str(OPENED_BYTES)):
+            yield
 
 
 def _level(path: str, level: str) -> str:
@@ -68,9 +82,19 @@ def read_cells(spark: SparkSession, path: str, now_ms: int | None = None) -> Dat
     return cells if now_ms is None else cells.where(F.col("day") >= first_day(now_ms))
 
 
+def read_latest(spark: SparkSession, path: str, now_ms: int | None = None) -> DataFrame:
+    """K7: the latest version of every cell of a table, as a table in the shared folder made by tasks of bounded size."""
+    kept = shared_folder(spark, "latest")
+    latest = latest_cells(unexpired(read_cells(spark, path, now_ms), now_ms))
+    with small_scans(spark):
+        latest.write.parquet(kept)
+    return spark.read.schema(latest.schema).parquet(kept)
+
+
 def compact_cells(spark: SparkSession, source: str, target: str, now_ms: int, buckets: int = CELL_BUCKETS) -> None:
     """Write the retained cells of `source` to `target` as its only batch."""
-    write_cells(retained_cells(read_cells(spark, source, now_ms), now_ms), target, 0, 1, buckets)
+    with small_scans(spark):
+        write_cells(retained_cells(read_cells(spark, source, now_ms), now_ms), target, 0, 1, buckets)
 
 
 def maintain_cells(
@@ -97,7 +121,8 @@ def maintain_cells(
         size = sum(folder_bytes(spark, f"{folder}/day={day}") for folder in folders for day in kept)
         cells = spark.read.schema(schemas.CELLS).parquet(path).where(F.col("day").isin(kept) & (F.col("batch_id") <= batch_id))
         retained = retained_cells(cells, now_ms, time_to_live_ms=time_to_live_ms)
-        _write(retained, batch_folder(old, batch_id), 1 + size // (buckets * FILE_BYTES), buckets)
+        with small_scans(spark):
+            _write(retained, batch_folder(old, batch_id), 1 + size // (buckets * FILE_BYTES), buckets)
     for number in merged:
         remove_folder(spark, batch_folder(new, number))
     for number in numbered(spark, old, "batch_id"):

@@ -295,3 +295,25 @@ def test_columns_of_the_same_cell(spark):
     assert rows_of(cells.rows_from_cells(stored, columns)) == [("k", "2", 2, "3")]
     assert rows_of(cells.whole_rows(stored, columns)) == [("k", "2", 2, None)]
     assert rows_of(cells.whole_rows(stored, {"text": ("f", "q", "string")})) == [("k", "2")]
+
+
+def test_tasks_that_sort_stored_cells_read_a_bounded_part(spark, tmp_path, monkeypatch):
+    """Aggregates of a table read it by tasks of bounded bytes, however few cores there are; the session stays as it was."""
+    from ratingloom.sinks import cells as sink
+
+    monkeypatch.setattr(sink, "SORTED_BYTES", 50_000)
+    monkeypatch.setattr(sink, "READ_BYTES", 30_000)
+    monkeypatch.setattr(sink, "OPENED_BYTES", 1_000)
+    path, keys = str(tmp_path / "c"), ["spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"]
+    before = [spark.conf.get(key) for key in keys]
+    frame = one_bucket(spark, 80_000)
+    write_cells(frame, path, 0, split=1, buckets=1)
+    with sink.small_scans(spark):
+        assert read_cells(spark, path).rdd.getNumPartitions() > 2 * spark.sparkContext.defaultParallelism
+    scans = []
+    small_scans = sink.small_scans
+    monkeypatch.setattr(sink, "small_scans", lambda session: scans.append(session) or small_scans(session))
+    assert rows_of(sink.read_latest(spark, path, 21 * DAY)) == rows_of(cells.latest_cells(frame))
+    maintain_cells(spark, path, 0, 21 * DAY, buckets=1)
+    compact_cells(spark, path, str(tmp_path / "compact"), 21 * DAY, buckets=1)
+    assert len(scans) == 3 and [spark.conf.get(key) for key in keys] == before

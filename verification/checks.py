@@ -15,7 +15,7 @@ from ratingloom.operators import cells, display, ranking, stats
 from ratingloom.operators.partials import SKETCH_ERROR
 from ratingloom.plans import batch, live, serving
 from ratingloom.session import shared_folder
-from ratingloom.sinks.cells import compact_cells, maintain_cells, read_cells, write_cells
+from ratingloom.sinks.cells import compact_cells, maintain_cells, read_cells, read_latest, write_cells
 from ratingloom.sinks.csv import write_csv, write_strict_means
 from ratingloom.sinks.messages import json_messages, line_messages, publish
 from ratingloom.sources import lines, pages, stored
@@ -581,8 +581,7 @@ def cells_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
         if batch > 0:
             maintain_cells(spark, path, batch - 1, RETENTION_NOW_MS, buckets=2)
     maintain_cells(spark, path, 2, RETENTION_NOW_MS, buckets=2)
-    kept = cells.unexpired(read_cells(spark, path, RETENTION_NOW_MS), RETENTION_NOW_MS)
-    return cells.latest_cells(kept).select("row_key", "version_ts", "value")
+    return read_latest(spark, path, RETENTION_NOW_MS).select("row_key", "version_ts", "value")
 
 
 @check(
