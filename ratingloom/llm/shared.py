@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ratingloom.session import remove_folder, shared_folder
+from ratingloom.session import remove_folder, setting, shared_folder
 
 
 def once(value: Column) -> Column:
@@ -23,15 +23,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 class Written:
-    """Intermediate tables in the shared folder, which cut the lineage and outlive a lost executor."""
+    """Intermediate tables in the shared folder, which cut the lineage and outlive a lost executor.
+
+    What was shuffled to make a table is removed when the table is written, not at some later collection of garbage.
+    """
 
     def __init__(self, spark: SparkSession, label: str):
         self.spark, self.label, self.paths = spark, label, []
 
     def __call__(self, rows: DataFrame, name: str) -> DataFrame:
         path = shared_folder(self.spark, f"{self.label}-{name}")
-        rows.write.parquet(path)
+        with setting(self.spark, SHUFFLE_CLEANUP, "true"):
+            rows.write.parquet(path)
         self.paths.append(path)
         return self.spark.read.schema(rows.schema).parquet(path)
 

@@ -66,3 +66,21 @@ def test_repeated_rows_are_one_document(spark):
 def test_empty(spark):
     table = spark.createDataFrame([], "doc_id long, text string")
     assert suffixes.without_repeats(table, Written(spark, "t")).collect() == []
+
+
+def test_shuffles_are_gone_when_a_table_is_written(spark):
+    """Disk holds no shuffle of a step whose table is there, whether or not the driver has collected its garbage."""
+    from ratingloom.llm.shared import SHUFFLE_CLEANUP, Written
+
+    def shuffled():
+        files = spark._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+        return {name for k in range(files.size()) if (name := files.apply(k).getName()).startswith("shuffle_") and name.endswith(".data")}
+
+    before, asked = shuffled(), spark.conf.get(SHUFFLE_CLEANUP)
+    written = Written(spark, "test")
+    rows = written(spark.range(50_000).selectExpr("id % 20011 AS a", "id AS b").repartitionByRange(4, "a").groupBy("b").count(), "rows")
+    wide = written(rows.join(rows.withColumnRenamed("count", "n").hint("merge"), "b"), "wide")
+    written.remove(1)
+    assert shuffled() <= before
+    assert wide.count() == 50_000
+    assert spark.conf.get(SHUFFLE_CLEANUP) == asked
