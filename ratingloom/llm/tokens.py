@@ -35,15 +35,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ratingloom.llm.shared import in_arrow
+from ratingloom.session import setting
 
 END = 0
 GROUP_BYTES = 32 << 20
 PAGE_BYTES = 128 << 10
 PAGE_ROWS = 1_000
-KEPT_BYTES = 144 << 20
+KEPT_BYTES = 112 << 20
 LONGEST_KEPT = 64
-ROWS = 1_000
-TEXT_BYTES = 2 << 20
+ROWS = 2_000
+TEXT_BYTES = 4 << 20
+BATCH_BYTES = 4 << 20
 INDEX = "part int, documents long, tokens long, start long"
 
 # A blank before a visible character always begins a new match.
@@ -86,8 +88,8 @@ class Encoder:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(one.ids, "<u4").tobytes() for one in found]
 
-    def learn(self, pieces: set[str]) -> dict[str, bytes]:
-        """Ids of unknown pieces. Letters are one match with the blank before them, and need the tokenizer's merges alone;
+    def learn(self, pieces: list[str]) -> dict[str, bytes]:
+        """Ids of different unknown pieces. Letters are one match with the blank before them, and need the tokenizer's merges alone;
         marks after them are another match."""
         before, merge, new, rest, marks_of = self.before.get, self.tokenizer.model.tokenize, {}, [], self.marks
         for piece in pieces:
@@ -120,7 +122,7 @@ class Encoder:
             self.age()
         ids = list(map(self.kept.get, pieces))
         gaps = [at for at, known in enumerate(ids) if known is None]
-        new = self.learn({pieces[at] for at in gaps})
+        new = self.learn([pieces[at] for at in gaps])
         for at in gaps:
             ids[at] = new[pieces[at]]
         for piece in [piece for piece in new if len(piece) > LONGEST_KEPT]:
@@ -135,7 +137,7 @@ class Encoder:
         marked = pc.replace_substring(pc.replace_substring(texts, " ", "\0 "), "\n", "\0\n\0")
         cut = pc.split_pattern(marked, "\0")
         pieces = cut.flatten().dictionary_encode()
-        ids = self.of_pieces(pieces.dictionary.to_pylist())
+        ids = self.of_pieces(pieces.dictionary.to_numpy(zero_copy_only=False).tolist())
         widths = np.array([len(one) // 4 for one in ids], np.int32)
         ends = np.concatenate([[0], np.cumsum(widths, dtype=np.int32)]).astype(np.int32)
         lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(ids), "<i4")))
@@ -247,7 +249,7 @@ def write(documents: DataFrame, file: str, folder: str, end: int = END) -> Token
                 )
                 at += int(ends[-1])
 
-    (
+    rows = (
         in_arrow(dealt, run, fields)
         .write.option("compression", "zstd")
         .option("parquet.writer.version", "v2")
@@ -256,8 +258,10 @@ def write(documents: DataFrame, file: str, folder: str, end: int = END) -> Token
         .option("parquet.block.size", GROUP_BYTES)
         .option("parquet.page.size", PAGE_BYTES)
         .option("parquet.page.row.count.limit", PAGE_ROWS)
-        .parquet(f"{folder}/tokens")
     )
+    # Texts come to the workers in batches of bounded bytes, which both sides hold.
+    with setting(spark, "spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES)):
+        rows.parquet(f"{folder}/tokens")
     totals = (
         spark.read.schema(fields).parquet(f"{folder}/tokens")
         .groupBy("part")

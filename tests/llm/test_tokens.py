@@ -131,3 +131,17 @@ def test_clashing_columns(spark, tmp_path):
     rows = documents(spark, [(1, "a b", 5, 6, [1], "c", 9)], "doc_id long, text string, part int, at long, ids array<int>, copy string, place long")
     [row] = tokens.digests(tokens.write(rows, FILE, str(tmp_path / "t"))).collect()
     assert (row.doc_id, row.start, row.n_tokens) == (1, 0, 3)
+
+
+def test_texts_reach_the_workers_in_bounded_batches(spark, tmp_path, monkeypatch):
+    """The limit of bytes holds for the write, and for it alone; the ids are those of the library."""
+    asked, setting = [], tokens.setting
+    monkeypatch.setattr(tokens, "setting", lambda session, key, value: asked.append((key, value)) or setting(session, key, value))
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    texts = {k: "the cat sat, " * k for k in range(40)}
+    monkeypatch.setattr(tokens, "BATCH_BYTES", 2_000)
+    files = tokens.write(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), FILE, str(tmp_path / "t"))
+    assert asked == [(key, "2000")] and spark.conf.get(key) == before
+    found = {row.doc_id: row.ids for row in files.rows.collect()}
+    assert found == {k: ENCODER.tokenizer.encode(text, add_special_tokens=False).ids + [0] for k, text in texts.items()}
