@@ -6,7 +6,8 @@ lowest cost so far that has room; when none has, it is cut at the room of the em
 the tokens at hand: full ones, and powers of two for the last few, so that nothing is padded.
 
 Each input partition is packed by itself, in groups of about `GROUP_TOKENS` tokens, so a task holds no more than that
-and the longest document, and nothing is shuffled. Ids of sequences are unique over partitions.
+and the longest document, and nothing is shuffled. Ids of sequences are unique over partitions. Texts are encoded as for token
+files (`tokens.Encoder`).
 
 Defined cases: a null or empty text has the end-of-document id alone; the text of a special token is that token, as in the
 tokenizers library; repeated rows and ids are packed each; an empty table gives an empty result. Only the named columns are
@@ -15,18 +16,17 @@ read, whatever else there is.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ratingloom.llm.bpe import CUT, KEPT, LONGEST_KEPT
+from ratingloom.llm.tokens import encoder_of, parts_of
 
 LENGTH = 2048
 END = 1
@@ -34,45 +34,6 @@ GROUP_TOKENS = 4_000_000
 LINEAR, QUADRATIC = 1.0, 1.0 / 1024
 
 
-class Ids:
-    """Ids of texts by a tokenizer of the tokenizers library; pieces seen before are looked up."""
-
-    def __init__(self, file: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_str(file)
-        self.special = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
-        self.kept: dict[str, bytes] = {}
-
-    def encoded(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(one.ids, "<u4").tobytes() for one in found]
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        kept, cut = self.kept, []
-        if len(kept) > KEPT:
-            kept.clear()
-        for text in texts:
-            if any(token in text for token in self.special):
-                cut.append([text])
-            else:
-                first, *rest = CUT.split(text)
-                cut.append([first, *(" " + piece for piece in rest)])
-        missing = list({piece for pieces in cut for piece in pieces if piece not in kept})
-        kept.update(zip(missing, self.encoded(missing), strict=True))
-        out = [b"".join(map(kept.__getitem__, pieces)) for pieces in cut]
-        for piece in missing:
-            if len(piece) > LONGEST_KEPT:
-                del kept[piece]
-        return out
-
-
-@lru_cache(maxsize=2)
-def ids_of(file: str) -> Ids:
-    return Ids(file)
-
-
 def sequences_for(tokens: int, length: int) -> list[int]:
     """Lengths of sequences that hold exactly so many tokens."""
     rest = tokens % length
@@ -103,7 +64,7 @@ def assigned(lengths: list[int], length: int = LENGTH) -> tuple[list[tuple[int,
     return pieces, count + len(sizes)
 
 
-def pack(documents: DataFrame, file: str, length: int = LENGTH, end: int = END, rows: int = 250) -> DataFrame:
+def pack(documents: DataFrame, file: str, length: int = LENGTH, end: int = END) -> DataFrame:
     """One row per piece: doc_id, start, length, `ids` (little-endian unsigned 32-bit), doc_tokens, sequence_id, offset.
 
     `file` names a vocabulary of the tokenizers library.
@@ -118,7 +79,7 @@ def pack(documents: DataFrame, file: str, length: int = LENGTH, end: int = END,
         fields = fields.add(name, "long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = ids_of(shipped.value)
+        encode = encoder_of(shipped.value)
         mark = np.array([end], "<u4").tobytes()
         next_id = TaskContext.get().partitionId() << 40
         keys, texts, tokens = [], [], 0
@@ -145,9 +106,9 @@ def pack(documents: DataFrame, file: str, length: int = LENGTH, end: int = END,
             return batch
 
         for batch in batches:
-            for at in range(0, batch.num_rows, rows):
-                some = batch.slice(at, rows)
-                new = [one + mark for one in ids([text or "" for text in some.column("text").to_pylist()])]
+            sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy()
+            for some in parts_of(batch, sizes):
+                new = [one + mark for one in encode([text or "" for text in some.column("text").to_pylist()])]
                 keys.append(some.column("doc_id"))
                 texts.extend(new)
                 tokens += sum(map(len, new)) // 4

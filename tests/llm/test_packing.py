@@ -63,3 +63,10 @@ def test_query(spark):
 
 def test_empty(spark):
     assert packing.digests(packing.pack(spark.createDataFrame([], "doc_id long, text string"), FILE)).collect() == []
+
+
+def test_ids_are_kept_in_bounded_bytes():
+    """Packing keeps what it has seen in the table of the token files, which is bounded in bytes and not in entries."""
+    from ratingloom.llm import tokens
+
+    assert packing.encoder_of is tokens.encoder_of and packing.parts_of is tokens.parts_of
