@@ -264,17 +264,21 @@ def contracted(links: DataFrame, written: Written) -> DataFrame:
         out = joined.filter(v > u).select(v.alias("u"), F.col("m").alias("v")) if large else joined.select(
             v.alias("u"), F.col("m").alias("v")
         ).union(least.select("u", F.col("m").alias("v")))
-        return out.filter("u != v").distinct()
-
-    # Every edge goes from the larger key to the smaller.
-    edges = links.select(F.greatest("key", "rep").alias("u"), F.least("key", "rep").alias("v")).distinct()
-    seen = None
-    while True:
-        edges = written(star(star(edges, True), False), "edges")
-        state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == seen:
-            return edges.select(F.col("u").alias("key"), F.col("v").alias("label"))
-        seen = state
+        return out.filter("u != v")
+
+    def stars(edges: DataFrame) -> bool:
+        """Whether every key has one edge at most to a smaller one, and none if it has edges to larger ones."""
+        ends = edges.select(F.col("u").alias("key"), F.lit(1).alias("out"), F.lit(0).alias("in"))
+        ends = ends.union(edges.select("v", F.lit(0), F.lit(1)))
+        open_ = ends.groupBy("key").agg(F.sum("out").alias("out"), F.max("in").alias("in")).filter("out + in > 1")
+        return open_.agg(F.count(F.lit(1))).first()[0] == 0
+
+    # Every edge goes from the larger key to the smaller. Each round is a plan of its own, which the driver keeps something of:
+    # there is none more than needed, and none at all for links that are stars.
+    edges = written(links.select(F.greatest("key", "rep").alias("u"), F.least("key", "rep").alias("v")).distinct(), "edges")
+    while not stars(edges):
+        edges = written(star(star(edges, True), False).distinct(), "edges")
+    return edges.select(F.col("u").alias("key"), F.col("v").alias("label"))
 
 
 def key_of(text: Column) -> Column:

@@ -130,3 +130,25 @@ def test_null_ids_and_repeated_rows(spark):
 def test_empty(spark):
     table = spark.createDataFrame([], "doc_id long, text string")
     assert near.classes(table, Written(spark, "t")).collect() == []
+
+
+def test_components_in_as_few_tables_as_needed(spark):
+    def contracted(links):
+        written = Written(spark, "c")
+        frame = spark.createDataFrame([(bytes([a]), bytes([b])) for a, b in links], "key binary, rep binary")
+        found = {row.key[0]: row.label[0] for row in near.contracted(frame, written).collect()}
+        return found, len(written.paths)
+
+    stars = [(5, 1), (1, 6), (6, 1), (7, 1), (8, 2), (8, 2)]
+    assert contracted(stars) == ({5: 1, 6: 1, 7: 1, 8: 2}, 1)
+    path = [(k, k + 1) for k in range(40, 70)]
+    found, tables = contracted(path + [(9, 3)])
+    assert found == {**{k: 40 for k in range(41, 71)}, 9: 3} and tables > 1
+    choose = random.Random(4)
+    links = [(choose.randrange(200), choose.randrange(200)) for _ in range(150)]
+    links = [(a, b) for a, b in links if a != b]
+    low = list(range(200))
+    for _ in low:
+        for a, b in links:
+            low[a] = low[b] = min(low[a], low[b])
+    assert contracted(links)[0] == {k: v for k, v in enumerate(low) if k != v}
