@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import os
 import re
-from array import array
+from codecs import charmap_decode
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -52,13 +52,16 @@ INDEX = "part int, documents long, tokens long, start long"
 CUT = re.compile(r" (?=\S)")
 # Elsewhere than singly between two visible characters, or of another kind, white space is left to the pattern.
 ODD = ["  ", " \n", "\n ", "\n\n", "\0"] + [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
-MARKS = ".,;:!?"
+# Letters, with a blank before them or not, and ASCII after them.
+LETTERS = re.compile(r"( ?[^\W\d_]+)([\0-\x7f]*)").fullmatch
 # Letters up to here are letters in any version of Unicode that a library may have.
 LAST_LETTER = "\u052f"
+# What is after letters and kept, at most about so many.
+MOST_TAILS = 10_000
 # Byte-level vocabularies spell visible characters of Latin-1 as themselves, and other bytes, in order, from 256 on.
 SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
-SPELLED_BLANK = "\u0120"
 SPELLING = {byte: chr(256 + k) for k, byte in enumerate(b for b in range(256) if b not in SHOWN)}
+SPELLED = "".join(SPELLING.get(byte, chr(byte)) for byte in range(256))
 
 
 def is_plain(text: str) -> bool:
@@ -74,12 +77,13 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_str(file)
         self.special = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
+        self.of_id = [number.to_bytes(4, "little") for number in range(max(self.tokenizer.get_vocab().values()) + 1)]
         self.kept: dict[str, bytes] = {}
         self.age()
 
     def age(self) -> None:
         """Begin a new table; what the one before has is found there until this one is full as well."""
-        self.before, self.marks = self.kept, {}
+        self.before, self.tails = self.kept, {"": b""}
         self.kept = {"": b"", "\n": self.each(["\n"])[0]}
         self.kept_bytes = 0
 
@@ -89,30 +93,36 @@ class Encoder:
         return [np.array(one.ids, "<u4").tobytes() for one in found]
 
     def learn(self, pieces: list[str]) -> dict[str, bytes]:
-        """Ids of different unknown pieces. Letters are one match with the blank before them, and need the tokenizer's merges alone;
-        marks after them are another match."""
-        before, merge, new, rest, marks_of = self.before.get, self.tokenizer.model.tokenize, {}, [], self.marks
-        for piece in pieces:
-            ids = before(piece)
+        """Ids of different unknown pieces. Letters are one match with the blank before them, and need the tokenizer's merges alone,
+        or none if they are known by themselves; what is after them begins another match."""
+        kept, before, merge = self.kept.get, self.before.get, self.tokenizer.model.tokenize
+        new, rest, split, tails, of_id = {}, [], [], self.tails, self.of_id
+        for piece, ids in zip(pieces, map(before, pieces), strict=True):
+            if ids is not None:
+                new[piece] = ids
+                continue
+            found = LETTERS(piece)
+            if found is None:
+                rest.append(piece)
+                continue
+            word, tail = found.groups()
+            body = word[1:] if word[0] == " " else word
+            if not body.isalpha() or not (ascii_ := body.isascii()) and max(body) > LAST_LETTER:
+                rest.append(piece)
+                continue
+            ids = (kept(word) or before(word) or new.get(word)) if tail else None
             if ids is None:
-                word = piece.rstrip(MARKS)
-                blank = word[:1] == " "
-                body = word[1:] if blank else word
-                if not body.isalpha():
-                    rest.append(piece)
-                    continue
-                if not body.isascii():
-                    if max(body) > LAST_LETTER:
-                        rest.append(piece)
-                        continue
-                    body = body.encode().decode("latin-1").translate(SPELLING)
-                ids = array("I", [token.id for token in merge(SPELLED_BLANK + body if blank else body)]).tobytes()
-                marks = piece[len(word) :]
-                if marks:
-                    if marks not in marks_of:
-                        marks_of[marks] = self.each([marks])[0]
-                    ids += marks_of[marks]
-            new[piece] = ids
+                spelled = word if ascii_ and body is word else charmap_decode(word.encode(), "strict", SPELLED)[0]
+                ids = b"".join([of_id[token.id] for token in merge(spelled)])
+            if tail in tails:
+                new[piece] = ids + tails[tail]
+            else:
+                split.append((piece, ids, tail))
+        unknown = list({tail for _, _, tail in split})
+        of_tail = dict(zip(unknown, self.each(unknown), strict=True))
+        new.update((piece, ids + of_tail[tail]) for piece, ids, tail in split)
+        if len(tails) < MOST_TAILS:
+            tails.update((tail, ids) for tail, ids in of_tail.items() if len(tail) <= LONGEST_KEPT)
         new.update(zip(rest, self.each(rest), strict=True))
         return new
 

@@ -49,6 +49,15 @@ def test_ids_are_those_of_the_library(texts):
         assert [np.frombuffer(ids, "<u4").tolist() for ids in ENCODER(texts)] == [plain(text)[:-1] for text in texts]
 
 
+def test_letters_need_merges_once_whatever_is_after_them(monkeypatch):
+    encoder, whole = tokens.Encoder(open(FILE, encoding="utf-8").read()), []
+    each = encoder.each
+    monkeypatch.setattr(encoder, "each", lambda texts: whole.extend(texts) or each(texts))
+    for text in ["señorly zqueletion", "a señorly,%%% zqueletion's zqueletion,%%% señorly.\u00e9 x½y, señorly's"]:
+        assert np.frombuffer(encoder([text])[0], "<u4").tolist() == plain(text)[:-1]
+    assert sorted(whole) == sorted([",%%%", "'s", " señorly.\u00e9", " x½y,"])
+
+
 def test_the_kept_pieces_are_bounded(monkeypatch):
     encoder = tokens.Encoder(open(FILE, encoding="utf-8").read())
     monkeypatch.setattr(tokens, "KEPT_BYTES", 10_000)
