@@ -24,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -47,6 +48,7 @@ HASH_BITS = 40
 MOST_BITS = 1 << 27
 BITS_EACH = 32
 BITMAP_BITS = 32_768  # of one row of Spark's bitmap aggregate
+TASKS_A_CORE = 2
 FILTERED = 3  # rare phrases of up to so many words are found beforehand
 
 TABLE = bytes(10 if byte in ENDS else 32 if byte in BLANKS else byte + 32 if 65 <= byte <= 90 else byte for byte in range(256))
@@ -60,12 +62,6 @@ def mixed(first: np.ndarray, second: np.ndarray) -> np.ndarray:
     return both ^ (both >> np.uint64(32))
 
 
-def word_hash(lang: str, word: bytes) -> int:
-    from xxhash import xxh64_intdigest
-
-    return xxh64_intdigest(word, xxh64_intdigest(lang.encode()))
-
-
 class Counts:
     """What one task has counted of one language: hashes of phrases of `order` words, or windows for an `order` of None.
 
@@ -73,7 +69,10 @@ class Counts:
     """
 
     def __init__(self, lang: str, order: int | None, longest: int, tables: list[np.ndarray]):
+        from xxhash import xxh64_intdigest
+
         self.lang, self.order, self.longest, self.tables = lang, order, longest, tables
+        self.digest, self.seed = xxh64_intdigest, xxh64_intdigest(lang.encode())
         self.clear()
 
     def clear(self) -> None:
@@ -83,17 +82,22 @@ class Counts:
         self.counted: list[tuple[np.ndarray, np.ndarray]] = []
         self.size = self.total = 0
 
-    def numbers(self, words: list[bytes]) -> np.ndarray:
-        number = self.number
-        try:
-            found = list(map(number.__getitem__, words))
-        except KeyError:
-            for word in set(words).difference(number):
-                number[word] = len(self.words)
-                self.words.append(word)
-                self.hashes.append(word_hash(self.lang, word))
-            found = list(map(number.__getitem__, words))
-        numbers = np.array(found, np.int32)
+    def numbers(self, data: bytes) -> np.ndarray:
+        """The numbers of all words. Equal words are found by Arrow, so each is looked up once. Words that the tables tell to be rare
+        end a phrase as the end of a piece does, and are not kept."""
+        split = pc.split_pattern(pa.array([data.replace(b"\n", b" \n ")], pa.large_binary()), b" ")
+        words = split.values.dictionary_encode()
+        different = words.dictionary.to_pylist()
+        number, digest, seed = self.number, self.digest, self.seed
+        new = [word for word in different if word not in number]
+        hashes = np.array([digest(word, seed) for word in new], np.uint64)
+        if self.order != 1:
+            kept = np.flatnonzero(self.told(1, hashes))
+            new, hashes = [new[at] for at in kept.tolist()], hashes[kept]
+        number.update(zip(new, range(len(self.words), len(self.words) + len(new)), strict=True))
+        self.words += new
+        self.hashes.frombytes(hashes.tobytes())
+        numbers = np.array([number.get(word, END) for word in different], np.int32)[words.indices.to_numpy()]
         return numbers[numbers != LEFT_OUT]
 
     def told(self, order: int, hashes: np.ndarray) -> np.ndarray:
@@ -103,13 +107,13 @@ class Counts:
 
     def add(self, data: bytes) -> None:
         """Count whole pieces, lower-cased, with line feeds between them and single kinds of blanks."""
-        numbers = np.concatenate([self.numbers(data.replace(b"\n", b" \n ").split(b" ")), np.zeros(self.longest, np.int32)])
+        numbers = np.concatenate([self.numbers(data), np.zeros(self.longest, np.int32)])
         size = len(numbers) - self.longest
         self.total += int(np.count_nonzero(numbers))
         of_word = np.array(self.hashes, np.uint64)
         hashes, inside = of_word[numbers], numbers != END
         frequent = []
-        for order in range(1, (self.order or FILTERED + 1)):
+        for order in range(1, self.order or len(self.tables) + 1):
             if order > 1:
                 hashes = mixed(hashes[:-1], of_word[numbers[order - 1 :]])
                 inside = frequent[-1][:-1] & frequent[-1][1:]
@@ -145,6 +149,8 @@ class Counts:
         return KEPT_WINDOWS if self.order is None else KEPT_HASHES
 
     def together(self) -> None:
+        if not self.size:
+            return
         found, counts = (np.concatenate(parts) for parts in zip(*self.counted, strict=True))
         if self.order is None:
             found, counts = summed(found, counts)
@@ -158,8 +164,8 @@ class Counts:
 
     def batches(self, names: list[str]) -> Iterator[pa.RecordBatch]:
         """What was counted, which is then forgotten."""
+        self.together()
         if self.size:
-            self.together()
             found, counts = self.counted[0]
             for at in range(0, len(counts), 100_000):
                 some, n = found[at : at + 100_000], pa.array(counts[at : at + 100_000])
@@ -221,8 +227,13 @@ def counted(documents: DataFrame, order: int | None, longest: int, tables: list)
                 of_lang.add(chunk)
                 if of_lang.full():
                     yield from of_lang.batches(names)
-            # All languages together stay within the bounds of one.
-            if sum(one.size for one in counts.values()) > of_lang.most() or sum(len(one.words) for one in counts.values()) > KEPT_WORDS:
+            # All languages together stay within the bounds of one. What is equal is summed before it is given away.
+            over = sum(len(one.words) for one in counts.values()) > KEPT_WORDS
+            if sum(one.size for one in counts.values()) > of_lang.most():
+                for one in counts.values():
+                    one.together()
+                over = over or sum(one.size for one in counts.values()) > of_lang.most() // 2
+            if over:
                 for one in counts.values():
                     yield from one.batches(names)
                 counts.clear()
@@ -243,6 +254,9 @@ def counted(documents: DataFrame, order: int | None, longest: int, tables: list)
             yield from one.batches(names)
 
     texts = documents.select(F.coalesce("lang", F.lit("und")).alias("lang"), "text").filter("text IS NOT NULL")
+    if order is None:
+        # Every task makes a row of each frequent window, so more tasks than the cores can use would only make more rows.
+        texts = texts.coalesce(TASKS_A_CORE * documents.sparkSession.sparkContext.defaultParallelism)
     return in_arrow(texts, run, ", ".join(f"{name} {kinds.get(name, 'string')}" for name in names))
 
 
@@ -287,7 +301,7 @@ def frequent_phrases(documents: DataFrame, written: Written, least: int = LEAST,
     context, own = documents.sparkSession.sparkContext, Written(documents.sparkSession, written.label)
     names = [f"w{k}" for k in range(1, longest + 1)]
     tables, totals = [], None
-    for order in range(1, FILTERED + 1):
+    for order in range(1, min(FILTERED, longest) + 1):
         sums = counted(documents, order, longest, tables).groupBy("lang", "hash").agg(F.sum("n").alias("n"))
         sums = own(sums.filter((F.col("n") >= least) | F.col("hash").isNull()), f"hashes{order}")
         tables.append(context.broadcast(bits_of(sums.filter("hash IS NOT NULL").select("hash"))))

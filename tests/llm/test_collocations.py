@@ -148,3 +148,39 @@ def test_products_past_64_bits(spark):
     )
     [row] = collocations.scored(phrases).collect()
     assert row.score == 1000 * 10**14 * 9 * 10**15 // (8 * 10**15 * 7 * 10**15)
+
+
+def test_rare_words_are_not_kept_and_end_a_window():
+    """A word that the table does not tell to be frequent takes no place in the tables of a task."""
+    seen = collocations.Counts("x", 1, 4, [])
+    seen.add(b"a b")
+    table = np.zeros(collocations.BITMAP_BITS // 8, np.uint8)
+    for value in seen.hashes[1:]:
+        at = value & (len(table) * 8 - 1)
+        table[at >> 3] |= 1 << (at & 7)
+    windows = collocations.Counts("x", None, 4, [table, FULL, FULL])
+    windows.add(b" ".join([b"a b rare%d" % k for k in range(500)] + [b"a\nb"]))
+    assert len(windows.words) < 60 and {b"a", b"b"} <= set(windows.words)
+    [batch] = windows.batches(["lang", "w1", "w2", "w3", "w4", "n"])
+    found = {(row["w1"], row["w2"], row["w3"]): row["n"] for row in batch.to_pylist()}
+    assert found["a", "b", None] > 450 and found["a", None, None] == 1 and found["b", None, None] > 450
+
+
+def test_windows_are_counted_by_no_more_tasks_than_cores_can_use(spark):
+    """The rows of the windows grow with frequent windows, not with them times the partitions of the input."""
+    rows = [("en", "one two three")] * 640
+    documents = spark.createDataFrame(rows, "lang string, text string").repartition(64)
+    full = spark.sparkContext.broadcast(FULL.tobytes())
+    counted = collocations.counted(documents, None, 4, [full] * 3)
+    most = 3 * collocations.TASKS_A_CORE * spark.sparkContext.defaultParallelism
+    assert counted.count() <= most < 3 * 64
+    assert {tuple(row) for row in counted.groupBy("w1").sum("n").collect()} == {("one", 640), ("two", 640), ("three", 640)}
+    assert mined(spark, rows, 4) == plain(rows, 4)
+
+
+def test_languages_together_are_summed_before_they_are_given_away(spark, monkeypatch):
+    monkeypatch.setattr(collocations, "CHUNK_BYTES", 400)
+    monkeypatch.setattr(collocations, "KEPT_WINDOWS", 100)
+    full = spark.sparkContext.broadcast(FULL.tobytes())
+    documents = spark.createDataFrame([(("en", "de")[k % 2], "one two three four") for k in range(2_000)], "lang string, text string").coalesce(1)
+    assert collocations.counted(documents, None, 4, [full] * 3).count() == 8
