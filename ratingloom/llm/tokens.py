@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import os
 import re
+import string
 from codecs import charmap_decode
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -54,6 +55,8 @@ CUT = re.compile(r" (?=\S)")
 ODD = ["  ", " \n", "\n ", "\n\n", "\0"] + [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
 # Letters, with a blank before them or not, and ASCII after them.
 LETTERS = re.compile(r"( ?[^\W\d_]+)([\0-\x7f]*)").fullmatch
+# A match of ASCII letters ends before these, and what they are encoded to does not depend on it.
+MARKS = string.punctuation
 # Letters up to here are letters in any version of Unicode that a library may have.
 LAST_LETTER = "\u052f"
 # What is after letters and kept, at most about so many.
@@ -68,6 +71,27 @@ def is_plain(text: str) -> bool:
     return text == text.strip(" \n") and not any(odd in text for odd in ODD)
 
 
+def halved(pieces: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Different strings, which of them the pieces are made of, one after another, and how many each is made of: ASCII letters and
+    the marks after them by themselves, so that a word is known whatever follows it; any other piece whole."""
+    words = pc.ascii_rtrim(pieces, MARKS)
+    two = pc.and_(pc.ascii_is_alpha(pc.ascii_ltrim(words, " ")), pc.not_equal(words, pieces))
+    marks = pc.ascii_ltrim(pieces.filter(two), " " + string.ascii_letters)
+    strings = pa.concat_arrays([pc.if_else(two, words, pieces), marks]).dictionary_encode()
+    which, two = strings.indices.to_numpy(), two.to_numpy(zero_copy_only=False)
+    counts = 1 + two.astype(np.int64)
+    places = np.cumsum(counts)
+    halves = np.empty(len(which), which.dtype)
+    halves[places - counts] = which[: len(pieces)]
+    halves[places[two] - 1] = which[len(pieces) :]
+    return strings.dictionary.to_numpy(zero_copy_only=False).tolist(), halves, counts
+
+
+def lists_of(ids: list[bytes]) -> pa.ListArray:
+    ends = np.cumsum([0, *(len(one) // 4 for one in ids)], dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(ids), "<i4")))
+
+
 class Encoder:
     """Ids of texts by a tokenizer file."""
 
@@ -101,6 +125,10 @@ class Encoder:
             if ids is not None:
                 new[piece] = ids
                 continue
+            body = piece[1:] if piece[0] == " " else piece
+            if body.isascii() and body.isalpha():
+                new[piece] = b"".join([of_id[token.id] for token in merge(body if body is piece else SPELLED[32] + body)])
+                continue
             found = LETTERS(piece)
             if found is None:
                 rest.append(piece)
@@ -118,12 +146,13 @@ class Encoder:
                 new[piece] = ids + tails[tail]
             else:
                 split.append((piece, ids, tail))
-        unknown = list({tail for _, _, tail in split})
-        of_tail = dict(zip(unknown, self.each(unknown), strict=True))
+        new.update(zip(rest, self.each(rest), strict=True))
+        of_tail = {tail: kept(tail) or before(tail) or new.get(tail) for _, _, tail in split}
+        unknown = [tail for tail, ids in of_tail.items() if ids is None]
+        of_tail.update(zip(unknown, self.each(unknown), strict=True))
         new.update((piece, ids + of_tail[tail]) for piece, ids, tail in split)
         if len(tails) < MOST_TAILS:
             tails.update((tail, ids) for tail, ids in of_tail.items() if len(tail) <= LONGEST_KEPT)
-        new.update(zip(rest, self.each(rest), strict=True))
         return new
 
     def of_pieces(self, pieces: list[str]) -> list[bytes]:
@@ -147,10 +176,10 @@ class Encoder:
         marked = pc.replace_substring(pc.replace_substring(texts, " ", "\0 "), "\n", "\0\n\0")
         cut = pc.split_pattern(marked, "\0")
         pieces = cut.flatten().dictionary_encode()
-        ids = self.of_pieces(pieces.dictionary.to_numpy(zero_copy_only=False).tolist())
-        widths = np.array([len(one) // 4 for one in ids], np.int32)
-        ends = np.concatenate([[0], np.cumsum(widths, dtype=np.int32)]).astype(np.int32)
-        lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(ids), "<i4")))
+        names, halves, counts = halved(pieces.dictionary)
+        lists = lists_of(self.of_pieces(names)).take(pa.array(halves))
+        ends = lists.offsets.to_numpy()[np.concatenate([[0], np.cumsum(counts)])]
+        lists, widths = pa.ListArray.from_arrays(pa.array(ends), lists.values), np.diff(ends)
         at = pieces.indices
         data = memoryview(lists.take(at).flatten().to_numpy()).cast("B")
         of_piece = np.concatenate([[0], np.cumsum(widths[at.to_numpy()], dtype=np.int64)])

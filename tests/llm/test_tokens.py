@@ -154,3 +154,18 @@ def test_texts_reach_the_workers_in_bounded_batches(spark, tmp_path, monkeypatch
     assert asked == [(key, "2000")] and spark.conf.get(key) == before
     found = {row.doc_id: row.ids for row in files.rows.collect()}
     assert found == {k: ENCODER.tokenizer.encode(text, add_special_tokens=False).ids + [0] for k, text in texts.items()}
+
+
+def test_words_are_kept_once_whatever_marks_follow_them():
+    encoder = tokens.Encoder(open(FILE, encoding="utf-8").read())
+    text = "zqueletion, a zqueletion. zqueletion zqueletion!) (zqueletion's 12. --- x.y, é, é"
+    for _ in range(2):
+        assert np.frombuffer(encoder([text])[0], "<u4").tolist() == plain(text)[:-1]
+    kept = set(encoder.kept)
+    assert " zqueletion" in kept and not kept & {" zqueletion,", " zqueletion.", " zqueletion!)"}
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.text(st.sampled_from("abZ1é你 .,'!-)\n"), max_size=25), max_size=6))
+def test_marks_after_words_change_no_id(texts):
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in ENCODER(texts)] == [plain(text)[:-1] for text in texts]
